@@ -80,7 +80,7 @@ select {_PREFIX.format(slot="slot")} as plan_id,
        case slot%5 when 0 then 'VOICE' when 1 then 'BASIC_ROLLOVER' when 2 then 'BASIC'
             when 3 then 'CHOICE' else 'CHOICE_DOUBLE' end as plan_family,
        case when slot%3=0 then 'standard' else 'special' end as plan_category,
-       cast(25000+1500*(1+sz%50) as decimal(12,2)) as monthly_fee,
+       cast(25000+2500*(1+sz%50) as decimal(12,2)) as monthly_fee,
        case when (sz+slot)%5=0 then null else cast(2+(sz*3)%60 as decimal(10,2)) end as data_limit_gb,
        (sz+slot)%5=0 as is_unlimited,
        case when slot%2=0 then '1Mbps' end as throttle_speed,
@@ -89,7 +89,7 @@ select {_PREFIX.format(slot="slot")} as plan_id,
        slot%5=1 as is_rollover,
        case when slot%4=0 then 'VIP' end as membership_tier,
        case when slot%5 in (3,4) then 'T'||cast(slot%3 as string) end as choice_tier,
-       case when slot%3=0 then 'LTE' else '5G' end as network_type,
+       case when slot%6=0 then 'LTE' else '5G' end as network_type,
        cast(slot%2 as int) as device_discount_lines,
        cast(slot%3 as int) as data_sharing_discount_lines,
        slot%7<>0 as family_bundle_eligible
@@ -103,10 +103,10 @@ select family_id,
        case when n%4=0 then 'PREMIUM_FAMILY' when n%4=1 or n%32=31 then 'INTERNET_MOBILE' end
             as bundle_type,
        n%4<>3 as has_home_internet,
-       case when n%4=3 then null when n%8=2 then 'SLIM' else 'BASIC_ESSENCE_PREMIUM' end
+       case when n%4=3 then null when n%16=2 then 'SLIM' else 'BASIC_ESSENCE_PREMIUM' end
             as internet_product_group,
        case when n%4=3 then null else cast(12*(1+n%3) as int) end as internet_contract_months,
-       case when n%4=3 then 'NONE' when n%16=6 then 'SUSPENDED' else 'ACTIVE' end as internet_status,
+       case when n%4=3 then 'NONE' when n%32=6 then 'SUSPENDED' else 'ACTIVE' end as internet_status,
        case when n%8 in (0,1) then 'TOTAL' when n%8 in (4,5) or n%32=31 then 'FIXED' end
             as bundle_discount_method,
        case when n%8 in (0,1) then case when n%16<8 then 'EQUAL' else 'CONTRIBUTION' end end

@@ -254,13 +254,15 @@ def _(c):
 
 
 @check("a22_catalog_run", f"""
-select u.user_id, u.name, d.usage_date as calendar_date, {K1} as daily_usage_mb,
- {rnd("running", "1000", 1)} as month_to_date_usage_mb
-from p_daily d, users u
-where u.user_id=d.user_id and d.calendar_month=date '1996-03-01' and u.user_id='U0000011'""")
+select u.user_id, u.name, d.calendar_month, {K1} as total_usage_mb,
+ {rnd(rnd("k", "days*1000", 3) + "*1000", "1000", 1)} as average_daily_usage_mb
+from ({P_MONTHLY}) d, users u
+where u.user_id=d.user_id and u.user_id='U0000011'
+ and d.calendar_month between date '1996-01-01' and date '1998-12-01'""")
 def _(c):
     return query_catalog.run(
-        c.pers, "PERS_002", {"user_id": "U0000011", "year_month": "1996-03"}
+        c.pers, "PERS_001",
+        {"user_id": "U0000011", "from_month": "1996-01-15", "to_month": "1998-12-31"},
     )
 
 

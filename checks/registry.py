@@ -107,7 +107,7 @@ def oracle_text(body: str) -> str:
     steps = ",\n".join(f"{name} as materialized ({known[name]})" for name in ordered)
     joiner = ",\n" if body.lstrip().lower().startswith("with ") else "\n"
     body = body.lstrip()[5:] if joiner == ",\n" else body
-    return f"with {steps}{joiner}{body}"
+    return f"with recursive {steps}{joiner}{body}"
 
 
 # --- SQL text helpers -----------------------------------------------------------------------------

@@ -18,16 +18,19 @@ _MATCH_COLUMNS = [
 ]
 
 
-def rules_of(rules: DataFrame, discount_id: str, method: str, rule_type: str) -> Column:
-    """The rules of one kind as an array column; requests then match in place, without a shuffle."""
-    return catalog_array(
-        rules.where(
+def with_rules(df: DataFrame, rules: DataFrame, **kinds: tuple[str, str, str]) -> DataFrame:
+    """Add array columns with the rules of (discount, method, rule type).
+
+    A request then matches in place, without a shuffle.
+    """
+    for name, (discount_id, method, rule_type) in kinds.items():
+        chosen = rules.where(
             (F.col("discount_id") == discount_id)
             & (F.col("bundle_discount_method") == method)
             & (F.col("rule_type") == rule_type)
-        ),
-        *_MATCH_COLUMNS,
-    )
+        )
+        df = df.withColumn(name, catalog_array(chosen, *_MATCH_COLUMNS))
+    return df
 
 
 def within(value: Column, lower: Column, upper: Column) -> Column:
@@ -40,12 +43,13 @@ def group_matches(rule_group: Column, group: Column) -> Column:
 
 
 def matching_rules(
-    rules: Column,
+    rules: str,
     group: Column,
     months: Column,
     mobile_total: Column | None = None,
     line_fee: Column | None = None,
 ) -> Column:
+    """Rules of an array column that fit a request; `ANY` as a rule's group fits every group."""
     def matches(rule: Column) -> Column:
         hit = group_matches(rule["internet_product_group"], group) & (
             rule["contract_months"] == months
@@ -58,7 +62,7 @@ def matching_rules(
             hit = hit & within(line_fee, rule["mobile_line_fee_min"], rule["mobile_line_fee_max"])
         return hit
 
-    return F.filter(rules, matches)
+    return F.filter(F.col(rules), matches)
 
 
 def only_amount(matches: Column, label: str) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from meterline import fixed_values as fixed
 from meterline.functions.measures import EXACT_MB, in_force, mb_to_gb
-from meterline.operators.lookup import matching_rules, rules_of
+from meterline.operators.lookup import matching_rules, with_rules
 from meterline.plans.area import Area
 from meterline.plans.marts import day
 
@@ -268,16 +268,18 @@ def total_bundle_not_enrolled(area: Area, as_of: str, *, top: int | None = 10) -
         .select("family_id")
     )
     matches = matching_rules(
-        F.col("_rules"),
+        "_pool",
         F.col("internet_product_group"),
         F.col("internet_contract_months"),
         mobile_total=F.col("family_total_monthly_fee"),
     )
-    eligible = (
+    open_families = (
         _unbundled_families(area)
         .join(totals.where(F.col("member_count") >= 2), "family_id")
         .join(discounted, "family_id", "left_anti")
-        .withColumn("_rules", rules_of(rules, "D001", "TOTAL", "MOBILE_TOTAL_POOL"))
+    )
+    eligible = (
+        with_rules(open_families, rules, _pool=("D001", "TOTAL", "MOBILE_TOTAL_POOL"))
         .withColumn("_rule", F.explode(matches))
         .select(
             "family_id", "member_count", "family_total_monthly_fee", "internet_product_group",

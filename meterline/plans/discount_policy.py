@@ -11,12 +11,23 @@ from pyspark.sql import functions as F
 
 from meterline.fixed_values import HIGHER_INTERNET_GROUP
 from meterline.functions.measures import active_on
-from meterline.operators.lookup import matching_rules, only_amount, rules_of
+from meterline.operators.lookup import matching_rules, only_amount, with_rules
 from meterline.plans.marts import day
 from meterline.plans.tables import Tables
 
 EXACT_WON = "decimal(20,8)"
 
+TOTAL_POOL = ("D001", "TOTAL", "MOBILE_TOTAL_POOL")
+FIXED_LINE = ("D002", "FIXED", "MOBILE_LINE")
+
+
+def _amount(rules: str, **facts: Column) -> Column:
+    """Amount of the rule that fits a row's internet group and contract term."""
+    found = matching_rules(
+        rules, F.col("internet_product_group"), F.col("internet_contract_months"), **facts
+    )
+    return only_amount(found, rules.strip("_"))
+
 
 def premium_rule(stage: Tables, discount_id: str, column: str) -> Column:
     """One value of the single premium-family rule of a discount."""
@@ -124,37 +135,31 @@ def method_savings(stage: Tables) -> DataFrame:
         & F.col("internet_product_group").isNotNull()
         & F.col("internet_contract_months").isNotNull()
     ).select("family_id", "bundle_type", "internet_product_group", "internet_contract_months")
-    group = F.col("internet_product_group")
-    months = F.col("internet_contract_months")
-
-    def amount(label: str, discount_id: str, method: str, kind: str, **facts: Column) -> Column:
-        found = matching_rules(
-            rules_of(rules, discount_id, method, kind), group, months, **facts
-        )
-        return only_amount(found, label)
-
-    line = amount(
-        "fixed line", "D002", "FIXED", "MOBILE_LINE", line_fee=F.col("monthly_fee")
-    )
-    lines = counted_lines(stage, families).withColumn("line_amount", line)
-    summed = lines.groupBy(
-        "family_id", "internet_product_group", "internet_contract_months"
-    ).agg(
-        F.sum("monthly_fee").alias("mobile_total"), F.sum("line_amount").alias("fixed_mobile")
+    lines = with_rules(counted_lines(stage, families), rules, _fixed_line=FIXED_LINE)
+    summed = (
+        lines.withColumn("line_amount", _amount("_fixed_line", line_fee=F.col("monthly_fee")))
+        .groupBy("family_id", "internet_product_group", "internet_contract_months")
+        .agg(F.sum("monthly_fee").alias("mobile_total"), F.sum("line_amount").alias("fixed_mobile"))
     )
     total = F.col("mobile_total")
-    return summed.select(
+    return with_rules(
+        summed,
+        rules,
+        _total_pool=TOTAL_POOL,
+        _total_internet=("D005", "TOTAL", "INTERNET_BASE"),
+        _total_extra=("D005", "TOTAL", "INTERNET_ADDITIONAL"),
+        _fixed_internet=("D005", "FIXED", "INTERNET_BASE"),
+        _fixed_extra=("D005", "FIXED", "INTERNET_ADDITIONAL"),
+    ).select(
         "family_id",
         "mobile_total",
         (
-            amount("total pool", "D001", "TOTAL", "MOBILE_TOTAL_POOL", mobile_total=total)
-            + amount("total internet", "D005", "TOTAL", "INTERNET_BASE", mobile_total=total)
-            + amount("total extra", "D005", "TOTAL", "INTERNET_ADDITIONAL")
+            _amount("_total_pool", mobile_total=total)
+            + _amount("_total_internet", mobile_total=total)
+            + _amount("_total_extra")
         ).alias("total_saving"),
         (
-            F.col("fixed_mobile")
-            + amount("fixed internet", "D005", "FIXED", "INTERNET_BASE")
-            + amount("fixed extra", "D005", "FIXED", "INTERNET_ADDITIONAL")
+            F.col("fixed_mobile") + _amount("_fixed_internet") + _amount("_fixed_extra")
         ).alias("fixed_saving"),
     )
 
@@ -233,29 +238,19 @@ def current_discount_amounts(stage: Tables, reference_date: str) -> DataFrame:
         .groupBy("family_id")
         .agg(F.sum("monthly_fee").alias("pool_fee"), F.count("*").alias("recipients"))
     )
-    rows = active.join(pools, "family_id", "left")
-    group, months = F.col("internet_product_group"), F.col("internet_contract_months")
-    fee = F.col("monthly_fee").cast(EXACT_WON)
-    pool = only_amount(
-        matching_rules(
-            rules_of(rules, "D001", "TOTAL", "MOBILE_TOTAL_POOL"), group, months,
-            mobile_total=F.col("pool_fee"),
-        ),
-        "total pool",
+    rows = with_rules(
+        active.join(pools, "family_id", "left"), rules, _total_pool=TOTAL_POOL,
+        _fixed_line=FIXED_LINE,
     )
+    fee = F.col("monthly_fee").cast(EXACT_WON)
+    pool = _amount("_total_pool", mobile_total=F.col("pool_fee"))
     method = F.col("total_discount_allocation_method")
     split = (
         F.when(method == "EQUAL", pool / F.col("recipients").cast("decimal(9,0)"))
         .when(method == "CONTRIBUTION", pool * F.col("monthly_fee") / F.col("pool_fee"))
         .otherwise(F.raise_error(F.lit("unknown allocation method")).cast(EXACT_WON))
     )
-    fixed = only_amount(
-        matching_rules(
-            rules_of(rules, "D002", "FIXED", "MOBILE_LINE"), group, months,
-            line_fee=F.col("monthly_fee"),
-        ),
-        "fixed line",
-    )
+    fixed = _amount("_fixed_line", line_fee=F.col("monthly_fee"))
     kind = F.col("discount_id")
     amount = (
         F.when(kind == "D001", split.cast(EXACT_WON))
@@ -362,22 +357,12 @@ def mobile_entitlements(stage: Tables, reference_date: str, guardians: DataFrame
     totals = rows.where(counted).groupBy("family_id").agg(
         F.sum("monthly_fee").alias("pool_fee")
     )
-    rows = rows.join(totals, "family_id", "left")
-    group, months = F.col("internet_product_group"), F.col("internet_contract_months")
-    pool = only_amount(
-        matching_rules(
-            rules_of(rules, "D001", "TOTAL", "MOBILE_TOTAL_POOL"), group, months,
-            mobile_total=F.col("pool_fee"),
-        ),
-        "total pool",
-    )
-    fixed = only_amount(
-        matching_rules(
-            rules_of(rules, "D002", "FIXED", "MOBILE_LINE"), group, months,
-            line_fee=F.col("monthly_fee"),
-        ),
-        "fixed line",
+    rows = with_rules(
+        rows.join(totals, "family_id", "left"), rules, _total_pool=TOTAL_POOL,
+        _fixed_line=FIXED_LINE,
     )
+    pool = _amount("_total_pool", mobile_total=F.col("pool_fee"))
+    fixed = _amount("_fixed_line", line_fee=F.col("monthly_fee"))
     total_method = F.col("bundle_discount_method") == "TOTAL"
     mobile = (
         F.when(~counted, F.lit("D003"))

@@ -29,7 +29,7 @@ def age_benefits(stage: Tables) -> DataFrame:
     )
     age = F.col("age")
     own = F.filter(
-        ranges,
+        F.col("_ranges"),
         lambda b: (age >= b["min_age"]) & (b["max_age"].isNull() | (age <= b["max_age"])),
     )
     plans = stage.plans.select(
@@ -41,8 +41,8 @@ def age_benefits(stage: Tables) -> DataFrame:
         "bonus_data_gb", "bonus_shared_data_gb", "bonus_voice_minutes", "bonus_sms_count",
         "bonus_video_minutes", F.lit(True).alias("_offered"),
     )
-    users = stage.users.select("user_id", "age", "current_plan_id").withColumn("_own", own)
-    users = users.select(
+    users = stage.users.select("user_id", "age", "current_plan_id", ranges.alias("_ranges"))
+    users = users.withColumn("_own", own).select(
         "user_id",
         "current_plan_id",
         F.get("_own", 0)["age_benefit_id"].alias("age_benefit_id"),
@@ -227,7 +227,8 @@ def plan_fit(
     ranges = catalog_array(stage.age_benefits, "age_benefit_id", "min_age", "max_age", limit=1000)
     age = F.col("age")
     own = F.filter(
-        ranges, lambda b: (age >= b["min_age"]) & (b["max_age"].isNull() | (age <= b["max_age"]))
+        F.col("_ranges"),
+        lambda b: (age >= b["min_age"]) & (b["max_age"].isNull() | (age <= b["max_age"])),
     )
     mean = F.sum("daily_data_mb").cast("double") / F.count("*")
     need = daily_usage(stage).groupBy("user_id").agg((mean * 30.0 / 1024.0).alias("need_gb"))
@@ -235,11 +236,12 @@ def plan_fit(
         stage.users.select("user_id", "age", "family_id")
         .join(need, "user_id")
         .join(traits.select("user_id", "plan_spending_score", "content_affinity"), "user_id")
+        .withColumns({"_plans": plans, "_bonuses": bonuses, "_ranges": ranges})
         .withColumn("benefit", F.get(own, 0)["age_benefit_id"])
         .withColumn(
             "bonus",
             F.transform(
-                F.filter(bonuses, lambda b: b["age_benefit_id"] == F.col("benefit")),
+                F.filter(F.col("_bonuses"), lambda b: b["age_benefit_id"] == F.col("benefit")),
                 lambda b: F.struct(b["plan_id"], b["bonus_data_gb"]),
             ),
         )
@@ -302,8 +304,7 @@ def plan_fit(
     if top is not None:
         ordered = F.slice(ordered, 1, top)
     return (
-        users.withColumn("_plans", plans)
-        .select("user_id", F.posexplode(ordered).alias("position", "fit"))
+        users.select("user_id", F.posexplode(ordered).alias("position", "fit"))
         .select(
             "user_id",
             (F.col("position") + 1).alias("fit_rank"),

@@ -15,7 +15,7 @@ from meterline.functions.calendar import date_key, month_key, month_start
 from meterline.functions.keys import key_pattern
 from meterline.functions.measures import EXACT_MB, active_on, changed
 from meterline.operators.frames import date_steps, literal_frame
-from meterline.operators.lookup import matching_rules, rules_of
+from meterline.operators.lookup import matching_rules, with_rules
 from meterline.operators.relations import eligible_usage, orphans, reconcile, symmetric_difference
 from meterline.plans import discount_policy as policy
 from meterline.plans.marts import day
@@ -649,12 +649,10 @@ def bundle_rules(stage: Tables, guardians: DataFrame, reference_date: str) -> Da
         .na.fill(0)
     )
     group, months = F.col("internet_product_group"), F.col("internet_contract_months")
-    pools = matching_rules(
-        rules_of(
-            stage.internet_bundle_discount_rules, "D001", "TOTAL", "MOBILE_TOTAL_POOL"
-        ),
-        group, months, mobile_total=F.col("pool_fee"),
+    structure = with_rules(
+        structure, stage.internet_bundle_discount_rules, _pool=policy.TOTAL_POOL
     )
+    pools = matching_rules("_pool", group, months, mobile_total=F.col("pool_fee"))
     recipients = F.when(
         F.coalesce(F.get(pools, 0)["discount_amount"] > 0, F.lit(False)), F.col("counted_lines")
     ).otherwise(0)
