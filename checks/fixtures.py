@@ -17,6 +17,8 @@ _PREFIX = (
     "else 'P40' end || lpad(cast({slot} as string),2,'0')"
 )
 
+_SLOT = "((c_custkey*5+cast(floor(c_custkey/20) as bigint))%24)"
+
 
 def _discount_rules() -> str:
     """The 99 internet bundle rules, expanded from the published amounts."""
@@ -62,8 +64,8 @@ select c_custkey as k, 'U'||lpad(cast(c_custkey as string),7,'0') as user_id, c_
        cast(8+(c_custkey*7)%80 as int) as age,
        case when c_custkey%2=0 then 'F' else 'M' end as gender,
        date '1994-01-01' + cast((c_custkey*13)%900 as int) as subscription_start_date,
-       (c_custkey*5)%24 as slot,
-       {_PREFIX.format(slot="((c_custkey*5)%24)")} as current_plan_id,
+       {_SLOT} as slot,
+       {_PREFIX.format(slot=_SLOT)} as current_plan_id,
        case when c_custkey%10<6 then cast(floor(c_custkey/10) as bigint)*2
             + case when c_custkey%10<3 then 0 else 1 end end as family_no
 from customer""",

@@ -414,3 +414,5 @@ select count(*) filter (where case_a) as case_a, count(*) filter (where case_b)
  count(*) filter (where case_e) as case_e from ({FLAGS})""")
 def _(c):
     return features.case_counts(features.case_flags(c.stage))
+
+layer("amounts_now", f"select user_id, current_total_discount_amount as amount from ({AMOUNTS})")
