@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from checks.q_build import BENEFITS, CURRENT_PLAN, DISCOUNTS_NOW, FAMILY_NOW, P_MONTHLY, SELECTED, SERVICES_NOW
 from checks.q_layers import GB2, MB
-from checks.registry import END, REFERENCE, START, check, rnd
+from checks.registry import END, REFERENCE, START, check, layer, rnd
 from meterline import fixed_values as fixed
 from meterline.plans import customer_cases as cases
 from meterline.plans import operations_reports as ops
@@ -415,7 +415,17 @@ def _(c):
     return cases.total_bundle_not_enrolled(c.pers, AS_OF)
 
 
-@check("a36_all_cases")
+layer("discounts_now", """
+select user_id, discount_id from user_discounts
+where status='ACTIVE' and (end_date is null or end_date>=date '2024-01-31')""")
+
+
+@check("a36_all_cases", f"""
+select 'video_benefit_mismatch' as case_name, user_id from ({CASE1})
+union all select 'high_usage_low_fee', user_id from ({CASE2})
+union all select 'low_usage_high_fee', user_id from ({CASE3})
+union all select 'premium_family_not_enrolled', user_id from ({CASE4A.replace("current_discounts", "discounts_now")})
+union all select 'total_bundle_not_enrolled', user_id from ({CASE4B.replace("current_discounts", "discounts_now")})""")
 def _(c):
     whole = {"top": None}
     return cases.case_members(

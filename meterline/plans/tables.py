@@ -36,3 +36,7 @@ class Tables(Mapping):
 
     def replace(self, **frames: DataFrame) -> Tables:
         return Tables(**{**self._entries, **frames})
+
+    def settle(self, name: str, frame: DataFrame) -> None:
+        """Let later builders read a table where it was written instead of recomputing it."""
+        self._entries[name] = frame
