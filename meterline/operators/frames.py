@@ -19,9 +19,9 @@ def month_array(start: Column, end_exclusive: Column) -> Column:
 
 
 def month_frame(spark: SparkSession, start: str, end_exclusive: str) -> DataFrame:
-    """One row per month; no rows for an empty range."""
+    """One row per month, in one partition; no rows for an empty range."""
     months = month_array(F.lit(start).cast("date"), F.lit(end_exclusive).cast("date"))
-    return spark.range(1).select(F.explode(months).alias("calendar_month"))
+    return spark.range(0, 1, 1, 1).select(F.explode(months).alias("calendar_month"))
 
 
 def day_frame(bounds: DataFrame, first: Column, last: Column) -> DataFrame:

@@ -4,10 +4,15 @@ Values are first reduced to (group, value, count). A coarse pass counts bins of
 locates the bin that holds each wanted rank; a fine pass then looks only inside those bins. Usage is
 kept at three decimals, so a bin of 1,024 MB has at most 1,024,000 distinct values however many
 customers fall into it, and one customer group of any size never meets in a single task.
+
+Groups are months, categories or whole columns: a few thousand at most. One row per group and wanted rank
+is broadcast to the value counts.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -27,92 +32,94 @@ def _mb(count: Column, value: Column) -> Column:
     return (count.cast("decimal(15,0)") * value.cast("decimal(22,3)")).cast("decimal(38,3)")
 
 
-def bin_totals(counts: DataFrame, group: str) -> DataFrame:
-    """(group, bin) with its row count and usage."""
-    return counts.groupBy(group, "bin").agg(
+def ranked_bins(counts: DataFrame, group: str) -> DataFrame:
+    """(group, bin) with rows and usage of the bin, of the bins below it and of the group."""
+    bins = counts.groupBy(group, "bin").agg(
         F.sum("n").alias("n"), F.sum(_mb(F.col("n"), F.col("value"))).alias("mb")
     )
-
-
-def values_at_ranks(counts: DataFrame, bins: DataFrame, group: str, targets: DataFrame) -> DataFrame:
-    """Value at each wanted rank, smallest value first.
-
-    `targets` has (group, target, rank). The result adds the value with the number of rows and the
-    usage up to and including all rows of that value.
-    """
-    upto = W.partitionBy(group).orderBy("bin").rowsBetween(W.unboundedPreceding, W.currentRow)
-    running = bins.select(
+    whole = W.partitionBy(group)
+    upto = whole.orderBy("bin").rowsBetween(W.unboundedPreceding, W.currentRow)
+    return bins.select(
         group,
         "bin",
-        (F.sum("n").over(upto) - F.col("n")).alias("n_before"),
+        "n",
+        "mb",
         F.sum("n").over(upto).alias("n_upto"),
         (F.sum("mb").over(upto) - F.col("mb")).alias("mb_before"),
+        F.sum("n").over(whole).alias("customers"),
+        F.sum("mb").over(whole).cast(EXACT_MB).alias("total_mb"),
+    ).withColumn("n_before", F.col("n_upto") - F.col("n"))
+
+
+def wanted(target: str, rank: Column) -> Column:
+    """A named rank, counted from the smallest value; may use the column `customers`."""
+    return F.struct(F.lit(target).alias("target"), rank.cast("bigint").alias("rank"))
+
+
+def values_at_ranks(
+    counts: DataFrame, bins: DataFrame, group: str, ranks: Sequence[Column]
+) -> DataFrame:
+    """(group, target) with the value at each wanted rank.
+
+    `n_le` and `mb_le` are the rows and the usage up to and including all rows of that value.
+    """
+    inside_bin = F.filter(
+        F.array(*ranks),
+        lambda t: (t["rank"] > F.col("n_before")) & (t["rank"] <= F.col("n_upto")),
     )
-    wanted = (
-        targets.join(running, group)
-        .where((F.col("rank") > F.col("n_before")) & (F.col("rank") <= F.col("n_upto")))
-        .drop("n_upto")
+    located = bins.select(
+        group, "bin", "n_before", "mb_before", "customers", "total_mb",
+        F.inline(inside_bin).alias("target", "rank"),
     )
     within = W.partitionBy(group, "bin", "target").orderBy("value")
     inside = (
-        wanted.join(counts, [group, "bin"])
+        counts.join(F.broadcast(located), [group, "bin"])
         .withColumn("n_le", F.col("n_before") + F.sum("n").over(within))
         .withColumn(
             "mb_le", F.col("mb_before") + F.sum(_mb(F.col("n"), F.col("value"))).over(within)
         )
     )
     hit = (F.col("rank") <= F.col("n_le")) & (F.col("rank") > F.col("n_le") - F.col("n"))
-    return inside.where(hit).select(group, "target", "rank", "value", "n_le", "mb_le")
-
-
-def group_sizes(bins: DataFrame, group: str) -> DataFrame:
-    return bins.groupBy(group).agg(
-        F.sum("n").alias("customers"), F.sum("mb").cast(EXACT_MB).alias("total_mb")
+    return inside.where(hit).select(
+        group, "target", "rank", "value", "n_le", "mb_le", "customers", "total_mb"
     )
 
 
-def medians(counts: DataFrame, bins: DataFrame, sizes: DataFrame, group: str) -> DataFrame:
-    """(group, median) where an even count takes the mean of the two middle values."""
+def medians(counts: DataFrame, bins: DataFrame, group: str) -> DataFrame:
+    """(group, customers, total_mb, median); an even count takes the mean of the two middle values."""
     half = F.floor(F.col("customers") / 2)
-    upper = half + 1
-    lower = F.when(F.col("customers") % 2 == 0, half).otherwise(upper)
-    targets = sizes.select(
-        group,
-        F.explode(
-            F.array(
-                F.struct(F.lit("low").alias("target"), lower.alias("rank")),
-                F.struct(F.lit("high").alias("target"), upper.alias("rank")),
-            )
-        ).alias("t"),
-    ).select(group, "t.*")
-    middle = values_at_ranks(counts, bins, group, targets)
+    lower = F.when(F.col("customers") % 2 == 0, half).otherwise(half + 1)
+    middle = values_at_ranks(
+        counts, bins, group, [wanted("low", lower), wanted("high", half + 1)]
+    )
     return middle.groupBy(group).agg(
-        (F.sum("value").cast(EXACT_MB) / F.lit(2).cast("decimal(1,0)")).alias("median")
+        F.max("customers").alias("customers"),
+        F.max("total_mb").alias("total_mb"),
+        (F.sum("value").cast(EXACT_MB) / F.lit(2).cast("decimal(1,0)")).alias("median"),
     )
 
 
+def top_count(percent: int) -> Column:
+    """ceil(customers * percent / 100) in decimal arithmetic."""
+    share = F.col("customers").cast("decimal(18,0)") * F.lit(percent).cast("decimal(5,0)")
+    return F.ceil(share / F.lit(100).cast("decimal(3,0)")).cast("bigint")
+
+
 def top_shares(
-    counts: DataFrame, bins: DataFrame, sizes: DataFrame, group: str, percents: list[int]
+    counts: DataFrame, bins: DataFrame, group: str, percents: dict[str, int]
 ) -> DataFrame:
-    """(group, target, customers, mb) of the highest ceil(n * p %) rows, in decimal arithmetic.
+    """(group, target, top_customers, top_mb, customers, total_mb) of the highest rows by percentage.
 
     Rows of equal usage contribute equally, so which of them is cut does not change the totals.
     """
-    size = F.col("customers").cast("decimal(18,0)")
-    targets = sizes.select(
-        group,
-        "customers",
-        "total_mb",
-        F.explode(F.array(*[F.lit(p) for p in percents])).alias("target"),
-    ).withColumn(
-        "top", F.ceil(size * F.col("target").cast("decimal(5,0)") / F.lit(100).cast("decimal(3,0)"))
-    )
-    ranked = targets.select(
-        group, "target", (F.col("customers") - F.col("top") + 1).alias("rank")
+    cut = values_at_ranks(
+        counts, bins, group,
+        [wanted(name, F.col("customers") - top_count(p) + 1) for name, p in percents.items()],
     )
-    cut = values_at_ranks(counts, bins, group, ranked).drop("rank")
+    top = F.col("customers") - F.col("rank") + 1
     above = F.col("customers") - F.col("n_le")
-    mb = F.col("total_mb") - F.col("mb_le") + _mb(F.col("top") - above, F.col("value"))
-    return targets.join(cut, [group, "target"]).select(
-        group, "target", F.col("top").alias("customers"), mb.cast(EXACT_MB).alias("mb")
+    mb = F.col("total_mb") - F.col("mb_le") + _mb(top - above, F.col("value"))
+    return cut.select(
+        group, "target", top.alias("top_customers"), mb.cast(EXACT_MB).alias("top_mb"),
+        "customers", "total_mb",
     )

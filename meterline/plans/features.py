@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from meterline.fixed_values import CHOICE_FAMILIES, QUOTA_THRESHOLDS
@@ -214,8 +215,8 @@ def plan_fit(
     """Fit score of every user with every plan, best first.
 
     `traits` has (user_id, plan_spending_score, content_affinity). Plans travel to the users as one
-    checked array; scoring and ranking happen inside a user's row, without a cross join or a shuffle of
-    the pairs. `heavy_plan_names` are the unlimited plans favoured by very heavy users.
+    size-checked array, so that each user meets each plan without a cross join or a shuffle of the pairs.
+    `heavy_plan_names` are the unlimited plans favoured by very heavy users.
     """
     plans = catalog_array(
         stage.plans, "plan_id", "plan_name", "plan_family", "monthly_fee", "data_limit_gb",
@@ -254,13 +255,13 @@ def plan_fit(
         value = points if isinstance(points, Column) else F.lit(points)
         return F.when(condition, value).otherwise(F.lit(0.0))
 
-    def score(plan: Column) -> Column:
-        fee = plan["monthly_fee"].cast("double")
-        extra = F.coalesce(F.try_element_at("bonus", plan["plan_id"]), F.lit(0)).cast("double")
-        cap = F.coalesce(plan["data_limit_gb"], F.lit(0)).cast("double") + extra
-        unlimited = plan["is_unlimited"]
+    def score() -> Column:
+        fee = F.col("plan.monthly_fee").cast("double")
+        extra = F.coalesce(F.try_element_at("bonus", F.col("plan.plan_id")), F.lit(0)).cast("double")
+        cap = F.coalesce(F.col("plan.data_limit_gb"), F.lit(0)).cast("double") + extra
+        unlimited = F.col("plan.is_unlimited")
         used = need_gb / F.greatest(cap, F.lit(0.05))
-        family = plan["plan_family"]
+        family = F.col("plan.plan_family")
         choice = family.isin(*CHOICE_FAMILIES)
         distance = F.abs(F.log(F.greatest(fee, F.lit(1.0))) - F.log(F.greatest(target, F.lit(1.0))))
         data = F.when(
@@ -280,7 +281,7 @@ def plan_fit(
             ).otherwise(F.lit(-2.0)),
         )
         rollover = when(
-            plan["is_rollover"] & (unlimited | (need_gb < F.greatest(cap, F.lit(1.0)))), 0.10
+            F.col("plan.is_rollover") & (unlimited | (need_gb < F.greatest(cap, F.lit(1.0)))), 0.10
         )
         taste = when(
             choice,
@@ -292,26 +293,20 @@ def plan_fit(
             family == "CHOICE_DOUBLE",
             F.when(spending >= 0.70, F.lit(0.15)).otherwise(F.lit(-0.15)),
         )
-        heavy = when(plan["plan_name"].isin(*heavy_plan_names) & (need_gb > 90), 0.45)
+        heavy = when(F.col("plan.plan_name").isin(*heavy_plan_names) & (need_gb > 90), 0.45)
         with_family = when(F.col("family_id").isNotNull() & (fee >= 77000), 0.12)
         return -2.6 * distance + data + voice + rollover + taste + double + heavy + with_family
 
-    scored = F.transform(
-        F.col("_plans"),
-        lambda p: F.struct((-score(p)).alias("negative"), p["plan_id"].alias("plan_id")),
+    # The rows of a user stay in the partition of the usage join, so ranking needs no exchange.
+    best = W.partitionBy("user_id").orderBy(F.desc("fit_score"), "plan_id")
+    ranked = (
+        users.withColumn("plan", F.explode("_plans"))
+        .select("user_id", F.col("plan.plan_id").alias("plan_id"), score().alias("fit_score"))
+        .withColumn("fit_rank", F.row_number().over(best))
     )
-    ordered = F.array_sort(scored)
     if top is not None:
-        ordered = F.slice(ordered, 1, top)
-    return (
-        users.select("user_id", F.posexplode(ordered).alias("position", "fit"))
-        .select(
-            "user_id",
-            (F.col("position") + 1).alias("fit_rank"),
-            F.col("fit.plan_id").alias("plan_id"),
-            (-F.col("fit.negative")).alias("fit_score"),
-        )
-    )
+        ranked = ranked.where(F.col("fit_rank") <= top)
+    return ranked.select("user_id", "fit_rank", "plan_id", "fit_score")
 
 
 def case_flags(stage: Tables, *, low_share: float = 0.05) -> DataFrame:

@@ -14,7 +14,6 @@ from meterline.functions.measures import (
     mb_to_gb,
     ratio,
     share_pct,
-    top_share_label,
 )
 from meterline.operators import selection
 from meterline.operators.frames import month_frame, per_month, with_groups
@@ -64,22 +63,22 @@ def monthly_usage_statistics(
 ) -> DataFrame:
     """Customers with usage, mean and exact median GB per month; months without usage are kept."""
     usage = _customer_months(area, start, end_exclusive, preaggregated)
-    counts = selection.value_counts(usage, "calendar_month", "total_usage_mb")
-    bins = selection.bin_totals(counts, "calendar_month")
-    sizes = selection.group_sizes(bins, "calendar_month")
-    middle = selection.medians(counts, bins, sizes, "calendar_month")
+    month = "calendar_month"
+    counts = selection.value_counts(usage, month, "total_usage_mb")
+    statistics = selection.medians(counts, selection.ranked_bins(counts, month), month)
     customers = F.col("customers").cast(COUNT)
     mean = F.col("total_mb") / (customers * F.lit(1024).cast("decimal(4,0)"))
+    # One row per month on either side.
     return (
-        month_frame(area.dw.users.sparkSession, start, end_exclusive)
-        .join(sizes.join(middle, "calendar_month"), "calendar_month", "left")
+        month_frame(usage.sparkSession, start, end_exclusive)
+        .join(F.broadcast(statistics), month, "left")
         .select(
-            "calendar_month",
+            month,
             F.coalesce("customers", F.lit(0)).alias("recorded_customer_count"),
             F.round(mean, 2).alias("average_monthly_usage_gb"),
             mb_to_gb(F.col("median"), 2).alias("median_monthly_usage_gb"),
         )
-        .orderBy("calendar_month")
+        .orderBy(month)
     )
 
 
@@ -151,6 +150,10 @@ def category_mix(area: Area, start: str, end_exclusive: str) -> DataFrame:
     )
 
 
+def top_label(percent: int) -> str:
+    return f"top_{percent}_pct"
+
+
 def usage_bucket(gb_bin: Column) -> Column:
     """Label of the distribution bucket that holds a whole-GB bin."""
     label = F.lit(None).cast("string")
@@ -169,17 +172,24 @@ def usage_distribution(
     month = "calendar_month"
     usage = _customer_months(area, start, end_exclusive, preaggregated)
     counts = selection.value_counts(usage, month, "total_usage_mb")
-    bins = selection.bin_totals(counts, month)
-    sizes = selection.group_sizes(bins, month)
+    bins = selection.ranked_bins(counts, month)
     buckets = bins.groupBy(month, usage_bucket(F.col("bin")).alias("group_label")).agg(
-        F.sum("n").alias("group_customers"), F.sum("mb").cast(EXACT_MB).alias("group_mb")
+        F.sum("n").alias("group_customers"),
+        F.sum("mb").cast(EXACT_MB).alias("group_mb"),
+        F.max("customers").alias("customers"),
+        F.max("total_mb").alias("total_mb"),
     )
-    top = selection.top_shares(counts, bins, sizes, month, TOP_PERCENTS).select(
+    labels = {top_label(percent): percent for percent in TOP_PERCENTS}
+    top = selection.top_shares(counts, bins, month, labels).select(
         month,
-        top_share_label(F.col("target")).alias("group_label"),
-        F.col("customers").cast("bigint").alias("group_customers"),
-        F.col("mb").alias("group_mb"),
+        F.col("target").alias("group_label"),
+        F.col("top_customers").alias("group_customers"),
+        F.col("top_mb").alias("group_mb"),
+        "customers",
+        "total_mb",
     )
+    found = buckets.unionByName(top)
+    whole = W.partitionBy(month)
     groups = [
         F.struct(
             F.lit("distribution").alias("result_type"),
@@ -190,7 +200,7 @@ def usage_distribution(
     ] + [
         F.struct(
             F.lit("concentration").alias("result_type"),
-            F.lit(f"top_{percent}_pct").alias("group_label"),
+            F.lit(top_label(percent)).alias("group_label"),
             F.lit(100 + percent).alias("sort_order"),
         )
         for percent in TOP_PERCENTS
@@ -198,19 +208,21 @@ def usage_distribution(
     grid = with_groups(month_frame(usage.sparkSession, start, end_exclusive), groups)
     customers = F.coalesce("group_customers", F.lit(0))
     mb = F.coalesce("group_mb", F.lit(0).cast(EXACT_MB))
-    return (
-        grid.join(buckets.unionByName(top), [month, "group_label"], "left")
-        .join(sizes, month, "left")
-        .orderBy(month, "sort_order")
-        .select(
-            month,
-            "result_type",
-            "group_label",
-            customers.alias("customer_count"),
-            share_pct(customers, F.col("customers")).alias("customer_share_pct"),
-            mb_to_gb(mb, 2).alias("total_usage_gb"),
-            share_pct(mb, F.col("total_mb")).alias("usage_share_pct"),
-        )
+    # At most one row per month and group on either side.
+    joined = grid.join(F.broadcast(found), [month, "group_label"], "left").withColumns(
+        {
+            "customers": F.max("customers").over(whole),
+            "total_mb": F.max("total_mb").over(whole),
+        }
+    )
+    return joined.orderBy(month, "sort_order").select(
+        month,
+        "result_type",
+        "group_label",
+        customers.alias("customer_count"),
+        share_pct(customers, F.col("customers")).alias("customer_share_pct"),
+        mb_to_gb(mb, 2).alias("total_usage_gb"),
+        share_pct(mb, F.col("total_mb")).alias("usage_share_pct"),
     )
 
 
@@ -222,14 +234,14 @@ def bundle_internet_matrix(area: Area) -> DataFrame:
         for bundle in (False, True)
         for internet in (False, True)
     ]
-    grid = with_groups(families.sparkSession.range(1).select(), flags)
+    grid = with_groups(families.sparkSession.range(0, 1, 1, 1).select(), flags)
     counted = families.groupBy("has_bundle", "has_home_internet").agg(
         F.count("*").alias("family_count")
     )
     total = families.agg(F.count("*")).scalar()
     count = F.coalesce("family_count", F.lit(0))
     return (
-        grid.join(counted, ["has_bundle", "has_home_internet"], "left")
+        grid.join(F.broadcast(counted), ["has_bundle", "has_home_internet"], "left")
         .select(
             "has_bundle",
             "has_home_internet",

@@ -31,46 +31,31 @@ def numeric_distribution(df: DataFrame, column: str, value: Column | None = None
         F.col("v").isNotNull()
     )
     counts = selection.value_counts(values, "column_name", "v")
-    bins = selection.bin_totals(counts, "column_name")
-    sizes = selection.group_sizes(bins, "column_name")
-    position = (F.col("customers") - 1) * F.col("q")
-    targets = (
-        sizes.select(
-            "column_name",
-            "customers",
-            F.explode(F.array(*[F.lit(q).cast("decimal(5,4)") for q in QUANTILES])).alias("q"),
-        )
-        .withColumn("base", F.floor(position) + 1)
-        .withColumn("part", position - F.floor(position))
-    )
-    ends = targets.select(
-        "column_name",
-        F.explode(
-            F.array(
-                F.struct(F.concat(F.lit("l"), F.col("q").cast("string")).alias("target"),
-                         F.col("base").alias("rank")),
-                F.struct(F.concat(F.lit("h"), F.col("q").cast("string")).alias("target"),
-                         F.least(F.col("base") + 1, F.col("customers")).alias("rank")),
-            )
-        ).alias("t"),
-    ).select("column_name", "t.*")
-    found = selection.values_at_ranks(counts, bins, "column_name", ends).select(
-        "column_name",
-        F.substring("target", 1, 1).alias("side"),
-        F.substring("target", 2, 6).alias("q"),
-        "value",
-    )
-    pairs = found.groupBy("column_name", "q").agg(
-        F.max(F.when(F.col("side") == "l", F.col("value"))).alias("low"),
-        F.max(F.when(F.col("side") == "h", F.col("value"))).alias("high"),
-    )
-    quantile = F.col("low") + (F.col("high") - F.col("low")) * F.col("part")
-    per_q = targets.withColumn("q", F.col("q").cast("string")).join(pairs, ["column_name", "q"])
-    named = [
-        F.round(F.max(F.when(F.col("q") == f"{q:.4f}", quantile)), 2).alias(f"p{round(q * 100):02d}")
-        for q in QUANTILES
-    ]
-    wide = per_q.groupBy("column_name").agg(*named)
+    bins = selection.ranked_bins(counts, "column_name")
+
+    def position(q: float) -> Column:
+        return (F.col("customers") - 1).cast("decimal(18,0)") * F.lit(q).cast("decimal(3,2)")
+
+    ends = []
+    for q in QUANTILES:
+        base = F.floor(position(q)) + 1
+        ends.append(selection.wanted(f"low{q}", base))
+        ends.append(selection.wanted(f"high{q}", F.least(base + 1, F.col("customers"))))
+    found = selection.values_at_ranks(counts, bins, "column_name", ends)
+
+    def at(target: str) -> Column:
+        return F.max(F.when(F.col("target") == target, F.col("value")))
+
+    picked = found.groupBy("column_name").agg(
+        F.max("customers").alias("customers"),
+        *[at(f"{end}{q}").alias(f"{end}_{round(q * 100)}") for q in QUANTILES for end in ("low", "high")],
+    )
+    named = []
+    for q in QUANTILES:
+        low, high = F.col(f"low_{round(q * 100)}"), F.col(f"high_{round(q * 100)}")
+        part = position(q) - F.floor(position(q))
+        named.append(F.round(low + (high - low) * part, 2).alias(f"p{round(q * 100):02d}"))
+    wide = picked.select("column_name", *named)
     shape = values.groupBy("column_name").agg(
         F.count("*").alias("row_count"),
         F.round(F.sum("v").cast(EXACT_MB) / F.count("*").cast("decimal(12,0)"), 2).alias("mean"),
@@ -105,11 +90,9 @@ def content_distribution(usage: DataFrame, *keys: str) -> DataFrame:
         F.concat_ws("/", *keys).alias(group), F.col("data_usage_mb").cast("decimal(22,3)").alias("mb")
     )
     counts = selection.value_counts(rows, group, "mb")
-    bins = selection.bin_totals(counts, group)
-    sizes = selection.group_sizes(bins, group)
-    middle = selection.medians(counts, bins, sizes, group)
+    middle = selection.medians(counts, selection.ranked_bins(counts, group), group)
     whole = usage.agg(F.sum("data_usage_mb").cast("decimal(24,3)")).scalar()
-    return sizes.join(middle, group).select(
+    return middle.select(
         group,
         F.col("customers").alias("row_count"),
         mb_to_gb(F.col("total_mb"), 2).alias("total_gb"),
