@@ -8,6 +8,7 @@ import statistics
 import sys
 import tempfile
 import time
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +26,7 @@ from meterline.session import configure
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 ROUNDS = int(os.environ.get("BENCH_ROUNDS", "3"))
+DETAIL_TABLES = ["users", "families", "plans", "user_services", "user_discounts"]
 PERIODS = {
     "1m": ("1996-08-01", "1996-09-01"),
     "6m": ("1996-03-01", "1996-09-01"),
@@ -60,12 +62,21 @@ def build_marts(areas: list[Area], root: str) -> None:
     for area in areas:
         usage = stored(area.dw.content_usage, f"{root}/{area.name}/content_usage")
         area.dw.settle("content_usage", usage)
-        for table in ("users", "families", "plans", "user_services", "user_discounts"):
-            area.dw.settle(table, stored(area.dw[table], f"{root}/{area.name}/dw_{table}"))
+        _store_all(area.dw, DETAIL_TABLES, f"{root}/{area.name}/dw")
         for wave in MART_WAVES[area.name]:
-            for table in wave:
-                key = "month_key" if "month_key" in area.mart[table].columns else None
-                area.mart.settle(table, stored(area.mart[table], f"{root}/{area.name}/{table}", key))
+            _store_all(area.mart, wave, f"{root}/{area.name}/dm")
+
+
+def _store_all(tables: Tables, names: list[str], root: str) -> None:
+    frames = {name: tables[name] for name in names}
+
+    def write(name: str) -> DataFrame:
+        key = "month_key" if "month_key" in frames[name].columns else None
+        return stored(frames[name], f"{root}/{name}", key)
+
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        for name, frame in zip(names, pool.map(write, names)):
+            tables.settle(name, frame)
 
 
 def main() -> None:

@@ -40,6 +40,22 @@ def with_groups(df: DataFrame, groups: Sequence[Column]) -> DataFrame:
     return df.withColumn("_group", F.explode(F.array(*groups))).select("*", "_group.*").drop("_group")
 
 
+def fill_grid(grid: DataFrame, found: DataFrame, *keys: str) -> DataFrame:
+    """Grid rows with what was found for them. Both sides hold one row per period and group.
+
+    The keys compare null-safe, which leaves no not-null filter to push into the found side, so that
+    plans it is built from stay shared.
+    """
+    renamed = found.select(
+        *[F.col(key).alias("_" + key) for key in keys],
+        *[column for column in found.columns if column not in keys],
+    )
+    same = F.lit(True)
+    for key in keys:
+        same = same & F.col(key).eqNullSafe(F.col("_" + key))
+    return grid.join(F.broadcast(renamed), same, "left").drop(*["_" + key for key in keys])
+
+
 def single_value(df: DataFrame, value: Column) -> Column:
     """Aggregate of a frame as a scalar that is computed once per query."""
     return df.agg(value.alias("value")).scalar()

@@ -68,12 +68,15 @@ def values_at_ranks(
         lambda t: (t["rank"] > F.col("n_before")) & (t["rank"] <= F.col("n_upto")),
     )
     located = bins.select(
-        group, "bin", "n_before", "mb_before", "customers", "total_mb",
+        F.col(group).alias("_group"), F.col("bin").alias("_bin"), "n_before", "mb_before", "customers", "total_mb",
         F.inline(inside_bin).alias("target", "rank"),
     )
     within = W.partitionBy(group, "bin", "target").orderBy("value")
+    # Null-safe on both keys: a missing group is a group too, and without a not-null filter on one
+    # side both uses of the counts are the same exchange.
+    same_bin = F.col(group).eqNullSafe(F.col("_group")) & F.col("bin").eqNullSafe(F.col("_bin"))
     inside = (
-        counts.join(F.broadcast(located), [group, "bin"])
+        counts.join(F.broadcast(located), same_bin)
         .withColumn("n_le", F.col("n_before") + F.sum("n").over(within))
         .withColumn(
             "mb_le", F.col("mb_before") + F.sum(_mb(F.col("n"), F.col("value"))).over(within)

@@ -218,12 +218,13 @@ def plan_fit(
     size-checked array, so that each user meets each plan without a cross join or a shuffle of the pairs.
     `heavy_plan_names` are the unlimited plans favoured by very heavy users.
     """
-    plans = catalog_array(
-        stage.plans, "plan_id", "plan_name", "plan_family", "monthly_fee", "data_limit_gb",
-        "is_unlimited", "is_rollover",
+    bonus = F.struct("age_benefit_id", F.coalesce("bonus_data_gb", F.lit(0)))
+    bonuses = stage.plan_age_benefits.groupBy("plan_id").agg(
+        F.map_from_entries(F.collect_list(bonus)).alias("bonuses")
     )
-    bonuses = catalog_array(
-        stage.plan_age_benefits, "plan_id", "age_benefit_id", "bonus_data_gb", limit=100_000
+    plans = catalog_array(
+        stage.plans.join(bonuses, "plan_id", "left"), "plan_id", "plan_name", "plan_family",
+        "monthly_fee", "data_limit_gb", "is_unlimited", "is_rollover", "bonuses",
     )
     ranges = catalog_array(stage.age_benefits, "age_benefit_id", "min_age", "max_age", limit=1000)
     age = F.col("age")
@@ -237,16 +238,8 @@ def plan_fit(
         stage.users.select("user_id", "age", "family_id")
         .join(need, "user_id")
         .join(traits.select("user_id", "plan_spending_score", "content_affinity"), "user_id")
-        .withColumns({"_plans": plans, "_bonuses": bonuses, "_ranges": ranges})
+        .withColumns({"_plans": plans, "_ranges": ranges})
         .withColumn("benefit", F.get(own, 0)["age_benefit_id"])
-        .withColumn(
-            "bonus",
-            F.transform(
-                F.filter(F.col("_bonuses"), lambda b: b["age_benefit_id"] == F.col("benefit")),
-                lambda b: F.struct(b["plan_id"], b["bonus_data_gb"]),
-            ),
-        )
-        .withColumn("bonus", F.map_from_entries("bonus"))
     )
     need_gb, spending = F.col("need_gb"), F.col("plan_spending_score").cast("double")
     target = 30000.0 + 25000.0 * spending + F.least(F.lit(40000.0), need_gb * 300.0)
@@ -257,7 +250,9 @@ def plan_fit(
 
     def score() -> Column:
         fee = F.col("plan.monthly_fee").cast("double")
-        extra = F.coalesce(F.try_element_at("bonus", F.col("plan.plan_id")), F.lit(0)).cast("double")
+        extra = F.coalesce(
+            F.try_element_at("plan.bonuses", F.col("benefit")), F.lit(0)
+        ).cast("double")
         cap = F.coalesce(F.col("plan.data_limit_gb"), F.lit(0)).cast("double") + extra
         unlimited = F.col("plan.is_unlimited")
         used = need_gb / F.greatest(cap, F.lit(0.05))

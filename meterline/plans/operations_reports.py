@@ -16,7 +16,7 @@ from meterline.functions.measures import (
     share_pct,
 )
 from meterline.operators import selection
-from meterline.operators.frames import month_frame, per_month, with_groups
+from meterline.operators.frames import fill_grid, month_frame, per_month, with_groups
 from meterline.plans.area import Area
 from meterline.plans.marts import day
 
@@ -68,10 +68,8 @@ def monthly_usage_statistics(
     statistics = selection.medians(counts, selection.ranked_bins(counts, month), month)
     customers = F.col("customers").cast(COUNT)
     mean = F.col("total_mb") / (customers * F.lit(1024).cast("decimal(4,0)"))
-    # One row per month on either side.
     return (
-        month_frame(usage.sparkSession, start, end_exclusive)
-        .join(F.broadcast(statistics), month, "left")
+        fill_grid(month_frame(usage.sparkSession, start, end_exclusive), statistics, month)
         .select(
             month,
             F.coalesce("customers", F.lit(0)).alias("recorded_customer_count"),
@@ -208,8 +206,7 @@ def usage_distribution(
     grid = with_groups(month_frame(usage.sparkSession, start, end_exclusive), groups)
     customers = F.coalesce("group_customers", F.lit(0))
     mb = F.coalesce("group_mb", F.lit(0).cast(EXACT_MB))
-    # At most one row per month and group on either side.
-    joined = grid.join(F.broadcast(found), [month, "group_label"], "left").withColumns(
+    joined = fill_grid(grid, found, month, "group_label").withColumns(
         {
             "customers": F.max("customers").over(whole),
             "total_mb": F.max("total_mb").over(whole),
@@ -241,7 +238,7 @@ def bundle_internet_matrix(area: Area) -> DataFrame:
     total = families.agg(F.count("*")).scalar()
     count = F.coalesce("family_count", F.lit(0))
     return (
-        grid.join(F.broadcast(counted), ["has_bundle", "has_home_internet"], "left")
+        fill_grid(grid, counted, "has_bundle", "has_home_internet")
         .select(
             "has_bundle",
             "has_home_internet",
