@@ -30,6 +30,17 @@ def rule(name: str, failing: DataFrame) -> DataFrame:
     return failing.agg(F.lit(name).alias("rule_name"), F.count("*").alias("failed_rows"))
 
 
+def fk_rule(
+    name: str, child: DataFrame, parent: DataFrame, key: str, parent_key: str | None = None
+) -> DataFrame:
+    """Child rows without a parent. Rows are counted per key before the join, so that a key with many
+    rows crosses the network once."""
+    counted = child.groupBy(key).agg(F.count("*").alias("n"))
+    return orphans(counted, parent, key, parent_key).agg(
+        F.lit(name).alias("rule_name"), F.coalesce(F.sum("n"), F.lit(0)).alias("failed_rows")
+    )
+
+
 def row_rules(df: DataFrame, conditions: Mapping[str, Column]) -> DataFrame:
     """Several row conditions counted in one pass over the table."""
     counted = df.agg(
@@ -61,6 +72,15 @@ def counts_agree(name: str, left: DataFrame, right: DataFrame) -> DataFrame:
     )
 
 
+def count_matches(name: str, rows: DataFrame, counted: DataFrame) -> DataFrame:
+    """One failing row if the row count differs from a sum of counts `n`."""
+    a = rows.agg(F.count("*")).scalar()
+    return counted.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).select(
+        F.lit(name).alias("rule_name"),
+        F.when(F.col("n") != a, 1).otherwise(0).cast("bigint").alias("failed_rows"),
+    )
+
+
 def union_rules(*rules: DataFrame) -> DataFrame:
     result = rules[0]
     for frame in rules[1:]:
@@ -127,9 +147,9 @@ def staging_rules(stage: Tables) -> DataFrame:
             stage.age_benefits,
             {"staging_age_benefit_range": F.col("max_age") < F.col("min_age")},
         ),
-        rule("staging_users_plan_fk", orphans(stage.users, stage.plans, "current_plan_id", "plan_id")),
-        rule("staging_users_family_fk", orphans(stage.users, stage.families, "family_id")),
-        rule("staging_usage_user_fk", orphans(stage.content_usage, stage.users, "user_id")),
+        fk_rule("staging_users_plan_fk", stage.users, stage.plans, "current_plan_id", "plan_id"),
+        fk_rule("staging_users_family_fk", stage.users, stage.families, "family_id"),
+        fk_rule("staging_usage_user_fk", stage.content_usage, stage.users, "user_id"),
         rule("staging_bundle_fk", bundle_failures),
         rule("staging_plan_benefit_fk", offer_failures),
         rule("staging_user_service_fk", pick_failures),
@@ -153,7 +173,7 @@ def incremental_staging_rules(
                 "incremental_date_range": ~F.col("usage_date").between(day(first), day(last)),
             },
         ),
-        rule("incremental_user_fk", orphans(usage, users, "user_id")),
+        fk_rule("incremental_user_fk", usage, users, "user_id"),
         listed.select(
             F.lit("incremental_manifest_rows").alias("rule_name"),
             F.when(F.col("n") != staged, 1).otherwise(0).cast("bigint").alias("failed_rows"),
@@ -189,16 +209,27 @@ def _bounds_lost(dw: Tables, stage: Tables) -> DataFrame:
     return reconcile(dw.age_benefits, stage.age_benefits, "age_benefit_id", ["min_age", "max_age"])
 
 
-def _early_usage(dw: Tables, key: str) -> DataFrame:
+def _per_day(usage: DataFrame, key: str) -> DataFrame:
+    """Rows and usage of a customer's day: what joins with customers need, at most one row per day."""
+    return usage.groupBy(key, "usage_date").agg(
+        F.count("*").alias("n"), F.sum("data_usage_mb").alias("mb")
+    )
+
+
+def _early_rule(name: str, dw: Tables, key: str) -> DataFrame:
     starts = dw.users.select(key, "subscription_start_date")
-    return dw.content_usage.join(starts, key).where(
+    early = _per_day(dw.content_usage, key).join(starts, key).where(
         F.col("usage_date") < F.col("subscription_start_date")
     )
+    return early.agg(
+        F.lit(name).alias("rule_name"), F.coalesce(F.sum("n"), F.lit(0)).alias("failed_rows")
+    )
 
 
-def _eligible(stage: Tables, reference_date: str | None) -> DataFrame:
-    starts = stage.users.select("user_id", "subscription_start_date")
-    return eligible_usage(stage.content_usage, starts, reference_date)
+def _eligible(usage: DataFrame, users: DataFrame, reference_date: str | None = None) -> DataFrame:
+    """Eligible usage per customer and day, as rows `n` and usage `mb`."""
+    starts = users.select("user_id", "subscription_start_date")
+    return eligible_usage(_per_day(usage, "user_id"), starts, reference_date)
 
 
 def operations_warehouse_rules(dw: Tables, stage: Tables, reference_date: str) -> DataFrame:
@@ -207,9 +238,9 @@ def operations_warehouse_rules(dw: Tables, stage: Tables, reference_date: str) -
         rule("operations_dw_age_benefit_bounds_preserved", _bounds_lost(dw, stage)),
         totals_agree(
             "operations_dw_usage_total", dw.content_usage, "data_usage_mb",
-            _eligible(stage, reference_date), "data_usage_mb",
+            _eligible(stage.content_usage, stage.users, reference_date), "mb",
         ),
-        rule("operations_dw_pre_subscription_usage", _early_usage(dw, "analysis_user_key")),
+        _early_rule("operations_dw_pre_subscription_usage", dw, "analysis_user_key"),
         row_rules(
             dw.users,
             {"operations_dw_key_format": ~F.col("analysis_user_key").rlike(key_pattern("user"))},
@@ -227,13 +258,13 @@ def _names_changed(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def personalization_warehouse_rules(dw: Tables, stage: Tables, reference_date: str) -> DataFrame:
-    eligible = _eligible(stage, reference_date)
+    eligible = _eligible(stage.content_usage, stage.users, reference_date)
     return union_rules(
         rule("personalization_dw_14_table_counts", table_count_differences(dw, stage)),
-        counts_agree("personalization_dw_usage_rows", dw.content_usage, eligible),
+        count_matches("personalization_dw_usage_rows", dw.content_usage, eligible),
         rule("personalization_dw_age_benefit_bounds_preserved", _bounds_lost(dw, stage)),
         rule("personalization_dw_name_preserved", _names_changed(dw.users, stage.users)),
-        rule("personalization_dw_pre_subscription_usage", _early_usage(dw, "user_id")),
+        _early_rule("personalization_dw_pre_subscription_usage", dw, "user_id"),
         rule(
             "personalization_dw_detail_grain",
             duplicates(
@@ -308,19 +339,18 @@ def incremental_warehouse_rules(
     window = dw.replace(
         content_usage=dw.content_usage.where(F.col("usage_date").between(day(first), day(last)))
     )
-    eligible = eligible_usage(staged, users.select("user_id", "subscription_start_date"))
+    eligible = _eligible(staged, users)
     grain = [key, "usage_date", "content_category"]
     rules = [
         totals_agree(
-            f"{area}_dw_incremental_total", window.content_usage, "data_usage_mb", eligible,
-            "data_usage_mb",
+            f"{area}_dw_incremental_total", window.content_usage, "data_usage_mb", eligible, "mb",
         ),
-        rule(f"{area}_dw_incremental_pre_subscription_usage", _early_usage(window, key)),
+        _early_rule(f"{area}_dw_incremental_pre_subscription_usage", window, key),
     ]
     if area == "personalization":
         grain.append("content_detail")
         rules.append(
-            counts_agree("personalization_dw_incremental_rows", window.content_usage, eligible)
+            count_matches("personalization_dw_incremental_rows", window.content_usage, eligible)
         )
     rules.append(rule(f"{area}_dw_incremental_grain", duplicates(window.content_usage, *grain)))
     return union_rules(*rules)
@@ -516,7 +546,7 @@ def user_rules(users: DataFrame, plans: DataFrame) -> DataFrame:
     limit = F.greatest(F.greatest(F.col("age") - 8, F.lit(0)) * 12 + 11, F.lit(1))
     alone = ~F.col("has_family")
     return union_rules(
-        rule("users_plan_fk", orphans(users, plans, "current_plan_id", "plan_id")),
+        fk_rule("users_plan_fk", users, plans, "current_plan_id", "plan_id"),
         row_rules(
             users,
             {
@@ -790,8 +820,8 @@ def policy_rules(stage: Tables) -> DataFrame:
         rules.sparkSession, [("D003",), ("D004",)], "discount_id string"
     )
     return union_rules(
-        rule("internet_rule_discount_fk", orphans(rules, stage.discounts, "discount_id")),
-        rule("premium_rule_discount_fk", orphans(premium, stage.discounts, "discount_id")),
+        fk_rule("internet_rule_discount_fk", rules, stage.discounts, "discount_id"),
+        fk_rule("premium_rule_discount_fk", premium, stage.discounts, "discount_id"),
         rule("internet_rule_unique", duplicates(
             rules, "discount_id", "bundle_discount_method", "rule_type", "internet_product_group",
             "contract_months", "mobile_total_fee_min", "mobile_line_fee_min",
@@ -898,16 +928,16 @@ def master_rules(stage: Tables, assigned_benefits: DataFrame) -> DataFrame:
         ages, "current_age_benefit_id"
     )
     return union_rules(
-        rule("plan_benefits_plan_fk", orphans(offers, plans, "plan_id")),
-        rule("plan_benefits_service_fk", orphans(offers, stage.additional_services, "service_id")),
-        rule("plan_age_benefits_plan_fk", orphans(stage.plan_age_benefits, plans, "plan_id")),
-        rule("plan_age_benefits_age_fk", orphans(stage.plan_age_benefits, stage.age_benefits, "age_benefit_id")),
+        fk_rule("plan_benefits_plan_fk", offers, plans, "plan_id"),
+        fk_rule("plan_benefits_service_fk", offers, stage.additional_services, "service_id"),
+        fk_rule("plan_age_benefits_plan_fk", stage.plan_age_benefits, plans, "plan_id"),
+        fk_rule("plan_age_benefits_age_fk", stage.plan_age_benefits, stage.age_benefits, "age_benefit_id"),
         rule("plan_age_benefits_unique", duplicates(stage.plan_age_benefits, "plan_id", "age_benefit_id")),
         row_rules(plans, {"plan_prefix": ~F.coalesce(F.col("plan_id").startswith(prefix), F.lit(False))}),
         rule("choice_plan_offer", without_offer("CHOICE", "CHOICE")),
         rule("double_choice_plan_offer", without_offer("CHOICE_DOUBLE", "DOUBLE_CHOICE")),
-        rule("user_services_user_fk", orphans(picks, stage.users, "user_id")),
-        rule("user_services_service_fk", orphans(picks, stage.additional_services, "service_id")),
+        fk_rule("user_services_user_fk", picks, stage.users, "user_id"),
+        fk_rule("user_services_service_fk", picks, stage.additional_services, "service_id"),
         rule("user_services_unique", duplicates(picks, "user_id", "service_id")),
         rule("user_services_offered", not_offered),
         row_rules(
@@ -968,7 +998,7 @@ def partition_rules(usage: DataFrame, users: DataFrame) -> DataFrame:
         extra(
             "usage_duplicate_grain", "user_id", "usage_date", "content_category", "content_detail"
         ),
-        rule("usage_orphan_user", orphans(usage, users, "user_id")),
+        fk_rule("usage_orphan_user", usage, users, "user_id"),
     )
 
 
@@ -1001,16 +1031,16 @@ def reference_rules(stage: Tables) -> DataFrame:
     bundled = families.where(F.col("has_bundle")).join(roles, "family_id", "left").na.fill(0)
     allocation = F.col("total_discount_allocation_method")
     return union_rules(
-        rule("ref_users_plan", orphans(stage.users, stage.plans, "current_plan_id", "plan_id")),
-        rule("ref_users_family", orphans(stage.users, families, "family_id")),
-        rule("ref_component_family", orphans(components, families, "family_id")),
-        rule("ref_mobile_user", orphans(unknown_user, stage.users, "user_id")),
-        rule("ref_entitlement_user", orphans(rows, stage.users, "user_id")),
-        rule("ref_entitlement_component", orphans(rows, components, "bundle_composition_id")),
-        rule("ref_entitlement_discount", orphans(rows, stage.discounts, "discount_id")),
-        rule("ref_internet_rule_discount", orphans(stage.internet_bundle_discount_rules, stage.discounts, "discount_id")),
-        rule("ref_premium_rule_discount", orphans(stage.premium_family_discount_rules, stage.discounts, "discount_id")),
-        rule("ref_usage_user", orphans(stage.content_usage, stage.users, "user_id")),
+        fk_rule("ref_users_plan", stage.users, stage.plans, "current_plan_id", "plan_id"),
+        fk_rule("ref_users_family", stage.users, families, "family_id"),
+        fk_rule("ref_component_family", components, families, "family_id"),
+        fk_rule("ref_mobile_user", unknown_user, stage.users, "user_id"),
+        fk_rule("ref_entitlement_user", rows, stage.users, "user_id"),
+        fk_rule("ref_entitlement_component", rows, components, "bundle_composition_id"),
+        fk_rule("ref_entitlement_discount", rows, stage.discounts, "discount_id"),
+        fk_rule("ref_internet_rule_discount", stage.internet_bundle_discount_rules, stage.discounts, "discount_id"),
+        fk_rule("ref_premium_rule_discount", stage.premium_family_discount_rules, stage.discounts, "discount_id"),
+        fk_rule("ref_usage_user", stage.content_usage, stage.users, "user_id"),
         row_rules(
             families,
             {
