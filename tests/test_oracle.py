@@ -7,9 +7,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from checks import registry
 
 FOLDER = Path("/root/testdata/sf0.001")
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+OWN = registry.queries()
+QUERIES, ORACLES = OWN, registry.oracle_sql()
 SAMPLE = [
     "a01_plan_mix_by_age_band", "a02_monthly_usage_statistics", "a03_usage_against_allowance",
     "a05_usage_distribution_all", "a13_recent_usage", "b18_customer_daily_usage",
@@ -29,6 +31,7 @@ def oracle():
 
 def test_every_query_has_an_oracle():
     assert set(ORACLES) == set(QUERIES)
+    assert set(OWN) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
 @pytest.mark.skipif(not FOLDER.exists(), reason="no test data")
