@@ -5,10 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from meterline.session import configure
 
+from .bpe import encode_decode
 from .common import table
+from .packing import pack
 from .sharding import shard_by_bytes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,3 +34,19 @@ def query(name: str, sql: str | None = None):
 @query("op10_sharding")
 def sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_by_bytes(table(spark, sf_dir, "documents"))
+
+
+@query("op6_bpe")
+def bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = encode_decode(table(spark, sf_dir, "documents"))
+    return encoded.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+@query("op9_packing")
+def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents")).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
