@@ -12,6 +12,8 @@ from meterline.session import configure
 from .bpe import encode_decode
 from .common import table
 from .packing import pack
+from .pii import BASE, pii_spans
+from .rules import quality_rules
 from .sharding import shard_by_bytes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,3 +52,27 @@ def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents")).select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
+
+
+@query("op7_pii")
+def pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii_spans(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda x: x["kind"].isin(BASE))
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+
+    def of_kind(kind):
+        return lambda x: x["kind"] == kind
+
+    counts = [
+        F.size(F.filter("spans", of_kind(kind))).cast("long").alias(f"n_{kind}") for kind in BASE
+    ]
+    return found.select(
+        "doc_id", *counts, F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans")
+    )
+
+
+@query("op5_rules")
+def rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents"))
