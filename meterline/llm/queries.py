@@ -11,10 +11,13 @@ from meterline.session import configure
 
 from .bpe import encode_decode
 from .common import table
+from .language import identify
 from .packing import pack
 from .pii import BASE, pii_spans
+from .quality import score_quality
 from .rules import quality_rules
 from .sharding import shard_by_bytes
+from .toxicity import score_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -76,3 +79,18 @@ def pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_rules")
 def rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
+
+
+@query("op2_language")
+def language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
+@query("op3_quality")
+def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op4_toxicity")
+def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
