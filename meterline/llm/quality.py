@@ -58,7 +58,7 @@ class Network:
     def pooled(self, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Max-pooled responses of all chunks of all texts, and the first chunk of each text (and the end)."""
         sizes = np.diff(ends)
-        pad = FILTER - 1
+        pad = FILTER  # an empty text, too, is followed by as many zeros as a filter sees
         shift = np.arange(len(sizes)) * pad
         padded = np.zeros(len(data) + pad * (len(sizes) + 1), np.uint8)
         padded[np.arange(len(data)) + np.repeat(shift, sizes)] = data
@@ -71,7 +71,7 @@ class Network:
         at = 0
         while at < len(starts):
             to = max(at + 1, int(np.searchsorted(stops, starts[at] + STRIP, "right")))
-            strip = self.responses(padded[starts[at] : stops[to - 1] + pad])
+            strip = self.responses(padded[starts[at] : stops[to - 1] + FILTER - 1])
             # Cells follow one another, but for the padding between two texts, which is left out of the maximum.
             bounds = np.stack([starts[at:to], stops[at:to]], 1).ravel() - starts[at]
             cells[at:to] = np.maximum.reduceat(strip, bounds[:-1] if bounds[-1] == len(strip) else bounds, axis=0)[::2]

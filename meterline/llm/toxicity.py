@@ -160,11 +160,10 @@ def fitted(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Weights of a logistic function (the last: its constant), with a small penalty, by Newton's method."""
     x = np.concatenate([x, np.ones((len(x), 1))], 1)
     w = np.zeros(x.shape[1])
-    weight = np.where(y == 1, 0.5 / max(y.mean(), 1e-9), 0.5 / max(1 - y.mean(), 1e-9))
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        slope = x.T @ (weight * (p - y)) + 0.1 * w
-        bend = (x * (weight * p * (1 - p))[:, None]).T @ x + 0.1 * np.eye(len(w))
+        slope = x.T @ (p - y) + 0.1 * w
+        bend = (x * (p * (1 - p))[:, None]).T @ x + 0.1 * np.eye(len(w))
         w -= np.linalg.solve(bend, slope)
     return w
 
