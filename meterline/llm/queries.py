@@ -12,6 +12,7 @@ from meterline.session import configure
 from .bpe import encode_decode
 from .common import table
 from .language import identify
+from .near_text import near_duplicates
 from .packing import pack
 from .pii import BASE, pii_spans
 from .quality import score_quality
@@ -94,3 +95,29 @@ def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_toxicity")
 def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+NEAR_TEXT_SQL = r"""
+with words as materialized (
+  select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '') as w from documents),
+sets as materialized (
+  select distinct doc_id, unnest(case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')] else
+         list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' ')) end) as s from words),
+sizes as materialized (select doc_id, count(*) as n from sets group by doc_id),
+pairs as materialized (
+  select a.doc_id as a, b.doc_id as b, count(*) as common from sets a join sets b on a.s = b.s and a.doc_id <> b.doc_id
+  group by 1, 2),
+links as materialized (
+  select a, b from pairs join sizes x on x.doc_id = a join sizes y on y.doc_id = b
+  where 100 * common >= 75 * (x.n + y.n - common)),
+reach as (
+  select doc_id as a, doc_id as b from words union select r.a, l.b from reach r join links l on l.a = r.b)
+select w.doc_id, coalesce(n, 0) as n_shingles, m.c as component_id, m.c = w.doc_id as kept
+from words w left join sizes s on s.doc_id = w.doc_id join (select a, min(b) as c from reach group by a) m on m.a = w.doc_id
+""".replace("with words", "with recursive words")
+
+
+@query("op1_near_text", NEAR_TEXT_SQL)
+def near_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
