@@ -13,6 +13,7 @@ from .bpe import encode_decode
 from .common import table
 from .language import identify
 from .near_text import near_duplicates
+from .near_vectors import near_vectors
 from .packing import pack
 from .pii import BASE, pii_spans
 from .quality import score_quality
@@ -100,10 +101,10 @@ def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 NEAR_TEXT_SQL = r"""
 with words as materialized (
   select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-         'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '') as w from documents),
+         'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from documents),
 sets as materialized (
   select distinct doc_id, unnest(case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')] else
-         list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' ')) end) as s from words),
+         list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end) as s from words),
 sizes as materialized (select doc_id, count(*) as n from sets group by doc_id),
 pairs as materialized (
   select a.doc_id as a, b.doc_id as b, count(*) as common from sets a join sets b on a.s = b.s and a.doc_id <> b.doc_id
@@ -121,3 +122,8 @@ from words w left join sizes s on s.doc_id = w.doc_id join (select a, min(b) as
 @query("op1_near_text", NEAR_TEXT_SQL)
 def near_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op8_near_vectors")
+def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
