@@ -62,6 +62,23 @@ def mapped(df: DataFrame, block: Callable[[pa.RecordBatch], pa.RecordBatch], sch
     return df.mapInArrow(lambda batches: map(block, slices(batches)), schema)
 
 
+def appended(docs: DataFrame, add: Callable[[pa.Array], dict[str, pa.Array]], schema: str) -> DataFrame:
+    """docs with columns (named by schema) that add makes from the texts, a null text being an empty one."""
+
+    def extend(batches):
+        for batch in batches:
+            text = batch.column("text")
+            rows = batch.append_column("_text", text.fill_null("") if text.null_count else text)
+            for part in slices([rows], "_text"):
+                new = add(part.column("_text"))
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns[:-1], *new.values()], [*batch.schema.names, *new]
+                )
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    return docs.mapInArrow(extend, f"{fields}, {schema}")
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ends = np.cumsum(byte_lengths(batch.column(column)))

@@ -7,13 +7,15 @@ piece probabilities are learned by expectation maximisation from a bounded sampl
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_segment, mapped, text_bytes, text_rows
-from .letters import by_length, distinct, joined, letter_words, lowered, remainder, some_of_each
+from .common import appended, by_segment, mapped, text_bytes, text_rows
+from .letters import by_length, distinct, joined, learned_from, letter_words, lowered, remainder, some_of_each
 
 #: Bytes of the longest piece, with the mark of a word's start; a piece fits an unsigned 64-bit integer.
 PIECE = 8
@@ -149,14 +151,29 @@ def identify(docs: DataFrame, vocabulary_path: str | None = None, sample: int =
     languages the first by name is taken. A null id is not held out. Repeated rows are judged each for itself, an
     empty table gives no rows, and columns but doc_id, text and lang are not read.
     """
-    held_out = (remainder("doc_id", 4) == 2).alias("held_out")
-    source = docs.select("doc_id", "text", "lang").filter(remainder("doc_id", 4) != 2)
+    judge = judged(docs, vocabulary_path, sample)
+
+    def rows_of(part: pa.RecordBatch) -> pa.RecordBatch:
+        langs, scores = judge(part.column("text"))
+        return pa.RecordBatch.from_pydict({
+            "doc_id": part.column("doc_id"), "held_out": part.column("held_out"), "lang_pred": langs, "score": scores,
+        })
+
+    rows = text_rows(docs, (remainder("doc_id", 4) == 2).alias("held_out"))
+    rows = rows.withColumn("doc_id", F.col("doc_id").cast("long"))
+    return mapped(rows, rows_of, "doc_id long, held_out boolean, lang_pred string, score double")
+
+
+def judged(
+    docs: DataFrame, vocabulary_path: str | None = None, sample: int = SAMPLE
+) -> Callable[[pa.Array], tuple[pa.Array, pa.Array]]:
+    """A function of texts that gives their languages and scores."""
+    source = docs.select("doc_id", "text", F.col("lang").alias("label")).filter(remainder("doc_id", 4) != 2)
     pieces = vocabulary(vocabulary_path)
-    names, chance = learn(some_of_each(source, "lang", sample), pieces)
+    names, chance = learn(learned_from(some_of_each(source.dropna(), "label", sample)), pieces)
 
-    def judge(part: pa.RecordBatch) -> pa.RecordBatch:
-        texts = part.column("text")
-        langs, scores = ["und"] * part.num_rows, np.zeros(part.num_rows)
+    def judge(texts: pa.Array) -> tuple[pa.Array, pa.Array]:
+        langs, scores = ["und"] * len(texts), np.zeros(len(texts))
         if names:
             data, ends = text_bytes(texts)
             totals, n = likelihoods(data, ends, Lattice(pieces), chance)
@@ -164,13 +181,15 @@ def identify(docs: DataFrame, vocabulary_path: str | None = None, sample: int =
             scaled = (totals - totals.max(1, keepdims=True)) / np.maximum(n, 1)[:, None] * np.minimum(n, EVIDENCE)[:, None]
             sure = 1 / np.exp(scaled).sum(1)
             plain = by_segment(np.logical_or, (data | 0x20 >= 97) & (data | 0x20 <= 122), ends, False)
-            for k in range(part.num_rows):
+            for k in range(len(texts)):
                 if n[k] and (plain[k] or any(c.isalpha() for c in texts[k].as_py())):
                     langs[k], scores[k] = names[best[k]], sure[k]
-        return pa.RecordBatch.from_pydict({
-            "doc_id": part.column("doc_id"), "held_out": part.column("held_out"),
-            "lang_pred": pa.array(langs, pa.string()), "score": pa.array(scores),
-        })
+        return pa.array(langs, pa.string()), pa.array(scores, pa.float64())
+
+    return judge
+
 
-    rows = text_rows(docs, held_out).withColumn("doc_id", F.col("doc_id").cast("long"))
-    return mapped(rows, judge, "doc_id long, held_out boolean, lang_pred string, score double")
+def with_language(docs: DataFrame, name: str, sure: str) -> DataFrame:
+    """docs with the language and the score of each row as columns."""
+    judge = judged(docs)
+    return appended(docs, lambda texts: dict(zip((name, sure), judge(texts))), f"{name} string, {sure} double")

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, byte_lengths, rolling, slices
+from .common import LOWER, rolling, slices
 
 #: Bytes of the longest word; a longer run of letters is cut into such words.
 LONGEST = 48
@@ -67,32 +67,41 @@ def remainder(column: str, divisor: int) -> Column:
     return F.coalesce(F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(divisor)), F.lit(1))
 
 
-def some_of_each(rows: DataFrame, label: str, total: int) -> list[tuple]:
-    """Label and part of the text of about total rows, the same number for each label or all it has.
+def some_of_each(rows: DataFrame, label: str, total: int) -> DataFrame:
+    """About total of the rows (doc_id and label), the same number for each label or all it has; place is added.
 
     The hash of its id decides whether a row is taken. Labels are counted first; then the share of each label's rows
-    that comes near its part of total is taken. A row gives SAMPLE_BYTES bytes of text at most, from a place
-    that the hash decides, so the driver receives no more than about total * SAMPLE_BYTES.
+    that comes near its part of total is taken.
     """
-    rows = rows.filter(F.col(label).isNotNull() & F.col("text").isNotNull())
+    rows = rows.filter(F.col(label).isNotNull())
     counts = {row[label]: row["n"] for row in rows.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
-        return []
+        return rows.withColumn("place", F.lit(0.0)).limit(0)
     part = total // len(counts)
     shares = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, part / n))])
     place = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 30)) / F.lit(1 << 30)
-    taken = rows.filter(place < shares[F.col(label)]).select(F.col(label).alias("label"), "text", place.alias("place"))
+    return rows.filter(place < shares[F.col(label)]).withColumn("place", place)
+
+
+def learned_from(taken: DataFrame) -> list[tuple]:
+    """Place, label and text of the rows that some_of_each() took.
+
+    A row gives SAMPLE_BYTES bytes of text at most, from a place that the hash decides, so the driver receives no more
+    than the sample's size times that.
+    """
 
     def cut(batches):
         for part in slices(batches):
-            texts = [
-                x.as_buffer().to_pybytes() if n <= SAMPLE_BYTES else x.as_buffer().to_pybytes()[(at := int(p * (n - SAMPLE_BYTES))) : at + SAMPLE_BYTES]
-                for x, n, p in zip(part.column("text"), byte_lengths(part.column("text")), part.column("place").to_pylist())
-            ]
+            texts = []
+            for text, place in zip(part.column("text"), part.column("place").to_pylist()):
+                data = text.as_buffer().to_pybytes()
+                at = int(place * max(0, len(data) - SAMPLE_BYTES))
+                texts.append(data[at : at + SAMPLE_BYTES])
             yield pa.RecordBatch.from_arrays([part.column("label"), part.column("place"), pa.array(texts, pa.binary())], ["label", "place", "text"])
 
-    kind = dict(taken.dtypes)["label"]
-    found = taken.mapInArrow(cut, f"label {kind}, place double, text binary").collect()
+    rows = taken.filter("text is not null").select("label", "place", "text")
+    kind = dict(rows.dtypes)["label"]
+    found = rows.mapInArrow(cut, f"label {kind}, place double, text binary").collect()
     return sorted((row["place"], row["label"], bytes(row["text"])) for row in found)
 
 

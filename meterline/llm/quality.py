@@ -8,13 +8,15 @@ evidence of all chunks gives one probability. Positions that run past the end of
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mapped, text_bytes, text_rows
-from .letters import joined, remainder, some_of_each
+from .common import appended, mapped, text_bytes, text_rows
+from .letters import joined, learned_from, remainder, some_of_each
 
 FILTER, FILTERS, HIDDEN = 5, 16, 16
 #: Bytes of a cell; a chunk is CELLS cells, and the next chunk begins STEP cells further.
@@ -149,16 +151,26 @@ def score_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> D
     0.5. A null id is not held out. Repeated rows are scored each for itself, an empty table gives no rows, and
     other columns are not read.
     """
-    net = learn(labelled_sample(docs, labels, "quality", 5, 0, sample))
+    score = scorer(docs, labels, sample)
 
     def judge(part: pa.RecordBatch) -> pa.RecordBatch:
-        score = net.scores(*text_bytes(part.column("text"))) if net else np.full(part.num_rows, 0.5)
-        return scored(part, score)
+        return scored(part, score(part.column("text")))
 
     rows = text_rows(docs, (remainder("doc_id", 5) == 0).alias("held_out"))
     return mapped(rows.withColumn("doc_id", F.col("doc_id").cast("long")), judge, SCORED)
 
 
+def scorer(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Callable[[pa.Array], np.ndarray]:
+    net = learn(labelled_sample(docs, labels, "quality", 5, 0, sample))
+    return lambda texts: net.scores(*text_bytes(texts)) if net else np.full(len(texts), 0.5)
+
+
+def with_quality(docs: DataFrame, labels: DataFrame, name: str) -> DataFrame:
+    """docs with the score of each row as column name."""
+    score = scorer(docs, labels)
+    return appended(docs, lambda texts: {name: pa.array(score(texts), pa.float64())}, f"{name} double")
+
+
 SCORED = "doc_id long, held_out boolean, score double, predicted int"
 
 
@@ -172,8 +184,10 @@ def scored(part: pa.RecordBatch, score: np.ndarray) -> pa.RecordBatch:
 def labelled_sample(docs: DataFrame, labels: DataFrame, name: str, divisor: int, out: int, sample: int) -> list[tuple]:
     """Bounded sample of texts with label name, of rows whose remainder is not out.
 
-    The labelled ids are sampled before they meet the texts.
+    The labelled ids are sampled before they meet the texts. They are about so many as sample says, whatever the size
+    of the input, so they are broadcast.
     """
     known = labels.select("doc_id", F.col(name).alias("label")).dropna()
     known = known.filter(remainder("doc_id", divisor) != out).groupBy("doc_id").agg(F.max("label").alias("label"))
-    return some_of_each(docs.select("doc_id", "text").join(known, "doc_id"), "label", sample)
+    taken = some_of_each(known, "label", sample)
+    return learned_from(docs.select("doc_id", "text").join(F.broadcast(taken), "doc_id"))
