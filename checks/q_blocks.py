@@ -1,7 +1,10 @@
 """Scalar functions, joins, aggregates, windows and sources (F-*, J-*, G-*, W-*, O-*, U-*, S-*)."""
 
+from uuid import uuid4
+
 from pyspark.sql import functions as F
 
+from checks.fixtures import SOURCE_NAMES
 from checks.q_layers import USER_KEY
 from checks.registry import BAND_SQL, REFERENCE, SECRET, check, key_sql, rnd
 from meterline import fixed_values as fixed
@@ -13,7 +16,7 @@ from meterline.plans.warehouse import public_master
 from meterline.schemas import MASTER_TABLES
 from meterline.session import shared_folder
 from meterline.sources import csv_tables
-from meterline.sources.analysis_release import analysis_release, row_counts
+from meterline.sources.analysis_release import analysis_release, row_counts, write_analysis_release
 from meterline.sources.paths import join
 
 
@@ -249,7 +252,7 @@ def _(c):
 
 
 def _written_usage(c) -> str:
-    root = join(shared_folder(c.spark), "usage-by-day-" + c.folder.rstrip("/").split("/")[-1])
+    root = join(shared_folder(c.spark), f"usage-by-day-{uuid4().hex}")
     csv_tables.write_usage_partitions(c.recent.content_usage, root)
     return root
 
@@ -272,7 +275,7 @@ select * from (
  select 'user_discounts', count(*) from user_discounts union all
  select 'user_services', count(*) from user_services) t""")
 def _(c):
-    folder = join(shared_folder(c.spark), "masters-" + c.folder.rstrip("/").split("/")[-1])
+    folder = join(shared_folder(c.spark), f"masters-{uuid4().hex}")
     for name in MASTER_TABLES:
         c.stage[name].write.option("header", True).mode("overwrite").csv(
             join(folder, name + ".csv")
@@ -347,11 +350,10 @@ def _(c):
     return _release(c).content_usage
 
 
-@check("s08_release_counts", """
-select * from (select 'users' as table_name, count(*) as row_count from users union all
- select 'families', count(*) from families union all
- select 'content_usage', count(*) from content_usage union all
- select 'user_discounts', count(*) from user_discounts) t""")
+@check("s08_release_counts", " union all ".join(
+    f"select '{name}' as table_name, count(*) as row_count from {name}" for name in SOURCE_NAMES))
 def _(c):
-    names = ["users", "families", "content_usage", "user_discounts"]
-    return row_counts(_release(c)).where(F.col("table_name").isin(*names))
+    folder = join(shared_folder(c.spark), f"release-{uuid4().hex}")
+    manifest = write_analysis_release(_release(c), folder, reference_date=REFERENCE)
+    rows = [(name, facts["row_count"]) for name, facts in manifest["tables"].items()]
+    return c.spark.createDataFrame(rows, "table_name string, row_count long")

@@ -282,10 +282,10 @@ def score_sql() -> str:
     return f"""
 with t as ({TRAITS}),
  n as (select user_id, cast(sum(k) as double)/1000/count(*)*30.0/1024.0 as need from day_usage group by 1),
- p as (select t.*, n.need, q.plan_id, q.plan_family, cast(q.monthly_fee as double) as fee, q.is_unlimited,
+ p as (select t.*, coalesce(n.need,0) as need, q.plan_id, q.plan_family, cast(q.monthly_fee as double) as fee, q.is_unlimited,
   q.is_rollover, cast(coalesce(q.data_limit_gb,0) as double)+cast(coalesce(b.bonus_data_gb,0) as double) as cap,
-  30000.0+25000.0*t.spending+least(40000.0,n.need*300.0) as target
-  from t join n on n.user_id=t.user_id cross join plans q
+  30000.0+25000.0*t.spending+least(40000.0,coalesce(n.need,0)*300.0) as target
+  from t left join n on n.user_id=t.user_id cross join plans q
   left join user_benefit ub on ub.user_id=t.user_id
   left join plan_age_benefits b on b.plan_id=q.plan_id and b.age_benefit_id=ub.age_benefit_id),
  r as (select *, need/greatest(cap,0.05) as used from p),
@@ -303,10 +303,11 @@ with t as ({TRAITS}),
 
 
 @check("r01_plan_fit", score_sql() + """
-select user_id, plan_id, round(score,6) as fit_score from s""")
+select user_id, round(score,6) as fit_score from (select *, row_number() over (partition by user_id
+  order by score desc, plan_id) as place from s) where place<=3""")
 def _(c):
-    return features.plan_fit(c.stage, _traits(c)).select(
-        "user_id", "plan_id", F.round("fit_score", 6).alias("fit_score")
+    return features.plan_fit(c.stage, _traits(c), top=3).select(
+        "user_id", F.round("fit_score", 6).alias("fit_score")
     )
 
 

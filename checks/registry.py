@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +13,7 @@ from meterline.plans.area import Area, operations_area, personalization_area
 from meterline.plans.tables import Tables
 from meterline.session import configure
 
-SECRET = "fixture-secret"
+SECRET = "fixture-secret-of-more-than-32-characters"
 REFERENCE = "2001-09-01"
 RECENT_REFERENCE = "2024-01-31"
 START, END = "1996-01-01", "1997-01-01"
@@ -46,11 +45,6 @@ class Context:
         return personalization_area(self.recent, reference_date=RECENT_REFERENCE)
 
 
-@lru_cache(maxsize=4)
-def _context(spark: SparkSession, folder: str) -> Context:
-    return Context(spark, folder)
-
-
 def plain(df: DataFrame) -> DataFrame:
     """Comparable types: decimals as double, small integers as bigint."""
     columns = []
@@ -70,7 +64,7 @@ def check(name: str, sql: str | None = None):
     def register(build: Callable[[Context], DataFrame]):
         if name in QUERIES:
             raise ValueError(f"{name} is registered twice")
-        QUERIES[name] = lambda spark, folder: plain(build(_context(spark, str(folder))))
+        QUERIES[name] = lambda spark, folder: plain(build(Context(spark, str(folder))))
         if sql is not None:
             ORACLES[name] = sql
         return build

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from meterline.fixed_values import KEY_PREFIXES
 
 _BLOCK = 64
+SHORTEST_SECRET = 32
 
 
 def hmac_sha256_hex(message: Column, secret: str) -> Column:
@@ -26,8 +27,8 @@ def hmac_sha256_hex(message: Column, secret: str) -> Column:
 
 def analysis_key(domain: str, raw_id: Column, secret: str) -> Column:
     """Stable key of one domain; a missing or empty id stays missing."""
-    if not secret:
-        raise ValueError("a pseudonymisation secret is required")
+    if len(secret) < SHORTEST_SECRET:
+        raise ValueError(f"a pseudonymisation secret of {SHORTEST_SECRET} characters or more is required")
     digest = hmac_sha256_hex(F.concat(F.lit(domain + ":"), raw_id), secret)
     key = F.concat(F.lit(KEY_PREFIXES[domain]), F.upper(F.substring(digest, 1, 24)))
     return F.when(raw_id != "", key)

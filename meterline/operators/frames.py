@@ -63,19 +63,3 @@ def single_value(df: DataFrame, value: Column) -> Column:
 
 def literal_frame(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
     return spark.createDataFrame(list(rows), schema)
-
-
-def catalog_array(catalog: DataFrame, *columns: str, limit: int = 10_000) -> Column:
-    """A small catalogue as one array of structs; an oversized catalogue is an error.
-
-    The limit is applied before collecting, so that memory stays bounded, and never drops rows
-    silently: one row over the limit raises.
-    """
-    checked = catalog.select(F.struct(*(columns or catalog.columns)).alias("row")).limit(limit + 1)
-    rows = F.collect_list("row")
-    message = F.lit(f"catalogue holds more than {limit} rows")
-    return checked.agg(
-        F.when(F.count("*") <= limit, rows)
-        .otherwise(F.raise_error(message))
-        .alias("value")
-    ).scalar()

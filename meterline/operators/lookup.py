@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterline.operators.frames import catalog_array
-
 _MATCH_COLUMNS = [
     "internet_product_group",
     "contract_months",
@@ -18,10 +16,14 @@ _MATCH_COLUMNS = [
 ]
 
 
-def with_rules(df: DataFrame, rules: DataFrame, **kinds: tuple[str, str, str]) -> DataFrame:
-    """Add array columns with the rules of (discount, method, rule type).
+def with_rules(
+    df: DataFrame, rules: DataFrame, group: str = "internet_product_group",
+    months: str = "internet_contract_months", **kinds: tuple[str, str, str],
+) -> DataFrame:
+    """Add array columns with the rules of (discount, method, rule type) that share a row's group and term.
 
-    A request then matches in place, without a shuffle.
+    Rules are joined on the term and on the group, or on the term alone where a rule is for `ANY` group, so a
+    row carries only rules whose fee range it has to be compared with. Catalogues of any size work.
     """
     for name, (discount_id, method, rule_type) in kinds.items():
         chosen = rules.where(
@@ -29,7 +31,19 @@ def with_rules(df: DataFrame, rules: DataFrame, **kinds: tuple[str, str, str]) -
             & (F.col("bundle_discount_method") == method)
             & (F.col("rule_type") == rule_type)
         )
-        df = df.withColumn(name, catalog_array(chosen, *_MATCH_COLUMNS))
+        row = F.collect_list(F.struct(*_MATCH_COLUMNS))
+        any_group = F.col("internet_product_group") == "ANY"
+        for part, keys in (("_own", ["internet_product_group", "contract_months"]), ("_any", ["contract_months"])):
+            of_part = chosen.where(any_group if part == "_any" else ~any_group)
+            found = of_part.groupBy(*keys).agg(row.alias(name + part)).select(
+                *[F.col(key).alias(f"{name}_{key}") for key in keys], name + part
+            )
+            same = [
+                F.col(f"{name}_{key}") == F.col(months if key == "contract_months" else group) for key in keys
+            ]
+            df = df.join(found, same, "left").drop(*[f"{name}_{key}" for key in keys])
+        both = [F.coalesce(name + part, F.array()) for part in ("_own", "_any")]
+        df = df.withColumn(name, F.concat(*both)).drop(name + "_own", name + "_any")
     return df
 
 

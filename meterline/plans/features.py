@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from meterline.fixed_values import CHOICE_FAMILIES, QUOTA_THRESHOLDS
 from meterline.functions.calendar import month_start
 from meterline.functions.measures import EXACT_MB
-from meterline.operators.frames import catalog_array
 from meterline.operators.relations import first_per_group
 from meterline.plans.discount_policy import family_features, family_fees
 from meterline.plans.marts import month_to_date
@@ -19,20 +18,27 @@ from meterline.plans.recipes import chosen_service_usage, daily_usage
 from meterline.plans.tables import Tables
 
 
-def age_benefits(stage: Tables) -> DataFrame:
-    """Age benefit of every user that the current plan supports, with effective data allowances.
+#: Ages from this one on are alike for open age ranges.
+OLDEST_AGE = 150
+
 
-    The benefit list is a handful of age ranges and is matched in place.
+def with_age_benefit(users: DataFrame, stage: Tables) -> DataFrame:
+    """users with the benefit of their age; of ranges that overlap, the first by id.
+
+    Ranges become single ages and are joined on them; an open range ends at an age that all higher ones share.
     """
-    ranges = catalog_array(
-        stage.age_benefits, "age_benefit_id", "benefit_name", "min_age", "max_age",
-        "includes_safety_box", limit=1000,
-    )
-    age = F.col("age")
-    own = F.filter(
-        F.col("_ranges"),
-        lambda b: (age >= b["min_age"]) & (b["max_age"].isNull() | (age <= b["max_age"])),
+    last = F.coalesce("max_age", F.greatest("min_age", F.lit(OLDEST_AGE)))
+    ages = stage.age_benefits.where(F.col("min_age") <= last).select(
+        F.explode(F.sequence(F.col("min_age").cast("int"), last.cast("int"))).alias("_age"),
+        F.struct("age_benefit_id", "benefit_name", "includes_safety_box").alias("_own"),
     )
+    first = ages.groupBy("_age").agg(F.min("_own").alias("_own"))
+    own = F.least(F.col("age"), F.lit(OLDEST_AGE)) == F.col("_age")
+    return users.join(first, own, "left").select("*", "_own.*").drop("_age", "_own")
+
+
+def age_benefits(stage: Tables) -> DataFrame:
+    """Age benefit of every user that the current plan supports, with effective data allowances."""
     plans = stage.plans.select(
         F.col("plan_id").alias("current_plan_id"), "is_unlimited", "data_limit_gb",
         "base_shared_data_gb",
@@ -42,14 +48,7 @@ def age_benefits(stage: Tables) -> DataFrame:
         "bonus_data_gb", "bonus_shared_data_gb", "bonus_voice_minutes", "bonus_sms_count",
         "bonus_video_minutes", F.lit(True).alias("_offered"),
     )
-    users = stage.users.select("user_id", "age", "current_plan_id", ranges.alias("_ranges"))
-    users = users.withColumn("_own", own).select(
-        "user_id",
-        "current_plan_id",
-        F.get("_own", 0)["age_benefit_id"].alias("age_benefit_id"),
-        F.get("_own", 0)["benefit_name"].alias("benefit_name"),
-        F.get("_own", 0)["includes_safety_box"].alias("includes_safety_box"),
-    )
+    users = with_age_benefit(stage.users.select("user_id", "age", "current_plan_id"), stage).drop("age")
 
     def bonus(column: str) -> Column:
         return F.coalesce(column, F.lit(0))
@@ -208,38 +207,46 @@ def rollover_allowances(stage: Tables) -> DataFrame:
     )
 
 
+#: Plans that are scored together.
+PLAN_BLOCK = 512
+
+
 def plan_fit(
-    stage: Tables, traits: DataFrame, *, top: int | None = None,
+    stage: Tables, traits: DataFrame, *, top: int,
     heavy_plan_names: Sequence[str] = (),
 ) -> DataFrame:
-    """Fit score of every user with every plan, best first.
+    """The `top` best-fitting plans of every user, best first.
 
-    `traits` has (user_id, plan_spending_score, content_affinity). Plans travel to the users as one
-    size-checked array, so that each user meets each plan without a cross join or a shuffle of the pairs.
+    `traits` has (user_id, plan_spending_score, content_affinity). Plans are dealt into blocks of about
+    PLAN_BLOCK; a user meets each block as one array, scores it in place and takes only its best plans on, so
+    pairs are neither joined nor shuffled. A user without usage or traits counts as using and spending nothing.
     `heavy_plan_names` are the unlimited plans favoured by very heavy users.
     """
     bonus = F.struct("age_benefit_id", F.coalesce("bonus_data_gb", F.lit(0)))
     bonuses = stage.plan_age_benefits.groupBy("plan_id").agg(
         F.map_from_entries(F.collect_list(bonus)).alias("bonuses")
     )
-    plans = catalog_array(
-        stage.plans.join(bonuses, "plan_id", "left"), "plan_id", "plan_name", "plan_family",
-        "monthly_fee", "data_limit_gb", "is_unlimited", "is_rollover", "bonuses",
+    row = F.struct(
+        "plan_id", "plan_name", "plan_family", "monthly_fee", "data_limit_gb", "is_unlimited", "is_rollover", "bonuses"
     )
-    ranges = catalog_array(stage.age_benefits, "age_benefit_id", "min_age", "max_age", limit=1000)
-    age = F.col("age")
-    own = F.filter(
-        F.col("_ranges"),
-        lambda b: (age >= b["min_age"]) & (b["max_age"].isNull() | (age <= b["max_age"])),
+    n_blocks = stage.plans.agg(F.ceil(F.count("*") / F.lit(PLAN_BLOCK)).alias("n")).scalar()
+    blocks = (
+        stage.plans.join(bonuses, "plan_id", "left")
+        .groupBy(F.pmod(F.xxhash64("plan_id"), n_blocks).alias("_block"))
+        .agg(F.collect_list(row).alias("_plans"))
     )
+    age = F.col("age")
     mean = F.sum("daily_data_mb").cast("double") / F.count("*")
     need = daily_usage(stage).groupBy("user_id").agg((mean * 30.0 / 1024.0).alias("need_gb"))
     users = (
-        stage.users.select("user_id", "age", "family_id")
-        .join(need, "user_id")
-        .join(traits.select("user_id", "plan_spending_score", "content_affinity"), "user_id")
-        .withColumns({"_plans": plans, "_ranges": ranges})
-        .withColumn("benefit", F.get(own, 0)["age_benefit_id"])
+        with_age_benefit(stage.users.select("user_id", "age", "family_id"), stage)
+        .withColumnRenamed("age_benefit_id", "benefit")
+        .join(need, "user_id", "left")
+        .join(traits.select("user_id", "plan_spending_score", "content_affinity"), "user_id", "left")
+        .withColumns({
+            "need_gb": F.coalesce("need_gb", F.lit(0.0)),
+            "plan_spending_score": F.coalesce(F.col("plan_spending_score").cast("double"), F.lit(0.0)),
+        })
     )
     need_gb, spending = F.col("need_gb"), F.col("plan_spending_score").cast("double")
     target = 30000.0 + 25000.0 * spending + F.least(F.lit(40000.0), need_gb * 300.0)
@@ -248,15 +255,15 @@ def plan_fit(
         value = points if isinstance(points, Column) else F.lit(points)
         return F.when(condition, value).otherwise(F.lit(0.0))
 
-    def score() -> Column:
-        fee = F.col("plan.monthly_fee").cast("double")
+    def score(plan: Column) -> Column:
+        fee = plan["monthly_fee"].cast("double")
         extra = F.coalesce(
-            F.try_element_at("plan.bonuses", F.col("benefit")), F.lit(0)
+            F.try_element_at(plan["bonuses"], F.col("benefit")), F.lit(0)
         ).cast("double")
-        cap = F.coalesce(F.col("plan.data_limit_gb"), F.lit(0)).cast("double") + extra
-        unlimited = F.col("plan.is_unlimited")
+        cap = F.coalesce(plan["data_limit_gb"], F.lit(0)).cast("double") + extra
+        unlimited = plan["is_unlimited"]
         used = need_gb / F.greatest(cap, F.lit(0.05))
-        family = F.col("plan.plan_family")
+        family = plan["plan_family"]
         choice = family.isin(*CHOICE_FAMILIES)
         distance = F.abs(F.log(F.greatest(fee, F.lit(1.0))) - F.log(F.greatest(target, F.lit(1.0))))
         data = F.when(
@@ -276,32 +283,37 @@ def plan_fit(
             ).otherwise(F.lit(-2.0)),
         )
         rollover = when(
-            F.col("plan.is_rollover") & (unlimited | (need_gb < F.greatest(cap, F.lit(1.0)))), 0.10
+            plan["is_rollover"] & (unlimited | (need_gb < F.greatest(cap, F.lit(1.0)))), 0.10
         )
         taste = when(
             choice,
             when((age >= 19) & (age <= 39), 0.30)
-            + when(F.col("content_affinity").isin("video", "music", "short_form"), 0.50)
+            + when(F.coalesce(F.col("content_affinity").isin("video", "music", "short_form"), F.lit(False)), 0.50)
             + 0.45 * spending,
         )
         double = when(
             family == "CHOICE_DOUBLE",
             F.when(spending >= 0.70, F.lit(0.15)).otherwise(F.lit(-0.15)),
         )
-        heavy = when(F.col("plan.plan_name").isin(*heavy_plan_names) & (need_gb > 90), 0.45)
+        heavy = when(plan["plan_name"].isin(*heavy_plan_names) & (need_gb > 90), 0.45)
         with_family = when(F.col("family_id").isNotNull() & (fee >= 77000), 0.12)
         return -2.6 * distance + data + voice + rollover + taste + double + heavy + with_family
 
-    # The rows of a user stay in the partition of the usage join, so ranking needs no exchange.
-    best = W.partitionBy("user_id").orderBy(F.desc("fit_score"), "plan_id")
-    ranked = (
-        users.withColumn("plan", F.explode("_plans"))
-        .select("user_id", F.col("plan.plan_id").alias("plan_id"), score().alias("fit_score"))
-        .withColumn("fit_rank", F.row_number().over(best))
+    def best(scored: Column) -> Column:
+        """The best `top` of an array of (negated score, plan)."""
+        return F.slice(F.array_sort(scored), 1, top)
+
+    scored = F.transform("_plans", lambda plan: F.struct((-score(plan)).alias("worse"), plan["plan_id"].alias("plan_id")))
+    of_block = (
+        users.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), n_blocks - 1)))
+        .join(blocks, "_block")
+        .select("user_id", best(scored).alias("_best"))
+    )
+    of_user = of_block.groupBy("user_id").agg(best(F.flatten(F.collect_list("_best"))).alias("_best"))
+    return of_user.select("user_id", F.posexplode("_best").alias("_at", "_own")).select(
+        "user_id", (F.col("_at") + 1).alias("fit_rank"), F.col("_own.plan_id").alias("plan_id"),
+        (-F.col("_own.worse")).alias("fit_score"),
     )
-    if top is not None:
-        ranked = ranked.where(F.col("fit_rank") <= top)
-    return ranked.select("user_id", "fit_rank", "plan_id", "fit_score")
 
 
 def case_flags(stage: Tables, *, low_share: float = 0.05) -> DataFrame:

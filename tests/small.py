@@ -7,7 +7,7 @@ from checks.fixtures import with_tables
 from meterline.plans.tables import Tables
 from meterline.schemas import SOURCE_SCHEMAS
 
-SECRET = "test-secret"
+SECRET = "test-secret-of-more-than-32-characters"
 
 
 def frame(spark, table, rows):
