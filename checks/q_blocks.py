@@ -191,7 +191,7 @@ def _(c):
 select content_usage_id from recent_usage r
 where not exists (select 1 from user_services s where s.user_id=r.user_id)""")
 def _(c):
-    return relations.orphans(c.recent.content_usage, c.stage.user_services, "user_id").select(
+    return relations.orphans(c.recent.content_usage, c.stage.user_services, "user_id", optional=True).select(
         "content_usage_id"
     )
 

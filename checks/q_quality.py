@@ -7,7 +7,7 @@ from checks.q_policy import rule_amount
 from checks.registry import REFERENCE, check, layer, rnd
 from meterline.plans import features, profiling, quality
 from meterline.plans.recipes import daily_usage
-from meterline.schemas import SOURCE_SCHEMAS
+from meterline.schemas import REQUIRED_COLUMNS, SOURCE_SCHEMAS, USAGE_GRAIN
 
 GUARD_AGES = (20, 70)
 
@@ -47,7 +47,69 @@ DISCOUNT_FK = """select count(*) from user_discounts b where
  or not exists (select 1 from bundle_discount_compositions s where s.bundle_composition_id=b.bundle_composition_id)"""
 
 
+def constraint_sql(broken: dict[str, str]) -> list[tuple[str, str]]:
+    """Required columns and keys of all source tables, of which some are taken from other layers."""
+    rules = []
+    for table, columns in REQUIRED_COLUMNS.items():
+        name = broken.get(table, table)
+        rules.append((f"staging_{table}_required", rows_where(name, " or ".join(f"{c} is null" for c in columns))))
+        keys = {"key": columns[0]} | ({"grain": ",".join(USAGE_GRAIN)} if table == "content_usage" else {})
+        for kind, key in keys.items():
+            present = " and ".join(f"{c} is not null" for c in key.split(","))
+            rules.append((f"staging_{table}_{kind}", f"select count(*) from (select {key} from {name} "
+                          f"where {present} group by {key} having count(*)>1)"))
+    return rules
+
+
+layer("broken_usage", """
+select content_usage_id, case when day(usage_date)=3 then null else user_id end as user_id,
+ case when day(usage_date)=5 then null else usage_date end as usage_date, content_category, content_detail,
+ case when day(usage_date)=6 then null when day(usage_date)=8 then -data_usage_mb else data_usage_mb end as data_usage_mb
+from content_usage union all
+select content_usage_id||'-2', user_id, usage_date, content_category, content_detail, data_usage_mb
+from content_usage where day(usage_date)=9 union all
+select content_usage_id, user_id, usage_date, content_category, 'again', data_usage_mb
+from content_usage where day(usage_date)=10""")
+layer("broken_plans", """
+select * from plans union all select * from plans where plan_id like 'P10%'""")
+layer("broken_users", """
+select user_id, name, case when age%10=4 then null else age end as age, gender, subscription_start_date,
+ case when age%10=7 then null else current_plan_id end as current_plan_id, family_id from users""")
+
+
+@check("q03_q06_source_constraints", rules_sql(
+    *constraint_sql({"content_usage": "broken_usage", "plans": "broken_plans", "users": "broken_users"}),
+    ("staging_usage_negative", rows_where("broken_usage", "data_usage_mb<0")),
+    ("staging_usage_user_fk", "select count(*) from broken_usage u where not exists "
+     "(select 1 from users p where p.user_id=u.user_id)"),
+    ("staging_users_plan_fk", "select count(*) from broken_users u where not exists "
+     "(select 1 from plans p where p.plan_id=u.current_plan_id)"),
+))
+def _(c):
+    usage, users = c.stage.content_usage, c.stage.users
+    dom, age = F.dayofmonth("usage_date"), F.col("age")
+    mb = F.col("data_usage_mb")
+    broken = usage.select(
+        "content_usage_id", F.when(dom != 3, F.col("user_id")).alias("user_id"),
+        F.when(dom != 5, F.col("usage_date")).alias("usage_date"), "content_category", "content_detail",
+        F.when(dom == 8, -mb).when(dom != 6, mb).alias("data_usage_mb"),
+    )
+    broken = broken.unionByName(
+        usage.where(dom == 9).withColumn("content_usage_id", F.concat("content_usage_id", F.lit("-2")))
+    ).unionByName(usage.where(dom == 10).withColumn("content_detail", F.lit("again")))
+    plans = c.stage.plans.unionByName(c.stage.plans.where(F.col("plan_id").startswith("P10")))
+    people = users.withColumns({
+        "current_plan_id": F.when(age % 10 != 7, F.col("current_plan_id")), "age": F.when(age % 10 != 4, age),
+    })
+    found = quality.staging_rules(c.stage.replace(content_usage=broken, plans=plans, users=people))
+    wanted = F.col("rule_name").rlike("_(required|key|grain)$") | F.col("rule_name").isin(
+        "staging_usage_negative", "staging_usage_user_fk", "staging_users_plan_fk"
+    )
+    return found.where(wanted)
+
+
 @check("q01_q04_staging_rules", rules_sql(
+    *constraint_sql({}),
     ("staging_premium_family_age_integer", rows_where(
         "premium_family_discount_rules",
         "enrollment_min_age<>floor(enrollment_min_age) or enrollment_max_age<>floor(enrollment_max_age) "
@@ -73,6 +135,9 @@ def _(c):
     ("incremental_user_fk", "select count(*) from recent_usage r where not exists "
      "(select 1 from users u where u.user_id=r.user_id and u.age<70)"),
     ("incremental_manifest_rows", "select 1"),
+    ("incremental_content_usage_required", "select 0"), ("incremental_usage_negative", "select 0"),
+    ("incremental_content_usage_key", dup_sql("recent_usage", "content_usage_id")),
+    ("incremental_content_usage_grain", dup_sql("recent_usage", ",".join(USAGE_GRAIN))),
 ))
 def _(c):
     date = F.col("usage_date")

@@ -22,10 +22,14 @@ def eligible_usage(usage: DataFrame, users: DataFrame, reference_date: str | Non
     )
 
 
-def orphans(child: DataFrame, parent: DataFrame, key: str, parent_key: str | None = None) -> DataFrame:
-    """Child rows whose non-null key has no parent."""
+def orphans(
+    child: DataFrame, parent: DataFrame, key: str, parent_key: str | None = None, optional: bool = False
+) -> DataFrame:
+    """Child rows whose key has no parent; a null key is one unless the reference is optional."""
     parents = parent.select(F.col(parent_key or key).alias(key))
-    return child.where(F.col(key).isNotNull()).join(parents, key, "left_anti")
+    if optional:
+        child = child.where(F.col(key).isNotNull())
+    return child.join(parents, key, "left_anti")
 
 
 def symmetric_difference(left: DataFrame, right: DataFrame) -> DataFrame:

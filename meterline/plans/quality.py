@@ -6,6 +6,7 @@ A rule is a one-row frame (rule_name, failed_rows). Row rules on one table share
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +21,7 @@ from meterline.operators.relations import eligible_usage, orphans, reconcile, sy
 from meterline.plans import discount_policy as policy
 from meterline.plans.marts import day
 from meterline.plans.tables import Tables
+from meterline.schemas import REQUIRED_COLUMNS, USAGE_GRAIN
 
 
 class QualityError(RuntimeError):
@@ -31,12 +33,13 @@ def rule(name: str, failing: DataFrame) -> DataFrame:
 
 
 def fk_rule(
-    name: str, child: DataFrame, parent: DataFrame, key: str, parent_key: str | None = None
+    name: str, child: DataFrame, parent: DataFrame, key: str, parent_key: str | None = None,
+    optional: bool = False,
 ) -> DataFrame:
-    """Child rows without a parent. Rows are counted per key before the join, so that a key with many
+    """Child rows without a parent, among them those without a key unless that is optional. Rows are counted per key before the join, so that a key with many
     rows crosses the network once."""
     counted = child.groupBy(key).agg(F.count("*").alias("n"))
-    return orphans(counted, parent, key, parent_key).agg(
+    return orphans(counted, parent, key, parent_key, optional).agg(
         F.lit(name).alias("rule_name"), F.coalesce(F.sum("n"), F.lit(0)).alias("failed_rows")
     )
 
@@ -111,9 +114,36 @@ def not_whole(age: Column) -> Column:
 # --- source tables -----------------------------------------------------------------------------
 
 
+def _missing(table: str) -> Column:
+    """Some required column is null."""
+    found = [F.col(column).isNull() for column in REQUIRED_COLUMNS[table]]
+    return reduce(lambda a, b: a | b, found)
+
+
+def _usage_constraints(prefix: str, usage: DataFrame) -> list[DataFrame]:
+    """Repeated ids, and repeated customer, day, category and detail."""
+    return [
+        rule(f"{prefix}_content_usage_key", duplicates(usage.dropna(subset=["content_usage_id"]), "content_usage_id")),
+        rule(f"{prefix}_content_usage_grain", duplicates(usage.dropna(subset=USAGE_GRAIN), *USAGE_GRAIN)),
+    ]
+
+
+def source_constraints(stage: Tables, further: Mapping[str, Mapping[str, Column]]) -> DataFrame:
+    """Required columns and keys of all source tables, and further row rules, in one pass over the rows of each.
+
+    A key rule counts the keys that occur more than once.
+    """
+    rules = []
+    for table, columns in REQUIRED_COLUMNS.items():
+        conditions = {f"staging_{table}_required": _missing(table), **further.get(table, {})}
+        rules.append(row_rules(stage[table], conditions))
+        if table != "content_usage":
+            rules.append(rule(f"staging_{table}_key", duplicates(stage[table].dropna(subset=columns[:1]), columns[0])))
+    return union_rules(*rules, *_usage_constraints("staging", stage.content_usage))
+
+
 def staging_rules(stage: Tables) -> DataFrame:
     """Checks of a full snapshot before anything is stored."""
-    premium = stage.premium_family_discount_rules
     fractional = (
         not_whole(F.col("enrollment_min_age"))
         | not_whole(F.col("enrollment_max_age"))
@@ -121,7 +151,7 @@ def staging_rules(stage: Tables) -> DataFrame:
     )
     bundles = stage.bundle_discount_compositions.select("bundle_composition_id", "family_id", "user_id")
     bundle_failures = orphans(bundles, stage.families, "family_id").unionByName(
-        orphans(bundles, stage.users, "user_id")
+        orphans(bundles, stage.users, "user_id", optional=True)
     ).select("bundle_composition_id").distinct()
     offers = stage.plan_benefits.select("plan_benefit_id", "plan_id", "service_id")
     offer_failures = orphans(offers, stage.plans, "plan_id").unionByName(
@@ -142,19 +172,18 @@ def staging_rules(stage: Tables) -> DataFrame:
         .distinct()
     )
     return union_rules(
-        row_rules(premium, {"staging_premium_family_age_integer": fractional}),
-        row_rules(
-            stage.age_benefits,
-            {"staging_age_benefit_range": F.col("max_age") < F.col("min_age")},
-        ),
+        source_constraints(stage, {
+            "premium_family_discount_rules": {"staging_premium_family_age_integer": fractional},
+            "age_benefits": {"staging_age_benefit_range": F.col("max_age") < F.col("min_age")},
+            "content_usage": {"staging_usage_negative": F.col("data_usage_mb") < 0},
+        }),
         fk_rule("staging_users_plan_fk", stage.users, stage.plans, "current_plan_id", "plan_id"),
-        fk_rule("staging_users_family_fk", stage.users, stage.families, "family_id"),
+        fk_rule("staging_users_family_fk", stage.users, stage.families, "family_id", optional=True),
         fk_rule("staging_usage_user_fk", stage.content_usage, stage.users, "user_id"),
         rule("staging_bundle_fk", bundle_failures),
         rule("staging_plan_benefit_fk", offer_failures),
         rule("staging_user_service_fk", pick_failures),
         rule("staging_user_discount_fk", discount_failures),
-        row_rules(stage.content_usage, {"staging_usage_negative": F.col("data_usage_mb") < 0}),
     )
 
 
@@ -171,8 +200,11 @@ def incremental_staging_rules(
                 "incremental_partition_date_match":
                     F.col("partition_event_date") != F.col("usage_date"),
                 "incremental_date_range": ~F.col("usage_date").between(day(first), day(last)),
+                "incremental_content_usage_required": _missing("content_usage"),
+                "incremental_usage_negative": F.col("data_usage_mb") < 0,
             },
         ),
+        *_usage_constraints("incremental", usage),
         fk_rule("incremental_user_fk", usage, users, "user_id"),
         listed.select(
             F.lit("incremental_manifest_rows").alias("rule_name"),
@@ -1032,7 +1064,7 @@ def reference_rules(stage: Tables) -> DataFrame:
     allocation = F.col("total_discount_allocation_method")
     return union_rules(
         fk_rule("ref_users_plan", stage.users, stage.plans, "current_plan_id", "plan_id"),
-        fk_rule("ref_users_family", stage.users, families, "family_id"),
+        fk_rule("ref_users_family", stage.users, families, "family_id", optional=True),
         fk_rule("ref_component_family", components, families, "family_id"),
         fk_rule("ref_mobile_user", unknown_user, stage.users, "user_id"),
         fk_rule("ref_entitlement_user", rows, stage.users, "user_id"),

@@ -90,7 +90,7 @@ PUBLIC_MASTERS = [
     "premium_family_discount_rules",
 ]
 
-# Columns that may not be null in a source table.
+# Columns that may not be null in a source table; the first one is its key.
 REQUIRED_COLUMNS = {
     "users": ["user_id", "name", "age", "gender", "subscription_start_date", "current_plan_id"],
     "families": ["family_id", "has_bundle", "has_home_internet"],
@@ -101,7 +101,23 @@ REQUIRED_COLUMNS = {
         "plan_id", "plan_name", "plan_family", "plan_category", "monthly_fee", "is_unlimited",
         "is_rollover", "network_type", "family_bundle_eligible"],
     "age_benefits": ["age_benefit_id", "benefit_name", "min_age", "includes_safety_box"],
+    "plan_age_benefits": ["plan_age_benefit_id", "plan_id", "age_benefit_id"],
+    "additional_services": ["service_id", "service_name", "service_category"],
+    "plan_benefits": ["plan_benefit_id", "plan_id", "service_id", "benefit_type", "is_selectable"],
+    "discounts": ["discount_id", "policy_domain", "benefit_code", "discount_name"],
+    "internet_bundle_discount_rules": [
+        "internet_bundle_rule_id", "discount_id", "bundle_discount_method", "rule_type",
+        "discount_target"],
+    "premium_family_discount_rules": [
+        "premium_family_rule_id", "discount_id", "benefit_type", "requires_internet",
+        "requires_legal_guardian"],
+    "user_discounts": [
+        "user_discount_id", "user_id", "bundle_composition_id", "discount_id", "status",
+        "start_date"],
+    "user_services": [
+        "user_service_id", "user_id", "service_id", "benefit_type", "start_date"],
     "content_usage": [
         "content_usage_id", "user_id", "usage_date", "content_category", "content_detail",
         "data_usage_mb"],
 }
+USAGE_GRAIN = ["user_id", "usage_date", "content_category", "content_detail"]

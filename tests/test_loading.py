@@ -1,6 +1,7 @@
 from datetime import date, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from meterline.plans import loading, quality
 from meterline.plans.refresh import LoadRejected
@@ -128,6 +129,18 @@ def test_gap_is_rejected_before_loading(spark, tmp_path):
     assert store.runs().first()["status"] == "FAILED"
 
 
+def test_null_and_repeated_rows_are_rejected(spark):
+    source = stage(spark, DAYS[:1])
+    usage = source.content_usage
+    broken = usage.unionByName(usage.withColumn("data_usage_mb", F.lit(None).cast("decimal(14,3)")))
+    found = {r["rule_name"]: r["failed_rows"] for r in quality.staging_rules(source.replace(content_usage=broken)).collect()}
+    n = usage.count()
+    assert found["staging_content_usage_required"] == n
+    assert found["staging_content_usage_key"] == n and found["staging_content_usage_grain"] == n
+    assert {name for name, count in found.items() if count} == {
+        "staging_content_usage_required", "staging_content_usage_key", "staging_content_usage_grain"}
+
+
 def test_failed_batch_changes_nothing(spark, tmp_path):
     store = Store(spark, str(tmp_path / "store"))
     loading.run_full(

@@ -154,5 +154,6 @@ def test_unknown_usage_users_and_ranges(spark):
     }
     assert found == {
         "incremental_partition_date_match": 4, "incremental_date_range": 4, "incremental_user_fk": 1,
-        "incremental_manifest_rows": 1}
+        "incremental_manifest_rows": 1, "incremental_content_usage_required": 0, "incremental_usage_negative": 0,
+        "incremental_content_usage_key": 0, "incremental_content_usage_grain": 0}
     assert frame(spark, "content_usage", []).count() == 0
