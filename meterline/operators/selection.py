@@ -1,12 +1,12 @@
 """Exact order statistics without sorting a group in one task.
 
-Values are first reduced to (group, value, count). A coarse pass counts bins of a fixed width, which
-locates the bin that holds each wanted rank; a fine pass then looks only inside those bins. Usage is
-kept at three decimals, so a bin of 1,024 MB has at most 1,024,000 distinct values however many
+A coarse pass counts bins of a fixed width, which tasks sum before anything is shuffled, and locates the bin
+that holds each wanted rank; a fine pass then shuffles only the rows inside those bins, as counts of equal values.
+Usage is kept at three decimals, so a bin of 1,024 MB has at most 1,024,000 distinct values however many
 customers fall into it, and one customer group of any size never meets in a single task.
 
 Groups are months, categories or whole columns: a few thousand at most. One row per group and wanted rank
-is broadcast to the value counts.
+is broadcast to the rows.
 """
 
 from __future__ import annotations
@@ -23,9 +23,9 @@ BIN_MB = 1024
 
 
 def value_counts(df: DataFrame, group: str, value: str) -> DataFrame:
-    """(group, value, bin, n): how many rows share each value."""
-    counted = df.groupBy(group, F.col(value).alias("value")).agg(F.count("*").alias("n"))
-    return counted.withColumn("bin", F.floor(F.col("value") / BIN_MB).cast("bigint"))
+    """(group, value, n, bin) of each row; n is 1, since usage at three decimals is next to unique."""
+    rows = df.select(group, F.col(value).alias("value"), F.lit(1).cast("bigint").alias("n"))
+    return rows.withColumn("bin", F.floor(F.col("value") / BIN_MB).cast("bigint"))
 
 
 def _mb(count: Column, value: Column) -> Column:
@@ -77,6 +77,10 @@ def values_at_ranks(
     same_bin = F.col(group).eqNullSafe(F.col("_group")) & F.col("bin").eqNullSafe(F.col("_bin"))
     inside = (
         counts.join(F.broadcast(located), same_bin)
+        .groupBy(
+            group, "bin", "target", "rank", "n_before", "mb_before", "customers", "total_mb", "value"
+        )
+        .agg(F.sum("n").alias("n"))
         .withColumn("n_le", F.col("n_before") + F.sum("n").over(within))
         .withColumn(
             "mb_le", F.col("mb_before") + F.sum(_mb(F.col("n"), F.col("value"))).over(within)
