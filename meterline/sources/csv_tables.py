@@ -148,13 +148,12 @@ def write_usage_partitions(usage: DataFrame, root: str, file_format: str = "csv"
 def source_manifest(
     spark: SparkSession, root: str, files: Sequence[str], version: str | None = None
 ) -> DataFrame:
-    """(source_path, event_date, object_version, sha256, row_count) of the chosen files."""
-    contents = spark.read.format("binaryFile").load([paths.join(root, name) for name in files])
-    hashes = contents.select(
+    """(source_path, event_date, object_version, digest, row_count) of the chosen files."""
+    hashes = file_digests(spark, [paths.join(root, name) for name in files]).select(
         relative_path(F.col("path")).alias("source_path"),
         event_date_of(F.col("path")).alias("event_date"),
         F.lit(version or "").alias("object_version"),
-        F.sha2("content", 256).alias("sha256"),
+        "digest",
     )
     counts = read_usage_files(spark, root, files).groupBy("source_path").agg(
         F.count("*").alias("row_count")
@@ -163,17 +162,28 @@ def source_manifest(
 
 
 def table_hashes(spark: SparkSession, folder: str, tables: Sequence[str]) -> DataFrame:
-    """(source_name, sha256) of whole table files."""
+    """(source_name, digest) of whole table files, each of which may be a folder of part files."""
     files = [paths.join(folder, name + ".csv") for name in tables]
-    return (
-        spark.read.format("binaryFile")
-        .load(files)
-        .select(
-            F.regexp_extract("path", r"([^/]+)\.csv$", 1).alias("source_name"),
-            F.sha2("content", 256).alias("sha256"),
-        )
+    return file_digests(spark, files, r"([^/]+)\.csv(?:/[^/]*)?$").withColumnRenamed("path", "source_name")
+
+
+def file_digests(spark: SparkSession, files: Sequence[str], name: str | None = None) -> DataFrame:
+    """(path, digest) of text files; name is a pattern whose group names what belongs together.
+
+    A digest is taken from the number of lines and two sums over the MD5 of each line, so that a file of any size
+    is read in splits and no task holds it. It does not depend on the order of the lines.
+    """
+    path = F.col("_metadata.file_path")
+    lines = spark.read.text(list(files)).select(
+        (F.regexp_extract(path, name, 1) if name else path).alias("path"), F.md5(F.col("value").cast("binary")).alias("md5")
     )
 
+    def total(start: int) -> Column:
+        return F.sum(F.conv(F.substring("md5", start, 15), 16, 10).cast("decimal(28,0)"))
+
+    sums = lines.groupBy("path").agg(F.count("*").alias("n"), total(1).alias("low"), total(17).alias("high"))
+    return sums.select("path", F.sha2(F.concat_ws(":", "n", "low", "high"), 256).alias("digest"))
+
 
 def set_checksum(entries: DataFrame, line: Column, *order: str, heading: str | None = None) -> str:
     """SHA-256 over one line per source file, in a fixed order; a row per file meets here."""
@@ -189,11 +199,11 @@ def set_checksum(entries: DataFrame, line: Column, *order: str, heading: str | N
 
 
 def usage_checksum(manifest: DataFrame, run_type: str) -> str:
-    line = F.concat_ws("|", "event_date", "source_path", "object_version", "sha256")
+    line = F.concat_ws("|", "event_date", "source_path", "object_version", "digest")
     return set_checksum(manifest, line, "event_date", "source_path", heading=run_type)
 
 
 def snapshot_checksum(hashes: DataFrame, tables: Sequence[str]) -> str:
     position = F.array_position(F.array(*[F.lit(name) for name in tables]), F.col("source_name"))
-    line = F.concat_ws(":", "source_name", "sha256")
+    line = F.concat_ws(":", "source_name", "digest")
     return set_checksum(hashes.withColumn("position", position), line, "position")
