@@ -57,9 +57,11 @@ def text_rows(docs: DataFrame, *more: str) -> DataFrame:
     return docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"), *more)
 
 
-def mapped(df: DataFrame, block: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
-    """block over slices of df whose text is BLOCK_BYTES at most, or one row."""
-    return df.mapInArrow(lambda batches: map(block, slices(batches)), schema)
+def mapped(
+    df: DataFrame, block: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, limit: int = BLOCK_BYTES
+) -> DataFrame:
+    """block over slices of df whose text has limit bytes at most, or one row."""
+    return df.mapInArrow(lambda batches: map(block, slices(batches, limit=limit)), schema)
 
 
 def appended(docs: DataFrame, add: Callable[[pa.Array], dict[str, pa.Array]], schema: str) -> DataFrame:
@@ -79,13 +81,15 @@ def appended(docs: DataFrame, add: Callable[[pa.Array], dict[str, pa.Array]], sc
     return docs.mapInArrow(extend, f"{fields}, {schema}")
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
+def slices(
+    batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = BLOCK_BYTES
+) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ends = np.cumsum(byte_lengths(batch.column(column)))
         start = 0
         while start < batch.num_rows:
             done = ends[start - 1] if start else 0
-            stop = max(start + 1, int(np.searchsorted(ends, done + BLOCK_BYTES, "right")))
+            stop = max(start + 1, int(np.searchsorted(ends, done + limit, "right")))
             yield batch.slice(start, stop - start)
             start = stop
 

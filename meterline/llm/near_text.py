@@ -4,12 +4,13 @@ A text's set are its distinct shingles of WIDTH words. Texts with equal sets for
 rest, TREES independent trees are grown over all sets: a node sends each of its sets on to children named by
 the set's minwise token at coordinates that the node chooses, so similar sets tend to meet in the same
 children. A node is compared exhaustively once it is small, that is, once it holds few pairs of sets whose classes are not
-yet known to be linked; until then it branches. In a first round each set is compared with its node's leader only, which
+yet known to be linked; until then it branches. In a first round each set is compared with LEADERS sets of each node only, which
 links families of near copies at a cost in proportion to their size; afterwards such families count as one class.
+Each tree's node draws its leaders anew, so a member of a family meets many others although its node compares few.
 
-A pair of sets with the least similarity shares a tree's first token with probability 0.75, and then survives any
-number of branchings into CHOICES children with probability 0.889, so TREES trees miss it with probability
-(1 - 0.667) ** TREES, about 2e-8. Pairs whose MINS minwise tokens agree at fewer than AGREE places are not compared; that
+A pair of sets with the least similarity shares a tree's first token with probability 0.75, and then, where nodes are crowded, survives any
+number of branchings into CHOICES children of STEP tokens each with probability 0.865, so TREES trees miss it with
+probability (1 - 0.649) ** TREES, about 5e-8. Pairs whose MINS minwise tokens agree at fewer than AGREE places are not compared; that
 happens to a pair with the least similarity with probability below 1e-7. Every link is confirmed on the full sets.
 """
 
@@ -26,10 +27,18 @@ from .components import components
 WIDTH = 5
 #: Similarity: 100 * intersection >= PERCENT * union.
 PERCENT = 75
-MINS, TREES, CHOICES = 64, 16, 2
-AGREE = 28
+MINS, TREES = 64, 16
+#: Sets of a node that all its sets are compared with in the first round.
+LEADERS = 2
+#: Children that a crowded node sends each of its sets to, and tokens that name a child.
+CHOICES, STEP = 3, 2
+AGREE = 29
 #: A node is small if it has at most so many pairs of different classes for each member.
-SMALL = 12
+SMALL = 256
+#: Members of a node that are compared at once.
+BLOCK = 256
+#: Bytes of text that a task shingles at once; its arrays take some twenty times as much.
+TEXT_BYTES = 1 << 20
 #: Bits of the fixed-size filter that says which texts may be needed again.
 FILTER_BITS = 1 << 24
 
@@ -79,7 +88,7 @@ def signatures(docs: DataFrame) -> DataFrame:
         })
 
     rows = text_rows(docs).withColumn("doc_id", F.col("doc_id").cast("long"))
-    return mapped(rows, sign, "doc_id long, n long, key_a long, key_b long, mins array<int>")
+    return mapped(rows, sign, "doc_id long, n long, key_a long, key_b long, mins array<int>", TEXT_BYTES)
 
 
 def likely(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -118,7 +127,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
         for batch in batches:
             slot = batch.column("slot").to_numpy()
             batch = batch.filter(pa.array((bits[slot >> 6] >> (slot & 63)) & 1 == 1))
-            for part in slices([batch]):
+            for part in slices([batch], limit=TEXT_BYTES):
                 code, bounds = shingles(*text_bytes(part.column("text")))
                 yield pa.RecordBatch.from_pydict({
                     "id": part.column("doc_id"),
@@ -148,19 +157,29 @@ def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 def linked(sets: DataFrame, docs: DataFrame) -> DataFrame:
     """Links (a, b) that join all ids of sets (id, n, mins) that links between them connect."""
     roots = sets.select("id", F.posexplode(F.slice("mins", 1, TREES)).alias("tree", "token"))
-    members = crowded(roots.select(F.xxhash64("tree", "token").alias("node"), "id"))
-    stars = members.join(members.groupBy("node").agg(F.min("id").alias("leader")), "node")
-    stars = settle(likely(stars.select(F.col("leader").alias("a"), F.col("id").alias("b")), sets), "stars")
+    members = crowded(roots.select(F.xxhash64("tree", "token").alias("node"), "tree", "id"))
+    drawn = [F.min(F.struct(F.xxhash64("node", "id", F.lit(k)).alias("h"), "id"))["id"] for k in range(LEADERS)]
+    leaders = members.groupBy("node").agg(F.array(*drawn).alias("leaders"))
+    stars = members.join(leaders, "node").select(F.explode("leaders").alias("a"), F.col("id").alias("b"))
+    stars = settle(likely(stars, sets), "stars")
     links = confirmed(stars, docs)
     classes = components(links)
-    pairs = []
+    pairs, done = [], None
     while members is not None:
-        found, members = compared(members, classes, sets)
-        pairs.append(found)
+        inside = settle(judged(members, classes), "inside")
+        root = done is None
+        if root:
+            bit = F.expr("shiftleft(1, tree)")
+            done = settle(inside.filter("small").groupBy("id").agg(F.bit_or(bit).alias("done")), "done")
+        pairs.append(settle(exhaustive(inside.filter("small"), done, sets, root), "met"))
+        large = inside.filter("not small").select("node", "tree", "id")
+        members = None if large.isEmpty() else crowded(
+            large.join(sets.select("id", "mins"), "id").select(F.explode(F.array(*children())).alias("node"), "tree", "id")
+        )
     every = pairs[0]
     for found in pairs[1:]:
         every = every.unionByName(found)
-    more = settle(likely(every, sets).join(stars, ["a", "b"], "left_anti"), "pairs")
+    more = settle(every.distinct().join(stars, ["a", "b"], "left_anti"), "pairs")
     return links.unionByName(confirmed(more, docs))
 
 
@@ -170,37 +189,72 @@ def crowded(members: DataFrame) -> DataFrame:
     return settle(members.distinct().join(full, "node"), "members")
 
 
-def compared(members: DataFrame, classes: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-    """The pairs (a, b) of small nodes, and the members of the children of all others (none if there are no others).
-
-    Of a small node, the sets outside its largest class are at most 4 * SMALL, so they travel as one array.
-    """
-    members = members.join(classes, "id", "left").select("node", "id", F.coalesce("component", "id").alias("class"))
+def judged(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """Members of the nodes that hold several classes, with their class, the node's largest one and whether it is small."""
+    members = members.join(classes, "id", "left").select("node", "tree", "id", F.coalesce("component", "id").alias("class"))
     each = members.groupBy("node", "class").agg(F.count(F.lit(1)).alias("m"))
     nodes = each.groupBy("node").agg(
         F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("within"), F.max(F.struct("m", "class"))["class"].alias("large")
     )
     crossing = (F.col("m") * F.col("m") - F.col("within")) / 2
-    nodes = settle(nodes.filter("m * m > within").withColumn("small", crossing <= SMALL * F.col("m")), "nodes")
-    inside = settle(members.join(nodes.select("node", "small", "large"), "node"), "inside")
-    small = inside.filter("small")
-    others = small.filter(F.col("class") != F.col("large")).groupBy("node").agg(F.collect_list(F.struct("id", "class")).alias("others"))
-    met = small.select("node", "id", "class").join(others, "node").select("id", "class", F.explode("others").alias("other"))
-    pairs = met.filter(F.col("other.class") != F.col("class")).select(F.col("id").alias("a"), F.col("other.id").alias("b"))
-    large = inside.filter("not small").select("node", "id")
-    if large.isEmpty():
-        return pairs, None
-    tokens = large.join(sets.select("id", "mins"), "id")
-    return pairs, crowded(tokens.select(F.explode(F.array(*children())).alias("node"), "id"))
+    nodes = nodes.filter("m * m > within").withColumn("small", crossing <= SMALL * F.col("m"))
+    parts = F.ceil(F.col("m") / F.lit(BLOCK)).cast("long").alias("parts")
+    return members.join(nodes.select("node", "small", "large", parts), "node")
+
+
+def exhaustive(small: DataFrame, done: DataFrame, sets: DataFrame, root: bool) -> DataFrame:
+    """The likely pairs (a, b) of small nodes, of which one at least is outside the node's largest class.
+
+    The sets outside the largest class are at most 4 * SMALL. They travel as one array to the node's members, which
+    come in blocks. A pair that meets in several small root nodes is taken from the first one only (done says
+    in which trees a set's root node is small); in other nodes it is left out then.
+    """
+    own = F.struct("id", "class", "n", "done", "mins")
+    rows = small.join(sets, "id").join(done, "id", "left").withColumn("done", F.coalesce("done", F.lit(0)))
+    part = F.pmod(F.xxhash64("id"), F.col("parts")).alias("part")
+    blocks = rows.groupBy("node", "tree", "large", part).agg(F.collect_list(own).alias("block"))
+    others = rows.filter(F.col("class") != F.col("large")).groupBy("node").agg(F.collect_list(own).alias("others"))
+    met = blocks.join(others, "node").select("tree", "large", "block", "others")
+
+    def compare(batches):
+        bits = 1 << np.arange(TREES)
+        for batch in batches:
+            found = [np.zeros((0, 2), np.int64)]
+            trees, large = batch.column("tree").to_numpy(), batch.column("large").to_numpy()
+            for k in range(batch.num_rows):
+                x, y = (_columns(batch.column(name)[k].values) for name in ("block", "others"))
+                for at in range(0, len(y["id"]), 64):
+                    z = {name: values[at : at + 64] for name, values in y.items()}
+                    same = x["mins"][:, None, :] == z["mins"][None, :, :]
+                    shared = (same[:, :, :TREES] @ bits) & x["done"][:, None]
+                    keep = (shared & -shared) == (1 << trees[k]) if root else shared == 0
+                    keep &= same.sum(2) >= AGREE
+                    keep &= x["class"][:, None] != z["class"][None, :]
+                    keep &= (x["class"] == large[k])[:, None] | (x["id"][:, None] < z["id"][None, :])
+                    low = np.minimum(x["n"][:, None], z["n"][None, :])
+                    keep &= 100 * low >= PERCENT * np.maximum(x["n"][:, None], z["n"][None, :])
+                    u, v = np.nonzero(keep)
+                    found.append(np.sort(np.stack([x["id"][u], z["id"][v]], 1), 1))
+            pairs = np.concatenate(found)
+            yield pa.RecordBatch.from_pydict({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+
+    return met.mapInArrow(compare, "a long, b long").distinct()
+
+
+def _columns(rows: pa.StructArray) -> dict[str, np.ndarray]:
+    out = {name: rows.field(name).to_numpy() for name in ("id", "class", "n", "done")}
+    return out | {"mins": rows.field("mins").flatten().to_numpy().reshape(len(rows), MINS)}
 
 
 def children() -> list[Column]:
     """Names of the children that a set goes to: the node chooses coordinates beyond those of the trees' first tokens."""
-    room = MINS - TREES
-    at = F.pmod(F.xxhash64("node", F.lit(1)), F.lit(room)).cast("int")
-    skip = F.pmod(F.xxhash64("node", F.lit(2)), F.lit(room - 1)).cast("int") + 1
-    places = [F.pmod(at + skip * k, F.lit(room)) + TREES + 1 for k in range(CHOICES)]
-    return [F.xxhash64("node", place, F.element_at("mins", place)) for place in places]
+    room, names = MINS - TREES, []
+    for child in range(CHOICES):
+        at = F.pmod(F.xxhash64("node", F.lit(2 * child)), F.lit(room)).cast("int")
+        skip = F.pmod(F.xxhash64("node", F.lit(2 * child + 1)), F.lit(room // STEP)).cast("int") + 1
+        places = [F.pmod(at + skip * k, F.lit(room)) + TREES + 1 for k in range(STEP)]
+        names.append(F.xxhash64("node", *[x for place in places for x in (place, F.element_at("mins", place))]))
+    return names
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
