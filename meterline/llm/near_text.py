@@ -33,8 +33,9 @@ LEADERS = 2
 #: Children that a crowded node sends each of its sets to, and tokens that name a child.
 CHOICES, STEP = 3, 2
 AGREE = 29
-#: A node is small if it has at most so many pairs of different classes for each member.
-SMALL = 256
+#: A node is small if it has at most so many pairs of different classes for each member. Comparing the tokens of so many
+#: pairs in a task costs less than the rows that branching shuffles for one member.
+SMALL = 2048
 #: Members of a node that are compared at once.
 BLOCK = 256
 #: Bytes of text that a task shingles at once; its arrays take some twenty times as much.
