@@ -1,15 +1,12 @@
-"""Near-duplicate vectors by NN-descent.
-
-Equal vectors form one class from the start. Neighbour lists start from blocks of an order by random hyperplanes and
-are refined by local joins: the vectors that meet in one list are compared with each other, and each keeps its NEAREST
-best. A list whose entries all reach the threshold is saturated; links at the threshold are therefore kept
-without a bound on their number from then on, and local joins over them go on until they bring nothing new. An
-audit compares a fixed number of vectors with all others; while it finds too many links missing, the search goes on
-from another order.
-
-Every similarity is computed in double precision from the components as they are stored, so each link is exact.
-The number of links is part of the result; so between different vectors that all link to each other, all links
-are found.
+"""Near-duplicate vectors by comparing all pairs in blocks.
+
+Equal vectors form one class from the start. The rest is cut into blocks of vectors that lie near one pivot. Two blocks
+are compared completely, unless the angle between their centers exceeds both radii and the angle of the threshold
+together: then no link between them is possible. So no link is missed, whatever its surroundings are like.
+
+Every similarity is computed in double precision from the components as they are stored. Of the links between two
+blocks only their number for each vector and a forest that connects the linked vectors are written, so a family of
+vectors that all link to each other costs comparisons, but no row for each link.
 """
 
 from __future__ import annotations
@@ -18,23 +15,21 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from .common import settle
+from .common import batch, literal_rows, settle
 from .components import components
 
 THRESHOLD = 0.95
-#: Orders by random hyperplanes, and vectors of a block.
-ORDERS, BLOCK = 10, 64
-BITS = 30
-#: Length of the lists that are refined, rounds of it, and vectors of a list that one local join compares.
-NEAREST, ROUNDS, TOGETHER = 10, 2, 48
-#: Vectors that the audit compares with all others, the recall it asks for, and how often the search may go on.
-AUDITED, RECALL, SEARCHES = 256, 0.995, 4
-#: Local joins over links end when a round adds less than this share.
-GAIN = 0.001
+#: Blocks that a table has at least, and bytes and vectors that a block has at most on average.
+SHARES, BLOCK_BYTES, BLOCK = 16, 4 << 20, 16384
+#: Pivots of one dimension, at most.
+PIVOTS = 1024
+#: Similarities that are held at once.
+HELD = 1 << 22
+#: What the angle between two blocks must exceed their reach by, against rounding.
+MARGIN = 1e-6
 
 
 def stored(rows: DataFrame) -> DataFrame:
@@ -61,178 +56,155 @@ def stored(rows: DataFrame) -> DataFrame:
 
 def unit(vecs: pa.Array, dim: int) -> np.ndarray:
     """Vectors of one dimension as rows of length 1, in double precision."""
-    data = b"".join(vecs.to_pylist())
-    kind = np.float32 if len(data) == 4 * dim * len(vecs) else np.float64
-    x = np.frombuffer(data, kind).reshape(len(vecs), dim).astype(np.float64)
+    return rows_of(b"".join(vecs.to_pylist()), len(vecs), dim)
+
+
+def rows_of(data: bytes, n: int, dim: int) -> np.ndarray:
+    kind = np.float32 if len(data) == 4 * dim * n else np.float64
+    x = np.frombuffer(data, kind).reshape(n, dim).astype(np.float64)
     x = x / np.abs(x).max(1, keepdims=True)  # so that no square overflows or vanishes
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
-def pair_batch(found: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-    u, v, s = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
-    return pa.RecordBatch.from_pydict({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64()), "s": pa.array(s, pa.float64())})
+def placed(points: DataFrame) -> DataFrame:
+    """points with block, and last: the last block of their dimension. Blocks are numbered from 0, without gaps.
 
+    A vector goes to its nearest pivot; what has one pivot is dealt to as many blocks as it fills, by a hash.
+    """
+    sizes = {row["dim"]: row["n"] for row in points.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).collect()}
+    most = {dim: max(1, min(n // SHARES + 1, BLOCK, BLOCK_BYTES // (4 * dim))) for dim, n in sizes.items()}
+    wanted = {dim: min(PIVOTS, -(-n // most[dim])) for dim, n in sizes.items()}
+    pivots: dict[int, list[bytes]] = {dim: [] for dim in sizes}
+    shares = F.create_map(*[F.lit(x) for dim, n in sizes.items() for x in (dim, min(1.0, 2 * wanted[dim] / n))]) if sizes else None
+    if sizes:
+        place = F.pmod(F.xxhash64("id", F.lit(5)), F.lit(1 << 30)) / F.lit(1 << 30)
+        for row in points.filter(place < shares[F.col("dim")]).select("dim", "vec").collect():
+            if len(pivots[row["dim"]]) < wanted[row["dim"]]:
+                pivots[row["dim"]].append(bytes(row["vec"]))
+    heads = {dim: unit(pa.array(vecs, pa.binary()), dim) for dim, vecs in pivots.items() if vecs}
+
+    def nearest(batches):
+        for part in batches:
+            dims, cell = part.column("dim").to_numpy(), np.zeros(part.num_rows, np.int32)
+            for dim in np.unique(dims):
+                if dim in heads:
+                    at = np.flatnonzero(dims == dim)
+                    for some in np.array_split(at, max(1, len(at) * len(heads[dim]) // HELD)):
+                        cell[some] = (unit(part.column("vec").take(pa.array(some)), int(dim)) @ heads[dim].T).argmax(1)
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(cell)], [*part.schema.names, "cell"])
+
+    rows = settle(points.select("id", "m", "dim", "vec").mapInArrow(nearest, "id long, m long, dim int, vec binary, cell int"), "cells")
+    found, at, cells = rows.groupBy("dim", "cell").agg(F.count(F.lit(1)).alias("n")).collect(), 0, []
+    for row in sorted(found, key=lambda x: (x["dim"], x["cell"])):
+        parts = -(-row["n"] // most[row["dim"]])
+        cells.append({"dim": row["dim"], "cell": row["cell"], "first": at, "parts": parts})
+        at += parts
+    last = {x["dim"]: x["first"] + x["parts"] - 1 for x in cells}
+    known = literal_rows(points.sparkSession, "dim int, cell int, first int, parts int, last int", [x | {"last": last[x["dim"]]} for x in cells])
+    block = F.col("first") + F.pmod(F.xxhash64("id", F.lit(7)), F.col("parts")).cast("int")
+    return rows.join(F.broadcast(known), ["dim", "cell"]).withColumn("block", block)
+
+
+def blocks(points: DataFrame) -> DataFrame:
+    """A row for each block: its number and the last of its dimension, ids, multiplicities and vectors, center and radius."""
+
+    def pack(batches):
+        for part in batches:
+            for k in range(part.num_rows):
+                rows, dim = part.column("rows")[k].values, part.column("dim")[k].as_py()
+                x = unit(rows.field("vec"), dim)
+                center = x.sum(0)
+                center = center / size if (size := np.sqrt(center @ center)) > 0 else x[0]
+                yield batch(
+                    block=part.column("block").slice(k, 1), last=part.column("last").slice(k, 1), dim=part.column("dim").slice(k, 1),
+                    ids=[rows.field("id").to_numpy().tobytes()], ms=[rows.field("m").to_numpy().tobytes()],
+                    vecs=pa.array([b"".join(rows.field("vec").to_pylist())], pa.binary()), center=[center.tobytes()],
+                    radius=[float(np.arccos(np.clip((x @ center).min(), -1, 1)))],
+                )
+
+    rows = placed(points).groupBy("block", "last", "dim").agg(F.collect_list(F.struct("id", "m", "vec")).alias("rows"))
+    schema = "block int, last int, dim int, ids binary, ms binary, vecs binary, center binary, radius double"
+    return settle(rows.mapInArrow(pack, schema), "blocks")
+
+
+def pairs(held: DataFrame) -> DataFrame:
+    """Numbers a <= b of the blocks that links are possible between."""
+
+    def near(batches):
+        reach = np.arccos(THRESHOLD) + MARGIN
+        for part in batches:
+            x, y = (np.frombuffer(b"".join(part.column(name).to_pylist())).reshape(part.num_rows, -1) if part.num_rows else np.zeros((0, 1)) for name in ("center", "center_b"))
+            angle = np.arccos(np.clip((x * y).sum(1), -1, 1))
+            a, b = part.column("a").to_numpy(), part.column("b").to_numpy()
+            keep = (a == b) | (angle <= part.column("radius").to_numpy() + part.column("radius_b").to_numpy() + reach)
+            yield batch(a=pa.array(a[keep]), b=pa.array(b[keep]))
+
+    left = held.select(F.col("block").alias("a"), "dim", "center", "radius", F.explode(F.sequence("block", "last")).alias("b"))
+    right = held.select(F.col("block").alias("b"), F.col("center").alias("center_b"), F.col("radius").alias("radius_b"))
+
+    def of_one_dim(batches):  # centers of one length in a batch
+        for part in batches:
+            dims = part.column("dim").to_numpy()
+            for dim in np.unique(dims):
+                yield from near([part.take(pa.array(np.flatnonzero(dims == dim)))])
 
-def blocks(points: DataFrame, search: int) -> DataFrame:
-    """The best NEAREST of its block, and all that reach the threshold, for each vector in each of ORDERS orders: u, v, s.
+    return settle(left.join(right, "b").mapInArrow(of_one_dim, "a int, b int"), "pairs")
 
-    Rows are ordered by the sides of random hyperplanes on which they lie, then by a hash, and cut into blocks of
-    neighbours; vectors on the same sides fill as many blocks as they need.
-    """
 
-    def sides(batches):
-        for batch in batches:
-            dims = batch.column("dim").to_numpy()
-            keys = np.zeros((batch.num_rows, ORDERS), np.int64)
-            for dim in np.unique(dims):
-                at = np.flatnonzero(dims == dim)
-                x = unit(batch.column("vec").take(pa.array(at)), int(dim))
-                planes = np.random.default_rng([search, int(dim)]).normal(size=(int(dim), ORDERS * BITS))
-                bits = (x @ planes > 0).reshape(len(at), ORDERS, BITS)
-                keys[at] = bits @ (1 << np.arange(BITS, dtype=np.int64)[::-1])
-            lists = pa.ListArray.from_arrays(np.arange(0, keys.size + 1, ORDERS, dtype=np.int32), keys.ravel())
-            yield pa.RecordBatch.from_arrays([*batch.columns, lists], [*batch.schema.names, "keys"])
+def merged(n: int, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """The smallest place that each of n places is connected with by the links u, v."""
+    label = np.arange(n)
+    while len(u):
+        a, b = label[u], label[v]
+        open_ = np.flatnonzero(a != b)
+        u, v, a, b = u[open_], v[open_], a[open_], b[open_]
+        np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
+        while (label[label] != label).any():
+            label = label[label]
+    return label
 
-    def compare(batches):
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            held.append(batch)
-            rows = pa.Table.from_batches(held).combine_chunks()
-            whole = rows.num_rows - rows.num_rows % BLOCK
-            if whole:
-                yield from within(rows.slice(0, whole))
-            held = rows.slice(whole).to_batches()
-        if held:
-            yield from within(pa.Table.from_batches(held).combine_chunks())
-
-    def within(rows: pa.Table):
-        ids, dims = rows["id"].to_numpy(), rows["dim"].to_numpy()
-        vecs, orders = rows["vec"].combine_chunks(), rows["order"].to_numpy()
-        cuts = np.flatnonzero((np.diff(dims) != 0) | (np.diff(orders) != 0)) + 1
-        bounds = np.unique(np.concatenate([np.arange(0, len(ids), BLOCK), cuts, [len(ids)]]))
-        found = []
-        for a, b in zip(bounds[:-1], bounds[1:]):
-            if b - a > 1:
-                x = unit(vecs.slice(a, b - a), int(dims[a]))
-                s = x @ x.T
-                np.fill_diagonal(s, -2)
-                k = min(NEAREST, b - a - 1)
-                bar = np.minimum(np.partition(s, -k, 1)[:, -k], THRESHOLD)
-                u, v = np.nonzero(s >= bar[:, None])
-                found.append((ids[a + u], ids[a + v], s[u, v]))
-        yield pair_batch(found)
-
-    kept = points.select("id", "dim", "vec").mapInArrow(sides, "id long, dim int, vec binary, keys array<long>")
-    rows = kept.select("id", "dim", "vec", F.posexplode("keys").alias("order", "key"))
-    place = ["order", "dim", "key", F.xxhash64("id", F.lit(search))]
-    return rows.repartitionByRange(*place).sortWithinPartitions(*place).mapInArrow(compare, "u long, v long, s double")
-
-
-def nearest(pairs: DataFrame) -> DataFrame:
-    """The NEAREST best of each u, and all that reach the threshold."""
-    best = Window.partitionBy("u").orderBy(F.desc("s"), "v")
-    each = pairs.groupBy("u", "v").agg(F.max("s").alias("s"))
-    rank = each.withColumn("k", F.row_number().over(best))
-    return rank.filter((F.col("k") <= NEAREST) | (F.col("s") >= THRESHOLD)).select("u", "v", "s")
-
-
-def chance(turn: int) -> Column:
-    return F.pmod(F.xxhash64("center", "member", F.lit(turn)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-
-
-def local_join(members: DataFrame, points: DataFrame, bars: DataFrame | None, turn: int) -> DataFrame:
-    """Similarities u, v, s (both ways) of the vectors that meet at a center.
-
-    About TOGETHER of a center's members meet; which ones a hash of the round decides. A pair is returned if it
-    reaches the threshold or, with bars, exceeds what either of both has as its least.
-    """
-    counts = members.groupBy("center").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    some = members.join(counts, "center").filter(chance(turn) * F.col("n") < TOGETHER)
-    met = some.select("center", F.col("member").alias("id")).join(points.select("id", "dim", "vec"), "id")
-    met = met.join(bars, "id", "left") if bars is not None else met.withColumn("bar", F.lit(THRESHOLD))
-    bar = F.least(F.coalesce("bar", F.lit(-2.0)), F.lit(THRESHOLD)).alias("bar")
-    lists = met.groupBy("center").agg(F.collect_list(F.struct("id", "dim", bar, "vec")).alias("met"))
 
-    def compare(batches):
-        for batch in batches:
-            met, found = batch.column("met"), []
-            for k in range(batch.num_rows):
-                rows = met[k].values
-                if len(rows) < 2:
-                    continue
-                ids, bars, dims = (rows.field(x).to_numpy() for x in ("id", "bar", "dim"))
-                if dims.min() != dims.max():
-                    raise ValueError("vectors of different lengths in one list")
-                x = unit(rows.field("vec"), int(dims[0]))
-                s = x @ x.T
-                np.fill_diagonal(s, -2)
-                u, v = np.nonzero(s >= np.minimum(bars[:, None], bars[None, :]))
-                found.append((ids[u], ids[v], s[u, v]))
-            yield pair_batch(found)
-
-    return lists.select("met").mapInArrow(compare, "u long, v long, s double")
-
-
-def refined(graph: DataFrame, points: DataFrame, turn: int) -> DataFrame:
-    """graph after one round: the vectors in and around each list are compared with each other."""
-    members = graph.select(F.col("u").alias("center"), F.col("v").alias("member"))
-    members = members.unionByName(graph.select(F.col("v").alias("center"), F.col("u").alias("member"))).distinct()
-    full = graph.groupBy("u").agg(F.count(F.lit(1)).alias("n"), F.min("s").alias("least"))
-    bars = full.select(F.col("u").alias("id"), F.when(F.col("n") >= NEAREST, F.col("least")).otherwise(-2.0).alias("bar"))
-    return settle(nearest(graph.unionByName(local_join(members, points, bars, turn))), "graph")
-
-
-def grown(links: DataFrame, points: DataFrame) -> DataFrame:
-    """links (u, v, both ways) and what local joins over them add, until they add next to nothing."""
-    links, turn = settle(links.select("u", "v").distinct(), "links"), 0
-    count = links.count()
-    while count:
-        members = links.select(F.col("u").alias("center"), F.col("v").alias("member"))
-        more = local_join(members, points, None, turn).select("u", "v")
-        links = settle(links.unionByName(more).distinct(), "links")
-        before, count, turn = count, links.count(), turn + 1
-        if count - before <= GAIN * before:
-            break
-    return links
-
-
-def recall(links: DataFrame, points: DataFrame) -> float:
-    """Share of the links of AUDITED vectors, compared with all others, that links has."""
-    chosen = points.select("id", "dim", "vec").orderBy(F.xxhash64("id", F.lit(5))).limit(AUDITED).collect()
-    by_dim = {dim: [row for row in chosen if row["dim"] == dim] for dim in {row["dim"] for row in chosen}}
+def matched(points: DataFrame) -> DataFrame:
+    """u, v, n: n vectors link with u in one pair of blocks (v null), or u and v are connected (n is 0)."""
+    held = blocks(points)
 
     def compare(batches):
-        for batch in batches:
-            dims, found = batch.column("dim").to_numpy(), []
-            for dim, rows in by_dim.items():
-                at = np.flatnonzero(dims == dim)
-                if len(at):
-                    x = unit(batch.column("vec").take(pa.array(at)), dim)
-                    y = unit(pa.array([bytes(row["vec"]) for row in rows], pa.binary()), dim)
-                    ids, own = batch.column("id").to_numpy()[at], np.array([row["id"] for row in rows])
-                    s = y @ x.T
-                    u, v = np.nonzero((s >= THRESHOLD) & (own[:, None] != ids[None, :]))
-                    found.append((own[u], ids[v], s[u, v]))
-            yield pair_batch(found)
-
-    true = points.select("id", "dim", "vec").mapInArrow(compare, "u long, v long, s double")
-    both = true.join(links.withColumn("hit", F.lit(1)), ["u", "v"], "left").agg(F.count(F.lit(1)), F.count("hit")).first()
-    return both[1] / both[0] if both[0] else 1.0
-
-
-def vector_links(points: DataFrame) -> DataFrame:
-    """Links u, v (both ways) between the different vectors of points (id, dim, vec)."""
-    links, graph = None, None
-    for search in range(SEARCHES):
-        found = blocks(points, search)
-        graph = settle(nearest(found if graph is None else graph.unionByName(found)), "graph")
-        for turn in range(ROUNDS):
-            graph = refined(graph, points, turn)
-        near = graph.filter(F.col("s") >= THRESHOLD).select("u", "v")
-        links = grown(near if links is None else near.unionByName(links), points)
-        if recall(links, points) >= RECALL:
-            break
-    return links
+        for part in batches:
+            for k in range(part.num_rows):
+                yield between(*(part.column(name)[k].as_py() for name in ("dim", "a", "ids", "ms", "vecs", "b", "ids_b", "ms_b", "vecs_b")))
+
+    def between(dim, a, ids, ms, vecs, b, ids_b, ms_b, vecs_b):
+        ids, ms, ids_b, ms_b = (np.frombuffer(x, np.int64) for x in (ids, ms, ids_b, ms_b))
+        x, y = rows_of(vecs, len(ids), dim), rows_of(vecs_b, len(ids_b), dim)
+        n, n_b = np.zeros(len(x)), np.zeros(len(y))
+        both = np.concatenate([ids, ids_b])
+        label, step = np.arange(len(both)), max(1, HELD // len(y))
+        for at in range(0, len(x), step):
+            hit = x[at : at + step] @ y.T >= THRESHOLD
+            if a == b:
+                hit[np.arange(len(hit)), np.arange(at, at + len(hit))] = False
+            if hit.any():
+                u, v = np.nonzero(hit)
+                u += at
+                n += np.bincount(u, ms_b[v], len(x))
+                n_b += np.bincount(v, ms[u], len(y))
+                # In a block's comparison with itself both sides are the same places.
+                far = v if a == b else v + len(x)
+                rest = np.flatnonzero(label != np.arange(len(both)))
+                label = merged(len(both), np.concatenate([u, rest]), np.concatenate([far, label[rest]]))
+        counts = [(ids, n)] if a == b else [(ids, n), (ids_b, n_b)]
+        who, count = (np.concatenate(c) for c in zip(*counts))
+        some, tree = np.flatnonzero(count), np.flatnonzero(label != np.arange(len(both)))
+        return pa.RecordBatch.from_arrays([
+            pa.array(np.concatenate([who[some], both[tree]])),
+            pa.concat_arrays([pa.nulls(len(some), pa.int64()), pa.array(both[label[tree]])]),
+            pa.array(np.concatenate([count[some], np.zeros(len(tree))]).astype(np.int64)),
+        ], ["u", "v", "n"])
+
+    a = held.select(F.col("block").alias("a"), "dim", "ids", "ms", "vecs")
+    b = held.select(F.col("block").alias("b"), *[F.col(x).alias(f"{x}_b") for x in ("ids", "ms", "vecs")])
+    met = pairs(held).join(a, "a").join(b, "b")
+    return settle(met.mapInArrow(compare, "u long, v long, n long"), "matched")
 
 
 def near_vectors(rows: DataFrame) -> DataFrame:
@@ -251,10 +223,11 @@ def near_vectors(rows: DataFrame) -> DataFrame:
     classes = settle(classes, "classes")
     points = real.withColumn("id", F.col("vec_id")).join(classes, ["digest", "id"]).dropDuplicates(["id"])
     points = settle(points.select("id", "m", "dim", "vec"), "points")
-    links = vector_links(points)
-    weighted = links.join(points.select(F.col("id").alias("v"), "m"), "v").groupBy("u").agg(F.sum("m").alias("others"))
-    found = classes.join(weighted.withColumnRenamed("u", "id"), "id", "left")
-    found = found.join(components(links.toDF("a", "b")), "id", "left").select(
+    found = matched(points)
+    others = found.filter("v is null").groupBy("u").agg(F.sum("n").alias("others"))
+    tree = found.filter("v is not null").select(F.col("u").alias("a"), F.col("v").alias("b"))
+    found = classes.join(others.withColumnRenamed("u", "id"), "id", "left")
+    found = found.join(components(tree), "id", "left").select(
         "digest", (F.col("m") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), F.coalesce("component", "id").alias("component")
     )
     out = base.select("vec_id", F.when(F.col("vec_id").isNotNull(), F.col("digest")).alias("digest")).join(found, "digest", "left")

@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from meterline.llm import near_text, near_vectors
 from meterline.llm.components import components
@@ -113,3 +114,40 @@ def test_vectors(spark, kind):
         else:
             assert (r.n_links, r.component_id, r.kept) == (n[r.vec_id] if r.vec_id < 900 else 0, want[r.vec_id], want[r.vec_id] == r.vec_id)
     assert near_vectors.near_vectors(docs.limit(0)).collect() == []
+
+
+def test_isolated_pair_beside_a_large_family(spark):
+    """Pairs at the threshold are found although the family has nearly all links, and all of the family's are counted."""
+    draw, dim, n = np.random.default_rng(8), 64, 3000
+    base = draw.normal(size=(2400, dim))
+    base /= np.linalg.norm(base, axis=1)[:, None]
+    other = draw.normal(size=(1200, dim))
+    own = base[:1200]
+    other -= (other * own).sum(1)[:, None] * own
+    other /= np.linalg.norm(other, axis=1)[:, None]
+    pairs = 0.951 * own + np.sqrt(1 - 0.951**2) * other
+    x = np.concatenate([base, pairs, base[2000] + draw.normal(scale=0.01, size=(n, dim))])
+    s = (unit := x / np.linalg.norm(x, axis=1)[:, None]) @ unit.T
+    np.fill_diagonal(s, 0)
+    want = (s >= 0.95).sum(1)
+    assert want[:1200].min() == 1 and want[-1] >= n - 1
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r for r in near_vectors.near_vectors(rows).collect()}
+    assert [got[i].n_links for i in range(len(x))] == want.tolist()
+    assert all(got[2400 + i].component_id == i for i in range(1200))
+
+
+def test_blocks_out_of_reach_are_left_out(spark):
+    """Directions far apart fall into blocks of which only few meet; no link is lost by that."""
+    draw = np.random.default_rng(2)
+    base = np.repeat(np.eye(8), 60, 0) + draw.normal(scale=0.05, size=(480, 8))
+    rows = [(i, v.tolist()) for i, v in enumerate(base)]
+    docs = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    points = near_vectors.stored(docs).select(F.col("vec_id").alias("id"), F.lit(1).cast("long").alias("m"), "dim", "vec")
+    held = near_vectors.blocks(points)
+    n = held.count()
+    assert near_vectors.pairs(held).count() < n * (n + 1) // 2
+    s = (unit := base / np.linalg.norm(base, axis=1)[:, None]) @ unit.T
+    np.fill_diagonal(s, 0)
+    want = (s >= 0.95).sum(1)
+    assert {r.vec_id: r.n_links for r in near_vectors.near_vectors(docs).collect()} == dict(enumerate(want.tolist()))
