@@ -212,23 +212,27 @@ def near_vectors(rows: DataFrame) -> DataFrame:
 
     A vector that is null, empty or zero, or that holds null or non-finite components, links with nothing; so do
     vectors of different lengths with each other. Rows that repeat an id with its vector count once as a link;
-    different vectors of one id are searched each for itself. A row without an id is linked with nothing, has no component and is kept. An empty
-    table gives no rows; other columns are neither read nor returned.
+    different vectors of one id are searched each for itself, and a component is named by the smallest id of its vectors.
+    A row without an id is linked with nothing, has no component and is kept. An empty table gives no rows; other columns
+    are neither read nor returned.
     """
     base = settle(stored(rows), "vectors")
     real = base.filter("vec is not null and vec_id is not null")
     classes = real.select("digest", "vec_id").distinct().groupBy("digest").agg(
-        F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("m")
+        F.min("vec_id").alias("first"), F.count(F.lit(1)).alias("m")
     )
-    classes = settle(classes, "classes")
-    points = real.withColumn("id", F.col("vec_id")).join(classes, ["digest", "id"]).dropDuplicates(["id"])
+    # A class has a number of its own: an id with different vectors is in several.
+    classes = settle(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
+    points = real.select("digest", "dim", "vec").dropDuplicates(["digest"]).join(classes, "digest")
     points = settle(points.select("id", "m", "dim", "vec"), "points")
     found = matched(points)
     others = found.filter("v is null").groupBy("u").agg(F.sum("n").alias("others"))
     tree = found.filter("v is not null").select(F.col("u").alias("a"), F.col("v").alias("b"))
-    found = classes.join(others.withColumnRenamed("u", "id"), "id", "left")
-    found = found.join(components(tree), "id", "left").select(
-        "digest", (F.col("m") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), F.coalesce("component", "id").alias("component")
+    found = classes.join(others.withColumnRenamed("u", "id"), "id", "left").join(components(tree), "id", "left")
+    found = found.withColumn("root", F.coalesce("component", "id"))
+    least = found.groupBy("root").agg(F.min("first").alias("component"))
+    found = found.drop("component").join(least, "root").select(
+        "digest", (F.col("m") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), "component"
     )
     out = base.select("vec_id", F.when(F.col("vec_id").isNotNull(), F.col("digest")).alias("digest")).join(found, "digest", "left")
     component = F.coalesce("component", "vec_id")

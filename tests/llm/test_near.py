@@ -151,3 +151,12 @@ def test_blocks_out_of_reach_are_left_out(spark):
     np.fill_diagonal(s, 0)
     want = (s >= 0.95).sum(1)
     assert {r.vec_id: r.n_links for r in near_vectors.near_vectors(docs).collect()} == dict(enumerate(want.tolist()))
+
+
+def test_different_vectors_of_one_id(spark):
+    """Each vector of an id has its own links and component, the smallest id in it."""
+    a, near_a, b, near_b = [1.0, 0.0, 0.0], [1.0, 0.1, 0.0], [0.0, 0.0, 1.0], [0.0, 0.1, 1.0]
+    rows = [(5, a), (5, b), (7, near_a), (8, near_b), (3, near_b), (9, [0.0, 1.0, 0.0])]
+    got = near_vectors.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    want = [(5, 1, 5, True), (5, 2, 3, False), (7, 1, 5, False), (8, 2, 3, False), (3, 2, 3, True), (9, 0, 9, True)]
+    assert sorted(map(tuple, got)) == sorted(want)
