@@ -5,24 +5,30 @@ start included), the bytes that follow; discounted mass goes to shorter historie
 counts both classes share. So where a class has not seen a history, it says what the other says of it, and a rare
 spelling counts only as far as one class has evidence for it. A stretch of words is compared by the difference of
 both log-likelihoods for each byte, and so is the whole text; a logistic function joins them into one score.
+
+All labelled texts are counted, whole, so the models grow with the different spellings of the input.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_segment, mapped, text_bytes, text_rows
+from .common import by_segment, mapped, settle, slices, text_bytes, text_rows
 from .letters import by_length, distinct, joined, letter_words, lowered, remainder
-from .quality import SCORED, labelled_sample, scored
+from .quality import SCORED, scored
 
 #: Bytes before the one that is predicted; history and byte fit an unsigned 64-bit integer.
 HISTORY = 6
 DISCOUNT = 0.75
-#: Labelled documents: two thirds teach the models, the rest the weights of the score.
+#: A third of this is the number of documents that the weights of the score are learned from, at most a third of each label.
 SAMPLE = 6000
+#: Different codes that a task holds at once, about.
+HELD = 1 << 20
 #: Words of the stretches that are compared.
 STRETCHES = (1, 6, 24)
 BEGIN, END = 1, 2
@@ -139,21 +145,78 @@ class Contrast:
         return out
 
 
+def codes_of(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of all words of texts, and how often each occurs; a code may come several times."""
+    data = lowered(data)
+    start, end, _ = letter_words(data, ends)
+    if not len(start):
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    place, which = distinct(data, start, end)
+    n, found = np.bincount(which, minlength=len(place)), []
+    for group, words in by_length(data, start[place], end[place]):
+        codes = spelled(words)
+        found.append((codes.ravel(), np.repeat(n[group], codes.shape[1])))
+    codes, n = (np.concatenate(x) for x in zip(*found))
+    return codes, n
+
+
+def summed(parts: list[tuple[np.ndarray, np.ndarray, int]], classes: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted different codes of parts (codes, counts, class), and their counts [classes, codes]."""
+    if not parts:
+        return np.zeros(0, np.uint64), np.zeros((classes, 0), np.int64)
+    keys, which = np.unique(np.concatenate([codes for codes, _, _ in parts]), return_inverse=True)
+    counts, at = np.zeros((classes, len(keys)), np.int64), 0
+    for codes, n, y in parts:
+        counts[y] += np.bincount(which[at : at + len(codes)], n, len(keys)).astype(np.int64)
+        at += len(codes)
+    return keys, counts
+
+
 def counted(sample: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
     """Codes of all words of the sample, and their counts in class 0 and class 1."""
-    found = []
-    for label in (0, 1):
-        data, ends = joined([text for _, y, text in sample if y == label])
-        data = lowered(data)
-        start, end, _ = letter_words(data, ends)
-        place, which = distinct(data, start, end)
-        n = np.bincount(which, minlength=len(place))
-        for group, words in by_length(data, start[place], end[place]):
-            codes = spelled(words)
-            found.append((codes.ravel(), np.repeat(n[group], codes.shape[1]), np.full(codes.size, label, np.int8)))
-    codes, n, label = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.uint64), np.zeros(0), np.zeros(0))
-    keys, which = np.unique(codes, return_inverse=True)
-    return keys, np.stack([np.bincount(which, n * (label == y), len(keys)) for y in (0, 1)])
+    return summed([(*codes_of(*joined([text for _, y, text in sample if y == label])), label) for label in (0, 1)], 2)
+
+
+#: Columns of counts: of texts that only teach the models, and of those that the weights are learned from, by label.
+COUNTS = ["n0", "n1", "w0", "w1"]
+
+
+def all_counted(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of all words of texts (text, label, weigh), and their counts as COUNTS has them."""
+
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray, int]] = []
+        size = 0
+        for part in slices(batches):
+            kind = part.column("label").to_numpy() + 2 * part.column("weigh").to_numpy()
+            for y in np.unique(kind):
+                codes, n = codes_of(*text_bytes(part.column("text").filter(pa.array(kind == y))))
+                held.append((codes, n, int(y)))
+                size += len(codes)
+            if size > 4 * HELD:
+                keys, counts = summed(held, len(COUNTS))
+                held, size = [(keys[at], n[at], y) for y, n in enumerate(counts) if len(at := np.flatnonzero(n))], len(keys)
+                if size > HELD:
+                    yield rows_of(keys, counts)
+                    held, size = [], 0
+        yield rows_of(*summed(held, len(COUNTS)))
+
+    def rows_of(keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), *map(pa.array, counts)], ["code", *COUNTS])
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches:
+            yield pa.RecordBatch.from_pydict({x: pa.array([part.column(x).to_numpy().tobytes()], pa.binary()) for x in ("code", *COUNTS)})
+
+    longs, blobs = (", ".join(f"{x} {kind}" for x in ("code", *COUNTS)) for kind in ("long", "binary"))
+    each = texts.mapInArrow(tally, longs).groupBy("code").agg(*[F.sum(x).alias(x) for x in COUNTS])
+    # Partitions come one after another, so that the driver holds one of them besides the arrays.
+    found = [[np.frombuffer(bytes(x), np.int64) for x in row] for row in settle(each, "codes").mapInArrow(pack, blobs).toLocalIterator()]
+    if not found:
+        return np.zeros(0, np.uint64), np.zeros((len(COUNTS), 0), np.int64)
+    codes, *counts = (np.concatenate(x) for x in zip(*found))
+    order = np.argsort(codes)
+    return codes[order].astype(np.uint64), np.stack(counts)[:, order]
 
 
 def fitted(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -168,28 +231,53 @@ def fitted(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return w
 
 
-def learn(sample: list[tuple]) -> tuple[Contrast, np.ndarray] | None:
-    """The models and the weights of their differences; none without both labels in either part of the sample."""
-    teach, weigh = [x for k, x in enumerate(sample) if k % 3], sample[::3]
-    if any({y for _, y, _ in part} != {0, 1} for part in (teach, weigh)):
-        return None
-    keys, counts = counted(teach)
-    if not len(keys):
+def labelled(labels: DataFrame, sample: int) -> DataFrame:
+    """doc_id, label and weigh (1: the weights are learned from it) of the ids to learn from."""
+    known = labels.select("doc_id", F.col("toxic").cast("int").alias("label")).filter("doc_id is not null and label in (0, 1)")
+    known = known.filter(remainder("doc_id", 4) != 2).groupBy("doc_id").agg(F.max("label").alias("label"))
+    sizes = {row["label"]: row["n"] for row in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    share = F.lit(0.0)
+    for label, n in sizes.items():
+        share = F.when(F.col("label") == label, F.lit(min(1 / 3, sample / 6 / n))).otherwise(share)
+    place = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 30)) / F.lit(1 << 30)
+    return known.withColumn("weigh", (place < share).cast("int"))
+
+
+def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[Contrast, np.ndarray] | None:
+    """The models and the weights of their differences; none without both labels among either kind of texts.
+
+    The weights are learned from texts that the models do not yet count; then these are counted, too.
+    """
+    known = settle(labelled(labels, sample), "labelled")
+    rows = docs.select("doc_id", "text").filter("text is not null")
+    keys, counts = all_counted(rows.join(known, "doc_id").select("text", "label", "weigh"))
+    if not counts.any(1).all():
         return None
-    contrast = Contrast(keys, counts)
-    x = contrast.features(*joined([text for _, _, text in weigh]))
-    return contrast, fitted(x, np.array([y for _, y, _ in weigh], float))
+    seen = counts[:2].any(0)
+    contrast = Contrast(keys[seen], counts[:2, seen])
+
+    def measure(part: pa.RecordBatch) -> pa.RecordBatch:
+        x = contrast.features(*text_bytes(part.column("text")))
+        return pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("label"), pa.array(list(x))], ["doc_id", "label", "x"])
+
+    some = F.broadcast(known.filter("weigh = 1").select("doc_id", "label"))
+    kind = dict(known.dtypes)["doc_id"]
+    # A row for each id, however often it is repeated.
+    measured = mapped(rows.join(some, "doc_id"), measure, f"doc_id {kind}, label int, x array<double>")
+    found = sorted((row["y"], row["x"]) for row in measured.groupBy("doc_id").agg(F.max("label").alias("y"), F.min("x").alias("x")).collect())
+    weights = fitted(np.array([x for _, x in found]), np.array([y for y, _ in found], float))
+    return Contrast(keys, counts[:2] + counts[2:]), weights
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """doc_id, held_out, score, predicted of every row of docs.
 
     Learned from labelled rows whose remainder (crc32 of the id, modulo 4) is not 2; a null label is none, and of
-    several labels of an id the largest holds. A null text is scored like an empty one, which has no stretches. Without both labels to learn
+    several labels of an id the largest holds; labels but 0 and 1 are none. A null text is scored like an empty one, which has no stretches. Without both labels to learn
     from, all scores are 0. A null id is not held out. Repeated rows are scored each for itself, an empty table gives no rows, and other columns
     are not read.
     """
-    model = learn(labelled_sample(docs, labels, "toxic", 4, 2, sample))
+    model = learn(docs, labels, sample)
 
     def judge(part: pa.RecordBatch) -> pa.RecordBatch:
         score = np.zeros(part.num_rows)

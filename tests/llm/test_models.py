@@ -154,3 +154,20 @@ def test_scores_of_held_out_rows(tables, score, column):
     assert len(right) > 50 and sum(right) >= 0.95 * len(right)
     assert score(docs.limit(0), labels).collect() == []
     assert len(set(r.score for r in score(docs, labels.limit(0)).collect())) == 1
+
+
+def test_toxicity_counts_every_labelled_text_whole(spark):
+    """A word that only lies beyond the first and last parts of long texts, or outside any sample, counts."""
+    draw = random.Random(6)
+    plain = lambda n: " ".join(draw.choice(WORDS["en"].split()) for _ in range(n))
+    rows = [(i, plain(30) + (" zzqx" if i % 5 == 0 else ""), int(i % 5 == 0)) for i in range(300)]
+    rows += [(1000 + i, plain(9000) + " vrakk " + plain(9000), 1) for i in range(12)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    contrast, _ = toxicity.learn(docs, labels, sample=30)
+    seen = [r.doc_id for r in docs.filter(toxicity.remainder("doc_id", 4) != 2).select("doc_id").collect()]
+    keys, counts = toxicity.counted([(0, y, text.encode()) for i, text, y in rows if i in seen])
+    want = toxicity.Contrast(keys, counts)
+    assert (contrast.keys == want.keys).all() and np.allclose(contrast.gains, want.gains)
+    word = np.frombuffer(b"vrakk", np.uint8)[None, :]
+    assert contrast.of_words(word)[0] > 0
