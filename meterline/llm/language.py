@@ -14,11 +14,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import appended, by_segment, mapped, text_bytes, text_rows
+from .common import appended, by_segment, mapped, mix, text_bytes, text_rows
 from .letters import by_length, distinct, joined, learned_from, letter_words, lowered, remainder, some_of_each
 
-#: Bytes of the longest piece, with the mark of a word's start; a piece fits an unsigned 64-bit integer.
-PIECE = 8
+#: Bytes, with the mark of a word's start, up to which a piece is its own code; the code of a longer one is a hash.
+PLAIN = 8
 MARK = 1
 #: Documents that the models are learned from, all languages together.
 SAMPLE = 2400
@@ -29,13 +29,42 @@ FLOOR = 1e-7
 EVIDENCE = 12
 
 
-def vocabulary(path: str | None = None) -> np.ndarray:
-    """Pieces of letters up to PIECE bytes as sorted integers; the mark of a word's start is the byte MARK."""
+def longer(code: np.ndarray, byte: np.ndarray, size: int) -> np.ndarray:
+    """Codes of pieces of size bytes, from the codes of all but their first byte, and this byte."""
+    if size <= PLAIN:
+        return code | (byte << np.uint64(8 * (size - 1)))
+    return mix(code * np.uint64(0x9E3779B97F4A7C15) + (byte | np.uint64(size << 8)))
+
+
+def code_of(piece: bytes) -> int:
+    code = np.zeros(1, np.uint64)
+    for size, byte in enumerate(reversed(piece), 1):
+        code = longer(code, np.array([byte], np.uint64), size)
+    return int(code[0])
+
+
+class Vocabulary(np.ndarray):
+    """Sorted codes of pieces, and the bytes of the longest as longest."""
+
+    longest = PLAIN
+
+    def __reduce__(self):
+        return restored, (np.asarray(self), self.longest)
+
+
+def restored(codes: np.ndarray, longest: int) -> Vocabulary:
+    out = codes.view(Vocabulary)
+    out.longest = longest
+    return out
+
+
+def vocabulary(path: str | None = None) -> Vocabulary:
+    """Codes of all pieces of letters; the mark of a word's start is the byte MARK."""
     import public_tokenizers
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path or public_tokenizers.path("piece_bpe_32k.model"))
-    found = set()
+    found, longest = set(), PLAIN
     for k in range(model.get_piece_size()):
         if model.is_control(k) or model.is_unknown(k) or model.is_byte(k):
             continue
@@ -43,16 +72,17 @@ def vocabulary(path: str | None = None) -> np.ndarray:
         body = piece.removeprefix("▁")
         if body and all(c.isalpha() for c in body):
             data = bytes([MARK]) * (piece != body) + body.encode()
-            if len(data) <= PIECE:
-                found.add(int.from_bytes(data, "big"))
-    return np.array(sorted(found), np.uint64)
+            found.add(code_of(data))
+            longest = max(longest, len(data))
+    return restored(np.array(sorted(found), np.uint64), longest)
 
 
 class Lattice:
     """The pieces of a vocabulary that end at each place of a word."""
 
     def __init__(self, pieces: np.ndarray):
-        self.pieces = pieces
+        self.longest = getattr(pieces, "longest", PLAIN)
+        self.pieces = pieces = np.asarray(pieces)
         self.maybe = np.zeros(1 << 20, bool)
         self.maybe[self._slot(pieces)] = True
 
@@ -75,8 +105,8 @@ class Lattice:
         out = []
         for j in range(1, marked.shape[1] + 1):
             code, row = np.zeros(len(words), np.uint64), []
-            for k in range(1, min(PIECE, j) + 1):
-                code = code | (marked[:, j - k] << np.uint64(8 * (k - 1)))
+            for k in range(1, min(self.longest, j) + 1):
+                code = longer(code, marked[:, j - k], k)
                 row.append(self.find(code))
             out.append(row)
         return out

@@ -68,26 +68,27 @@ def remainder(column: str, divisor: int) -> Column:
 
 
 def some_of_each(rows: DataFrame, label: str, total: int) -> DataFrame:
-    """About total of the rows (doc_id and label), the same number for each label or all it has; place is added.
+    """Rows (doc_id and label) of about total ids, the same number for each label or all it has; place is added.
 
-    The hash of its id decides whether a row is taken. Labels are counted first; then the share of each label's rows
-    that comes near its part of total is taken.
+    The hash of its id decides whether an id is taken. The ids of each label are counted first; then the share of them
+    that comes near the label's part of total is taken, and the first by hash in any case.
     """
-    rows = rows.filter(F.col(label).isNotNull())
-    counts = {row[label]: row["n"] for row in rows.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
-    if not counts:
-        return rows.withColumn("place", F.lit(0.0)).limit(0)
-    part = total // len(counts)
-    shares = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, part / n))])
     place = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 30)) / F.lit(1 << 30)
-    return rows.filter(place < shares[F.col(label)]).withColumn("place", place)
+    rows = rows.filter(F.col(label).isNotNull()).withColumn("place", place)
+    sizes = rows.select("doc_id", label, "place").distinct().groupBy(label).agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("least"))
+    counts = {row[label]: (row["n"], row["least"]) for row in sizes.collect()}
+    if not counts:
+        return rows.limit(0)
+    part = total / len(counts)
+    shares = F.create_map(*[F.lit(x) for k, (n, least) in counts.items() for x in (k, max(least, min(1.0, part / n)))])
+    return rows.filter(F.col("place") <= shares[F.col(label)])
 
 
 def learned_from(taken: DataFrame) -> list[tuple]:
     """Place, label and text of the rows that some_of_each() took.
 
-    A row gives SAMPLE_BYTES bytes of text at most, from a place that the hash decides, so the driver receives no more
-    than the sample's size times that.
+    An id gives SAMPLE_BYTES bytes of text at most for a label, from a place that the hash decides, so the driver receives
+    no more than the sample's size times that, however often an id is repeated.
     """
 
     def cut(batches):
@@ -97,11 +98,13 @@ def learned_from(taken: DataFrame) -> list[tuple]:
                 data = text.as_buffer().to_pybytes()
                 at = int(place * max(0, len(data) - SAMPLE_BYTES))
                 texts.append(data[at : at + SAMPLE_BYTES])
-            yield pa.RecordBatch.from_arrays([part.column("label"), part.column("place"), pa.array(texts, pa.binary())], ["label", "place", "text"])
+            names = ["doc_id", "label", "place"]
+            yield pa.RecordBatch.from_arrays([*map(part.column, names), pa.array(texts, pa.binary())], [*names, "text"])
 
-    rows = taken.filter("text is not null").select("label", "place", "text")
-    kind = dict(rows.dtypes)["label"]
-    found = rows.mapInArrow(cut, f"label {kind}, place double, text binary").collect()
+    rows = taken.filter("text is not null").select("doc_id", "label", "place", "text")
+    kinds = dict(rows.dtypes)
+    parts = rows.mapInArrow(cut, f"doc_id {kinds['doc_id']}, label {kinds['label']}, place double, text binary")
+    found = parts.groupBy("doc_id", "label", "place").agg(F.min("text").alias("text")).collect()
     return sorted((row["place"], row["label"], bytes(row["text"])) for row in found)
 
 

@@ -171,3 +171,25 @@ def test_toxicity_counts_every_labelled_text_whole(spark):
     assert (contrast.keys == want.keys).all() and np.allclose(contrast.gains, want.gains)
     word = np.frombuffer(b"vrakk", np.uint8)[None, :]
     assert contrast.of_words(word)[0] > 0
+
+
+def test_vocabulary_has_pieces_of_all_lengths():
+    """Pieces of more than eight bytes are found in words, each at its own number."""
+    pieces = language.vocabulary()
+    lattice = language.Lattice(pieces)
+    word = "information"
+    row = lattice.edges(np.frombuffer(word.encode(), np.uint8)[None, :])[-1]
+    found = {k: int(x[0]) for k, x in enumerate(row, 1) if x[0] < len(pieces)}
+    marked = b"\x01" + word.encode()
+    assert len(marked) in found and all(int(pieces[n]) == language.code_of(marked[-k:]) for k, n in found.items())
+    assert pieces.longest > language.PLAIN and len(set(pieces.tolist())) == len(pieces)
+
+
+def test_sample_of_many_labels_and_repeated_ids(spark):
+    """Each of more labels than the sample has documents gives one; an id gives one text, however often it is repeated."""
+    rows = [(i, f"word{i}", f"l{i % 50}") for i in range(200)] + [(7, "again", "l7")] * 300
+    docs = spark.createDataFrame(rows, "doc_id long, text string, label string")
+    taken = language.learned_from(language.some_of_each(docs, "label", 10))
+    assert {label for _, label, _ in taken} == {f"l{k}" for k in range(50)}
+    every = language.learned_from(language.some_of_each(docs, "label", 10**6))
+    assert len(every) == 200
