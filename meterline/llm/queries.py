@@ -11,6 +11,7 @@ from meterline.session import configure
 
 from .bpe import encode_decode
 from .common import table
+from .exact_dedup import exact_duplicates
 from .language import identify
 from .near_text import near_duplicates
 from .near_vectors import near_vectors
@@ -127,3 +128,17 @@ def near_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_near_vectors")
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+EXACT_SQL = """
+with rows as (select doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as norm
+              from documents)
+select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,
+       coalesce(doc_id = max(doc_id) over same, false) as kept, sha256(norm) as text_sha256
+from rows window same as (partition by norm)
+"""
+
+
+@query("op12_exact_dedup", EXACT_SQL)
+def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_duplicates(table(spark, sf_dir, "documents"))
