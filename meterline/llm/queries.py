@@ -12,6 +12,7 @@ from meterline.session import configure
 from .bpe import encode_decode
 from .common import table
 from .exact_dedup import exact_duplicates
+from .hard_negatives import hard_negatives
 from .language import identify
 from .near_text import near_duplicates
 from .near_vectors import near_vectors
@@ -142,3 +143,27 @@ from rows window same as (partition by norm)
 @query("op12_exact_dedup", EXACT_SQL)
 def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+NEGATIVES_SQL = """
+with v as materialized (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda x: floor(256 * x::double)) as q
+  from embeddings where label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as materialized (
+  select a.vec_id as anchor_id, v.vec_id, a.label = v.label as same, list_inner_product(a.q, v.q)::bigint as score
+  from v a join v on a.vec_id <> v.vec_id and len(a.q) = len(v.q) where a.vec_id % 100 = 0),
+p as (
+  select anchor_id, vec_id as positive_id, score as positive_score from s where same
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+select anchor_id, positive_id, row_number() over best as rank, vec_id as negative_id, positive_score, score as negative_score
+from p join s using (anchor_id) where not same and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score
+window best as (partition by anchor_id, positive_id order by score desc, vec_id)
+qualify row_number() over best <= 10
+"""
+
+
+@query("op13_hard_negatives", NEGATIVES_SQL)
+def negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives(table(spark, sf_dir, "embeddings"))
