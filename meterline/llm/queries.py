@@ -11,6 +11,7 @@ from meterline.session import configure
 
 from .bpe import encode_decode
 from .common import table
+from .conversation_trie import prefix_trie
 from .exact_dedup import exact_duplicates
 from .hard_negatives import hard_negatives
 from .language import identify
@@ -167,3 +168,41 @@ qualify row_number() over best <= 10
 @query("op13_hard_negatives", NEGATIVES_SQL)
 def negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+TRIE_SQL = """
+with t as materialized (
+  select conv_id, coalesce(role, '') as role, coalesce(text, '') as text, row_number() over (
+    partition by conv_id order by turn nulls first, coalesce(role, ''),
+      sha256(strlen(coalesce(role, ''))::varchar || ':' || coalesce(role, '') || coalesce(text, ''))) - 1 as pos
+  from conversations where conv_id is not null),
+c as materialized (
+  select conv_id, conv_id - conv_id % 5 as base, xor(4294967295, list_reduce(
+    [4294967295::bigint] || flatten(list_transform(string_split(conv_id::varchar, ''), lambda x: [ord(x)::bigint, -1, -1, -1, -1, -1, -1, -1, -1])),
+    lambda a, x: case when x >= 0 then xor(a, x) else xor(a >> 1, (a & 1) * 3988292384) end)) % 9 as h
+  from (select distinct conv_id from t)),
+r as materialized (
+  select c.conv_id, t.role, t.text, 0 as part, t.pos from c join t on t.conv_id = c.base where t.pos < c.h
+  union all select c.conv_id, t.role, t.text, 1, t.pos from c join t on t.conv_id = c.conv_id where t.pos >= c.h),
+p as materialized (
+  select conv_id, text, list((role, text)) over (partition by conv_id order by part, pos) as path,
+         count(*) over (partition by conv_id) as size from r
+  union all select conv_id, '', [], count(part) from c left join r using (conv_id) group by conv_id),
+n as materialized (
+  select path, len(path) as depth, min(conv_id) as conv_id, count(*) as n_convs, min(strlen(text)) as bytes,
+         sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (where size = len(path)), '')) as ends_sha256
+  from p group by path),
+k as materialized (select path[:-2] as path, count(*) as n_children from n where depth > 0 group by 1),
+m as materialized (
+  select n.*, coalesce(n_children, 0) as n_children from n left join k using (path)),
+s as (
+  select path[1:d] as path, sum((n_children = 0)::bigint)::bigint as n_leaves, sum((n_convs - 1) * bytes)::bigint as saved_tokens
+  from (select *, unnest(range(0, depth + 1)) as d from m) group by 1)
+select m.conv_id, m.depth, u.conv_id as parent_conv_id, m.n_convs, m.n_children, n_leaves, saved_tokens, m.ends_sha256
+from m join s using (path) left join n u on m.depth > 0 and u.path = m.path[:-2]
+"""
+
+
+@query("op11_conversation_trie", TRIE_SQL)
+def conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"))
