@@ -26,9 +26,11 @@ def lowered(data: np.ndarray) -> np.ndarray:
     return data
 
 
-def letter_words(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end of the runs of letters (and other characters beyond ASCII) in lower-cased texts, cut at LONGEST
-    bytes, and the first word of each text (and the end)."""
+def letter_words(
+    data: np.ndarray, ends: np.ndarray, longest: int | None = LONGEST
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of the runs of letters (and other characters beyond ASCII) in lower-cased texts, cut at longest
+    bytes if that is given, and the first word of each text (and the end)."""
     inside = LETTER[data]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
@@ -39,11 +41,11 @@ def letter_words(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.nda
     last[:-1] &= ~inside[1:]
     last[edges - 1] = inside[edges - 1]
     start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
-    pieces = -(-(end - start) // LONGEST)
+    pieces = -(-(end - start) // longest) if longest else np.ones(len(start), np.int64)
     if (pieces > 1).any():
         k = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-        start = np.repeat(start, pieces) + k * LONGEST
-        end = np.minimum(np.repeat(end, pieces), start + LONGEST)
+        start = np.repeat(start, pieces) + k * longest
+        end = np.minimum(np.repeat(end, pieces), start + longest)
     return start, end, np.searchsorted(start, ends)
 
 

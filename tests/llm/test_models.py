@@ -9,7 +9,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from meterline.llm import language, quality, toxicity
+from meterline.llm import language, letters, quality, toxicity
 from meterline.llm.letters import joined, letter_words, lowered
 
 
@@ -17,23 +17,88 @@ def pieces_of(*names):
     return np.array(sorted(int.from_bytes(x.replace("_", "\x01").encode(), "big") for x in names), np.uint64)
 
 
+NAMES = ["_", "_a", "a", "b", "ab", "_ab", "bca", "c"]
+PIECES = pieces_of(*NAMES)
+
+
+def segmentations(text):
+    for cuts in itertools.product([0, 1], repeat=len(text) - 1):
+        bounds = [0, *[k + 1 for k, cut in enumerate(cuts) if cut], len(text)]
+        yield [text[a:b] for a, b in zip(bounds, bounds[1:])]
+
+
+def chances():
+    by_code = {int.from_bytes(x.replace("_", "\x01").encode(), "big"): k + 1 for k, x in enumerate(NAMES)}
+    prob = {x.replace("_", "\x01"): (k + 1) / 40 for k, x in enumerate(NAMES)}
+    return np.array([by_code[int(x)] / 40 for x in PIECES] + [0])[:, None], prob
+
+
+def marked(word):
+    return np.frombuffer(("\x01" + word).encode(), np.uint8)[None, :]
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text("abc", min_size=1, max_size=7))
 def test_sum_over_segmentations(word):
-    names = ["_", "_a", "a", "b", "ab", "_ab", "bca", "c"]
-    pieces = pieces_of(*names)
-    by_code = {int.from_bytes(x.replace("_", "\x01").encode(), "big"): k + 1 for k, x in enumerate(names)}
-    chance = np.array([by_code[int(x)] / 40 for x in pieces] + [0])[:, None]
-    prob = {x.replace("_", "\x01"): (k + 1) / 40 for k, x in enumerate(names)}
-    text = "\x01" + word
-    want = 0.0
-    for cuts in itertools.product([0, 1], repeat=len(text) - 1):
-        bounds = [0, *[k + 1 for k, cut in enumerate(cuts) if cut], len(text)]
-        parts = [text[a:b] for a, b in zip(bounds, bounds[1:])]
-        want += math.prod(prob.get(x, language.FLOOR if len(x) == 1 else 0) for x in parts)
-    words = np.frombuffer(word.encode(), np.uint8)[None, :]
-    got = language.forward(language.Lattice(pieces).edges(words), chance)[-1, 0, 0]
-    assert math.isclose(got, want, rel_tol=1e-9)
+    chance, prob = chances()
+    each = lambda x: prob.get(x, language.FLOOR if len(x) == 1 else 0)
+    want = sum(math.prod(map(each, parts)) for parts in segmentations("\x01" + word))
+    lattice = language.Lattice(PIECES)
+    *_, last = language.forward(lattice.edges(marked(word)), language.logs_of(chance), lattice.longest)
+    assert math.isclose(last[0, 0], math.log(want), rel_tol=1e-9)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.text("abcd", min_size=1, max_size=5), st.integers(1, 4)), min_size=1, max_size=4))
+def test_expected_uses(words):
+    """Learning counts each piece by its share of all segmentations."""
+    chance, prob = chances()
+    lattice, want, got = language.Lattice(PIECES), {}, np.zeros(len(PIECES) + 1)
+    for word, n in words:
+        each = lambda x: prob.get(x, language.FLOOR if len(x) == 1 else 0)
+        every = [(parts, math.prod(map(each, parts))) for parts in segmentations("\x01" + word)]
+        total = sum(p for _, p in every)
+        for parts, p in every:
+            for x in parts:
+                want[x] = want.get(x, 0) + n * p / total
+        got += language.expected(list(lattice.edges(marked(word))), chance, np.array([float(n)]))
+    names = {int(code): k for k, code in enumerate(PIECES)}
+    for x in NAMES:
+        x = x.replace("_", "\x01")
+        assert math.isclose(got[names[int.from_bytes(x.encode(), "big")]], want.get(x, 0), rel_tol=1e-9, abs_tol=1e-12)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.text("abcd", min_size=1, max_size=40), min_size=1, max_size=4), st.integers(1, 12))
+def test_cuts_change_no_sum(words, short):
+    """Runs cut where no piece lies across have the same likelihood as whole ones, whatever their length."""
+    chance, _ = chances()
+    lattice, data = language.Lattice(PIECES), joined([" ".join(words).encode()])
+    before = language.SHORT
+    try:
+        language.SHORT = 10**9
+        want, n = language.likelihoods(*data, lattice, chance)
+        language.SHORT = short
+        got, m = language.likelihoods(*data, lattice, chance)
+    finally:
+        language.SHORT = before
+    assert n.tolist() == m.tolist() == [len(words)] and np.allclose(want, got, rtol=1e-12)
+
+
+@pytest.fixture(scope="module")
+def real():
+    pieces = language.vocabulary()
+    units = [(name, b"\x01" + w.encode(), 3) for name, words in WORDS.items() for w in words.split()]
+    return language.Lattice(pieces), *language.learn(units + [("xx", "\x01🦊🦊".encode() * 30, 5)], pieces)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(max_size=80), st.integers(1, 60))
+def test_any_text_has_finite_likelihoods(real, text, times):
+    lattice, names, chance = real
+    assert names == ["de", "en", "fr", "xx"] and np.isfinite(chance).all()
+    totals, _ = language.likelihoods(*joined([(text * times).encode("utf-8", "ignore"), b"haus wasser"]), lattice, chance)
+    assert np.isfinite(totals).all() and totals[1].argmax() == 0
 
 
 @settings(max_examples=200, deadline=None)
@@ -178,18 +243,36 @@ def test_vocabulary_has_pieces_of_all_lengths():
     pieces = language.vocabulary()
     lattice = language.Lattice(pieces)
     word = "information"
-    row = lattice.edges(np.frombuffer(word.encode(), np.uint8)[None, :])[-1]
+    row = list(lattice.edges(marked(word)))[-1]
     found = {k: int(x[0]) for k, x in enumerate(row, 1) if x[0] < len(pieces)}
-    marked = b"\x01" + word.encode()
-    assert len(marked) in found and all(int(pieces[n]) == language.code_of(marked[-k:]) for k, n in found.items())
+    whole = b"\x01" + word.encode()
+    assert len(whole) in found and all(int(pieces[n]) == language.code_of(whole[-k:]) for k, n in found.items())
     assert pieces.longest > language.PLAIN and len(set(pieces.tolist())) == len(pieces)
 
 
+def test_one_odd_text_leaves_a_table_alone(spark):
+    """Long runs of characters that are no piece, in a learned text and in a scored one."""
+    rows = documents(60) + [(500 + i, "das haus " + x * 46, "de", "x", "y", 1, 0) for i, x in enumerate("🦊ꀀ຀ᚠ╬")]
+    rows += [(600 + i, "🦊" * 3000, None, "x", "y", 1, 0) for i in range(2)]
+    got = language.identify(spark.createDataFrame([r[:5] for r in rows], SCHEMA)).collect()
+    assert all(0 <= r.score <= 1 for r in got)
+    pred = {r.doc_id: r.lang_pred for r in got}
+    assert all(pred[r[0]] == r[2] for r in rows if r[0] < 500) and pred[600] == "und"
+
+
+def test_learns_from_whole_texts(spark):
+    """What lies beyond the first 16 KiB of a labelled text is learned."""
+    rows = [(i, "the and " * 4000 + "krzyz", "en") for i in range(8)] + [(20 + i, "der und " * 4000 + "strasz", "de") for i in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, label string")
+    found = {(label, unit) for label, unit, _ in language.learned_units(language.some_of_each(docs, "label", 100), language.vocabulary())}
+    assert ("en", b"\x01krzyz") in found and ("de", b"\x01strasz") in found
+
+
 def test_sample_of_many_labels_and_repeated_ids(spark):
     """Each of more labels than the sample has documents gives one; an id gives one text, however often it is repeated."""
     rows = [(i, f"word{i}", f"l{i % 50}") for i in range(200)] + [(7, "again", "l7")] * 300
     docs = spark.createDataFrame(rows, "doc_id long, text string, label string")
-    taken = language.learned_from(language.some_of_each(docs, "label", 10))
+    taken = letters.learned_from(letters.some_of_each(docs, "label", 10))
     assert {label for _, label, _ in taken} == {f"l{k}" for k in range(50)}
-    every = language.learned_from(language.some_of_each(docs, "label", 10**6))
+    every = letters.learned_from(letters.some_of_each(docs, "label", 10**6))
     assert len(every) == 200
