@@ -9,17 +9,20 @@ links families of near copies at a cost in proportion to their size; afterwards
 Each tree's node draws its leaders anew, so a member of a family meets many others although its node compares few.
 
 A pair of sets with the least similarity shares a tree's first token with probability 0.75, and then, where nodes are crowded, survives any
-number of branchings into CHOICES children of STEP tokens each with probability 0.865, so TREES trees miss it with
-probability (1 - 0.649) ** TREES, about 5e-8, if the tokens of each branching were fresh. All draw from the same 48 tokens,
-so by calculation, not measured, a pair at the threshold is missed with probability 2e-7 after one branching,
-7e-6 after two, 1.3e-4 after four, 4.6e-4 after six and 1.5e-3 after ten; small nodes do not branch. Pairs whose MINS minwise tokens agree at fewer than AGREE places are not compared; that
-happens to a pair with the least similarity with probability below 1e-7. Every link is confirmed on the full sets.
+number of branchings into CHOICES children of STEP tokens each with probability 0.865, so TREES trees miss it with probability
+(1 - 0.649) ** TREES, about 5e-8, if the tokens of each branching were fresh. All draw from the same 48 tokens, so by
+calculation, not measured, a pair at the threshold is missed with probability 2e-7 after one branching, 7e-6 after two,
+1.3e-4 after four, 4.6e-4 after six and 1.5e-3 after ten; small nodes do not branch. Pairs whose MINS minwise tokens agree
+at fewer than AGREE places are not compared; that happens to a pair with the least similarity with probability below 1e-7.
+Every link is confirmed on the full sets, inside the node, and a node's parts answer with links that connect, never
+with pairs that may link.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,8 +41,8 @@ AGREE = 29
 #: A node is small if it has at most so many pairs of different classes for each member. Comparing the tokens of so many
 #: pairs in a task costs less than the rows that branching shuffles for one member.
 SMALL = 2048
-#: Members of a node that are compared at once.
-BLOCK = 256
+#: Members of a part of a node at most, on average, and tokens of their full sets.
+BLOCK, TOKENS = 1024, 1 << 21
 #: Bytes of text that a task shingles at once; its arrays take some twenty times as much.
 TEXT_BYTES = 1 << 20
 #: Bits of the fixed-size filter that says which texts may be needed again.
@@ -118,12 +121,8 @@ def possible(ids: DataFrame) -> np.ndarray:
     return out
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough.
-
-    Only texts that take part in a pair are shingled again; their sets are written once and joined to the pairs.
-    """
-    ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+def full_sets(ids: DataFrame, docs: DataFrame) -> DataFrame:
+    """id, codes (the whole set, as bytes) of the texts with these ids; only such texts are shingled again."""
     bits = possible(ids)
 
     def full(batches):
@@ -139,7 +138,12 @@ def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 
     slot = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
     rows = text_rows(docs.filter("doc_id is not null").withColumn("doc_id", F.col("doc_id").cast("long")))
-    sets = settle(rows.withColumn("slot", slot).mapInArrow(full, "id long, codes binary"), "sets")
+    return settle(rows.withColumn("slot", slot).mapInArrow(full, "id long, codes binary"), "sets")
+
+
+def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose full sets are similar enough."""
+    sets = full_sets(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(), docs)
 
     def compare(batches):
         last, held = None, None
@@ -159,31 +163,26 @@ def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 
 def linked(sets: DataFrame, docs: DataFrame) -> DataFrame:
     """Links (a, b) that join all ids of sets (id, n, mins) that links between them connect."""
-    roots = sets.select("id", F.posexplode(F.slice("mins", 1, TREES)).alias("tree", "token"))
-    members = crowded(roots.select(F.xxhash64("tree", "token").alias("node"), "tree", "id"))
+    roots = sets.select("id", "n", F.posexplode(F.slice("mins", 1, TREES)).alias("tree", "token"))
+    members = crowded(roots.select(F.xxhash64("tree", "token").alias("node"), "tree", "id", "n"))
     drawn = [F.min(F.struct(F.xxhash64("node", "id", F.lit(k)).alias("h"), "id"))["id"] for k in range(LEADERS)]
     leaders = members.groupBy("node").agg(F.array(*drawn).alias("leaders"))
     stars = members.join(leaders, "node").select(F.explode("leaders").alias("a"), F.col("id").alias("b"))
-    stars = settle(likely(stars, sets), "stars")
-    links = confirmed(stars, docs)
-    classes = components(links)
-    pairs, done = [], None
+    links = confirmed(settle(likely(stars, sets), "stars"), docs)
+    done = None
     while members is not None:
-        inside = settle(judged(members, classes), "inside")
+        # Linked sets count as one class from one level to the next.
+        inside = settle(judged(members, components(links)), "inside")
         root = done is None
         if root:
             bit = F.expr("shiftleft(1, tree)")
             done = settle(inside.filter("small").groupBy("id").agg(F.bit_or(bit).alias("done")), "done")
-        pairs.append(settle(exhaustive(inside.filter("small"), done, sets, root), "met"))
-        large = inside.filter("not small").select("node", "tree", "id")
+        links = links.unionByName(exhaustive(inside.filter("small"), done, sets, root, docs))
+        large = inside.filter("not small").select("node", "tree", "id", "n")
         members = None if large.isEmpty() else crowded(
-            large.join(sets.select("id", "mins"), "id").select(F.explode(F.array(*children())).alias("node"), "tree", "id")
+            large.join(sets.select("id", "mins"), "id").select(F.explode(F.array(*children())).alias("node"), "tree", "id", "n")
         )
-    every = pairs[0]
-    for found in pairs[1:]:
-        every = every.unionByName(found)
-    more = settle(every.distinct().join(stars, ["a", "b"], "left_anti"), "pairs")
-    return links.unionByName(confirmed(more, docs))
+    return links
 
 
 def crowded(members: DataFrame) -> DataFrame:
@@ -193,59 +192,128 @@ def crowded(members: DataFrame) -> DataFrame:
 
 
 def judged(members: DataFrame, classes: DataFrame) -> DataFrame:
-    """Members of the nodes that hold several classes, with their class, the node's largest one and whether it is small."""
-    members = members.join(classes, "id", "left").select("node", "tree", "id", F.coalesce("component", "id").alias("class"))
-    each = members.groupBy("node", "class").agg(F.count(F.lit(1)).alias("m"))
+    """Members of the nodes that hold several classes, with their class, the node's largest one, whether it is small, and
+    the parts it is compared in."""
+    members = members.join(classes, "id", "left").select("node", "tree", "id", "n", F.coalesce("component", "id").alias("class"))
+    each = members.groupBy("node", "class").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("n"))
     nodes = each.groupBy("node").agg(
-        F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("within"), F.max(F.struct("m", "class"))["class"].alias("large")
+        F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("within"), F.sum("n").alias("tokens"),
+        F.max(F.struct("m", "class"))["class"].alias("large"),
     )
     crossing = (F.col("m") * F.col("m") - F.col("within")) / 2
     nodes = nodes.filter("m * m > within").withColumn("small", crossing <= SMALL * F.col("m"))
-    parts = F.ceil(F.col("m") / F.lit(BLOCK)).cast("long").alias("parts")
+    parts = F.ceil(F.greatest(F.col("m") / F.lit(BLOCK), F.col("tokens") / F.lit(TOKENS))).cast("long").alias("parts")
     return members.join(nodes.select("node", "small", "large", parts), "node")
 
 
-def exhaustive(small: DataFrame, done: DataFrame, sets: DataFrame, root: bool) -> DataFrame:
-    """The likely pairs (a, b) of small nodes, of which one at least is outside the node's largest class.
+def exhaustive(small: DataFrame, done: DataFrame, sets: DataFrame, root: bool, docs: DataFrame) -> DataFrame:
+    """Links (a, b) of small nodes between sets of which one at least is outside the node's largest class.
 
-    The sets outside the largest class are at most 4 * SMALL. They travel as one array to the node's members, which
-    come in blocks. A pair that meets in several small root nodes is taken from the first one only (done says
-    in which trees a set's root node is small); in other nodes it is left out then.
+    The sets outside the largest class are at most 4 * SMALL. Their tokens travel as one array to the node's members, which
+    come in parts; the answer are the members that some other may be linked with, not the pairs. The full sets of these
+    meet, part by part, and are compared there; of each pair of parts only links leave that connect sets not yet connected
+    in it. A pair that meets in several small root nodes is taken from the first one only (done says in which trees a
+    set's root node is small); in other nodes it is left out then.
     """
-    own = F.struct("id", "class", "n", "done", "mins")
-    rows = small.join(sets, "id").join(done, "id", "left").withColumn("done", F.coalesce("done", F.lit(0)))
     part = F.pmod(F.xxhash64("id"), F.col("parts")).alias("part")
-    blocks = rows.groupBy("node", "tree", "large", part).agg(F.collect_list(own).alias("block"))
+    rows = small.join(sets.select("id", "mins"), "id").join(done, "id", "left").withColumn("done", F.coalesce("done", F.lit(0)))
+    rows = settle(rows.select("node", "tree", "large", "id", "class", "n", "done", "mins", part), "compared")
+    own = F.struct("id", "class", "n", "done", "part", "mins")
+    blocks = rows.groupBy("node", "tree", "large", "part").agg(F.collect_list(own).alias("block"))
     others = rows.filter(F.col("class") != F.col("large")).groupBy("node").agg(F.collect_list(own).alias("others"))
-    met = blocks.join(others, "node").select("tree", "large", "block", "others")
+    met = blocks.join(others, "node").select("node", "tree", "large", "block", "others")
 
-    def compare(batches):
-        bits = 1 << np.arange(TREES)
+    def survivors(batches):
         for batch in batches:
-            found = [np.zeros((0, 2), np.int64)]
-            trees, large = batch.column("tree").to_numpy(), batch.column("large").to_numpy()
             for k in range(batch.num_rows):
+                node, tree, large = (batch.column(name)[k].as_py() for name in ("node", "tree", "large"))
                 x, y = (_columns(batch.column(name)[k].values) for name in ("block", "others"))
+                left = {}
                 for at in range(0, len(y["id"]), 64):
                     z = {name: values[at : at + 64] for name, values in y.items()}
-                    same = x["mins"][:, None, :] == z["mins"][None, :, :]
-                    shared = (same[:, :, :TREES] @ bits) & x["done"][:, None]
-                    keep = (shared & -shared) == (1 << trees[k]) if root else shared == 0
-                    keep &= same.sum(2) >= AGREE
-                    keep &= x["class"][:, None] != z["class"][None, :]
-                    keep &= (x["class"] == large[k])[:, None] | (x["id"][:, None] < z["id"][None, :])
-                    low = np.minimum(x["n"][:, None], z["n"][None, :])
-                    keep &= 100 * low >= PERCENT * np.maximum(x["n"][:, None], z["n"][None, :])
-                    u, v = np.nonzero(keep)
-                    found.append(np.sort(np.stack([x["id"][u], z["id"][v]], 1), 1))
-            pairs = np.concatenate(found)
-            yield pa.RecordBatch.from_pydict({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
-
-    return met.mapInArrow(compare, "a long, b long").distinct()
+                    keep = may_link(x, z, tree, large, root)
+                    for far in np.unique(z["part"]):
+                        a, b = left.setdefault(int(far), (np.zeros(len(x["id"]), bool), np.zeros(len(y["id"]), bool)))
+                        hit = keep[:, z["part"] == far]
+                        a |= hit.any(1)
+                        b[at + np.flatnonzero(z["part"] == far)] = hit.any(0)
+                for far, sides in left.items():
+                    for side, (held, some) in enumerate(zip((x, y), sides)):
+                        at = np.flatnonzero(some)
+                        if len(at):
+                            yield pa.RecordBatch.from_pydict({
+                                "node": [node] * len(at), "tree": pa.array([tree] * len(at), pa.int32()), "large": [large] * len(at),
+                                "near": pa.array([int(x["part"][0])] * len(at), pa.int64()), "far": pa.array([far] * len(at), pa.int64()),
+                                "side": pa.array([side] * len(at), pa.int32()), "id": held["id"][at], "class": held["class"][at],
+                                "n": held["n"][at], "done": pa.array(held["done"][at].astype(np.int32)),
+                                "mins": pa.array([row.tobytes() for row in held["mins"][at]], pa.binary()),
+                            })
+
+    schema = "node long, tree int, large long, near long, far long, side int, id long, class long, n long, done int, mins binary"
+    left = settle(met.mapInArrow(survivors, schema), "survivors")
+    sets_of = full_sets(left.select("id").distinct(), docs)
+
+    def forest(group: pa.Table) -> pa.Table:
+        tree, large = group.column("tree")[0].as_py(), group.column("large")[0].as_py()
+        sides = []
+        for side in (0, 1):
+            some = group.filter(pa.compute.equal(group.column("side"), side))
+            x = {name: some.column(name).to_numpy() for name in ("id", "class", "n", "done")}
+            x["mins"] = np.frombuffer(b"".join(some.column("mins").to_pylist()), np.int32).reshape(-1, MINS)
+            sides.append((x, [np.frombuffer(c, np.uint64) for c in some.column("codes").to_pylist()]))
+        pairs = connecting(*sides, tree, large, root)
+        return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+
+    met = left.join(sets_of, "id")
+    return settle(met.groupBy("node", "near", "far").applyInArrow(forest, "a long, b long"), "links")
+
+
+def may_link(x: dict, z: dict, tree: int, large: int, root: bool) -> np.ndarray:
+    """For each set of x and each of z: whether this node has to compare them, and tokens and sizes leave a link possible."""
+    same = x["mins"][:, None, :] == z["mins"][None, :, :]
+    shared = (same[:, :, :TREES] @ (1 << np.arange(TREES))) & x["done"][:, None]
+    keep = (shared & -shared) == (1 << tree) if root else shared == 0
+    keep &= same.sum(2) >= AGREE
+    keep &= x["class"][:, None] != z["class"][None, :]
+    keep &= (x["class"] == large)[:, None] | (x["id"][:, None] < z["id"][None, :])
+    low = np.minimum(x["n"][:, None], z["n"][None, :])
+    return keep & (100 * low >= PERCENT * np.maximum(x["n"][:, None], z["n"][None, :]))
+
+
+def connecting(side_x: tuple, side_z: tuple, tree: int, large: int, root: bool) -> np.ndarray:
+    """Links between the sets of two sides that connect all that is connected by links between them, as rows of two ids."""
+    (x, codes_x), (z, codes_z) = side_x, side_z
+    if not len(codes_x) or not len(codes_z):
+        return np.zeros((0, 2), np.int64)
+    ids, place = np.unique(np.concatenate([x["id"], z["id"]]), return_inverse=True)
+    place_x, place_z = place[: len(codes_x)], place[len(codes_x) :]
+    label, out = np.arange(len(ids)), []
+    tokens = np.unique(np.concatenate(codes_z))
+    flat = np.searchsorted(tokens, np.concatenate(codes_z))
+    bounds = np.concatenate([[0], np.cumsum([len(c) for c in codes_z])])
+    mark = np.zeros(len(tokens), bool)
+    for at in range(0, len(codes_x), 64):
+        some = {name: values[at : at + 64] for name, values in x.items()}
+        keep = np.concatenate([may_link(some, {n: v[k : k + 64] for n, v in z.items()}, tree, large, root) for k in range(0, len(codes_z), 64)], 1)
+        for k in np.flatnonzero(keep.any(1)):
+            own = codes_x[at + k]
+            near = np.searchsorted(tokens, own)
+            near = near[near < len(tokens)]
+            near = near[np.isin(tokens[near], own, assume_unique=True)]
+            mark[near] = True
+            common = np.add.reduceat(mark[flat].astype(np.int64), bounds[:-1])
+            mark[near] = False
+            hit = np.flatnonzero(keep[k] & (100 * common >= PERCENT * (len(own) + np.diff(bounds) - common)))
+            for h in hit:
+                a, b = label[place_x[at + k]], label[place_z[h]]
+                if a != b:
+                    out.append((ids[place_x[at + k]], ids[place_z[h]]))
+                    label[label == b] = a
+    return np.array(out, np.int64).reshape(-1, 2)
 
 
 def _columns(rows: pa.StructArray) -> dict[str, np.ndarray]:
-    out = {name: rows.field(name).to_numpy() for name in ("id", "class", "n", "done")}
+    out = {name: rows.field(name).to_numpy() for name in ("id", "class", "n", "done", "part")}
     return out | {"mins": rows.field("mins").flatten().to_numpy().reshape(len(rows), MINS)}
 
 
