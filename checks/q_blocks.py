@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from checks.fixtures import SOURCE_NAMES
 from checks.q_layers import USER_KEY
-from checks.registry import BAND_SQL, REFERENCE, SECRET, check, key_sql, rnd
+from checks.registry import BAND_SQL, REFERENCE, SECRET, check, key_sql, layer, rnd
 from meterline import fixed_values as fixed
 from meterline.functions import calendar, keys, measures
 from meterline.operators import frames, relations
@@ -293,16 +293,31 @@ def _(c):
     )
 
 
+# A day's file holds a header and its rows by id; every line is named by its place in bytes and its content.
+layer("day_lines", """
+select usage_date as d, 0 as k, 'content_usage_id,user_id,usage_date,content_category,content_detail,data_usage_mb' as line
+from recent_usage group by usage_date
+union all select usage_date, row_number() over (partition by usage_date order by content_usage_id),
+ concat_ws(',', content_usage_id, user_id, usage_date, content_category, content_detail, cast(data_usage_mb as decimal(14,3)))
+from recent_usage""")
+layer("day_places", """
+select d, line, cast(coalesce(sum(strlen(line)+1) over (partition by d order by k rows between unbounded preceding and 1 preceding),0)
+ as bigint) as place from day_lines""")
+layer("day_ranges", f"""
+select d, r, sha256(concat_ws(':', r, count(*), sum(cast('0x'||substr(n,1,15) as bigint)), sum(cast('0x'||substr(n,17,15) as bigint)))) as leaf
+from (select d, place//{csv_tables.RANGE} as r, md5(place||':'||upper(md5(line))) as n from day_places) x group by d, r""")
+
+
 @check("s07_source_manifest", """
-select usage_date as event_date, count(*) as row_count from recent_usage group by 1""")
+select d as event_date, any_value(rows) as row_count, sha256(any_value(size)||':'||string_agg(leaf, ':' order by r)) as digest
+from day_ranges join (select d, count(*)-1 as rows, sum(strlen(line)+1) as size from day_lines group by d) using (d) group by d""")
 def _(c):
-    root = _written_usage(c)
+    root = join(shared_folder(c.spark), f"usage-by-day-{uuid4().hex}")
+    # All rows of a day in one task, in order: the digest of a file needs a file whose bytes are known.
+    days = c.recent.content_usage.withColumn("event_date", F.col("usage_date")).repartition("event_date")
+    days.sortWithinPartitions("event_date", "content_usage_id").write.partitionBy("event_date").option("header", True).csv(root)
     files = csv_tables.usage_files(c.spark, root, _days(c, root))
-    return (
-        csv_tables.source_manifest(c.spark, root, files)
-        .groupBy("event_date")
-        .agg(F.sum("row_count").alias("row_count"))
-    )
+    return csv_tables.source_manifest(c.spark, root, files).select("event_date", "row_count", "digest")
 
 
 @check("s09_public_master", """

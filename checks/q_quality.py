@@ -152,6 +152,24 @@ def _(c):
     )
 
 
+layer("late_ids", """
+select usage_date, content_usage_id from recent_usage
+union all select date '2024-01-05', content_usage_id from recent_usage where day(usage_date) between 9 and 12""")
+
+
+@check("q06_i09_ids_of_loaded_days", rules_sql(
+    ("incremental_content_usage_known", "select count(distinct l.content_usage_id) from late_ids l, recent_usage r "
+     "where r.content_usage_id=l.content_usage_id and l.usage_date between date '2024-01-02' and date '2024-01-08' "
+     "and r.usage_date not between date '2024-01-02' and date '2024-01-08'"),
+))
+def _(c):
+    """A batch of a week that also brings ids of four later days; every other day is stored."""
+    date, usage = F.col("usage_date"), c.recent.content_usage
+    again = usage.where(F.dayofmonth(date).between(9, 12)).withColumn("usage_date", F.lit("2024-01-05").cast("date"))
+    batch = usage.unionByName(again).where(date.between("2024-01-02", "2024-01-08"))
+    return quality.known_ids_rule(batch, usage, "2024-01-02", "2024-01-08")
+
+
 @check("q07_q12_operations_warehouse_rules", rules_sql(
     ("operations_dw_14_table_counts", "select 0"),
     ("operations_dw_age_benefit_bounds_preserved", "select 0"),

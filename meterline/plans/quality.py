@@ -17,6 +17,7 @@ from meterline.functions.keys import key_pattern
 from meterline.functions.measures import EXACT_MB, active_on, changed
 from meterline.operators.frames import date_steps, literal_frame
 from meterline.operators.lookup import matching_rules, with_rules
+from meterline.operators.membership import held_keys
 from meterline.operators.relations import eligible_usage, orphans, reconcile, symmetric_difference
 from meterline.plans import discount_policy as policy
 from meterline.plans.marts import day
@@ -188,9 +189,14 @@ def staging_rules(stage: Tables) -> DataFrame:
 
 
 def incremental_staging_rules(
-    usage: DataFrame, users: DataFrame, manifest: DataFrame, first: str, last: str
+    usage: DataFrame, users: DataFrame, manifest: DataFrame, first: str, last: str,
+    history: DataFrame | None = None,
 ) -> DataFrame:
-    """Checks of day partitions; `usage` carries partition_event_date."""
+    """Checks of day partitions; `usage` carries partition_event_date.
+
+    `history` is the stored detail: an id is the key of all of it, so the batch may not bring one that a day outside
+    its own range holds. (The days of the range are replaced.)
+    """
     staged = usage.agg(F.count("*")).scalar()
     listed = manifest.agg(F.coalesce(F.sum("row_count"), F.lit(0)).alias("n"))
     return union_rules(
@@ -210,9 +216,16 @@ def incremental_staging_rules(
             F.lit("incremental_manifest_rows").alias("rule_name"),
             F.when(F.col("n") != staged, 1).otherwise(0).cast("bigint").alias("failed_rows"),
         ),
+        *([] if history is None else [known_ids_rule(usage, history, first, last)]),
     )
 
 
+def known_ids_rule(usage: DataFrame, history: DataFrame, first: str, last: str) -> DataFrame:
+    """Ids of the batch that the stored detail has on a day outside the batch's range."""
+    other_days = history.where(~F.col("usage_date").between(day(first), day(last)))
+    return rule("incremental_content_usage_known", held_keys(usage, other_days, "content_usage_id"))
+
+
 # --- warehouse and marts ------------------------------------------------------------------------
 
 _COUNTED = [

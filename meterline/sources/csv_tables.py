@@ -6,7 +6,7 @@ import re
 from collections.abc import Iterable, Mapping, Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
@@ -16,6 +16,8 @@ from meterline.sources import paths
 
 _DAY_FOLDER = re.compile(r"^event_date=(\d{4}-\d{2}-\d{2})$")
 _PART_FILE = re.compile(r"^part-[^/]*\.csv$")
+#: Bytes of a range of a file that is named on its own.
+RANGE = 4 << 20
 _VERSION = re.compile(r"^[A-Za-z0-9][A-Za-z0-9._-]{0,127}$")
 
 
@@ -148,10 +150,10 @@ def write_usage_partitions(usage: DataFrame, root: str, file_format: str = "csv"
 def source_manifest(
     spark: SparkSession, root: str, files: Sequence[str], version: str | None = None
 ) -> DataFrame:
-    """(source_path, event_date, object_version, digest, row_count) of the chosen files."""
-    hashes = file_digests(spark, [paths.join(root, name) for name in files]).select(
-        relative_path(F.col("path")).alias("source_path"),
-        event_date_of(F.col("path")).alias("event_date"),
+    """(source_path, event_date, object_version, digest, row_count) of the chosen files, also of those without any byte."""
+    hashes = file_digests(spark, root, files).select(
+        F.col("file").alias("source_path"),
+        event_date_of(F.col("file")).alias("event_date"),
         F.lit(version or "").alias("object_version"),
         "digest",
     )
@@ -163,26 +165,57 @@ def source_manifest(
 
 def table_hashes(spark: SparkSession, folder: str, tables: Sequence[str]) -> DataFrame:
     """(source_name, digest) of whole table files, each of which may be a folder of part files."""
-    files = [paths.join(folder, name + ".csv") for name in tables]
-    return file_digests(spark, files, r"([^/]+)\.csv(?:/[^/]*)?$").withColumnRenamed("path", "source_name")
-
-
-def file_digests(spark: SparkSession, files: Sequence[str], name: str | None = None) -> DataFrame:
-    """(path, digest) of text files; name is a pattern whose group names what belongs together.
-
-    A digest is taken from the number of lines and two sums over the MD5 of each line, so that a file of any size
-    is read in splits and no task holds it. It does not depend on the order of the lines.
+    files = []
+    for table in tables:
+        name = f"{table}.csv"
+        parts = [part for part in paths.children(spark, paths.join(folder, name), files=True) if part[0] not in "._"]
+        files += [name] if parts in ([], [name]) else [f"{name}/{part}" for part in parts]
+    each = F.concat_ws(":", "file", "digest")
+    named = file_digests(spark, folder, files).withColumn("source_name", F.substring_index("file", ".csv", 1))
+    return named.groupBy("source_name").agg(F.sha2(F.array_join(F.sort_array(F.collect_list(each)), "\n"), 256).alias("digest"))
+
+
+def file_digests(spark: SparkSession, root: str, files: Sequence[str]) -> DataFrame:
+    """(file, digest) of text files below a root: a tree over fixed byte ranges of each.
+
+    A file is read in splits, and no task holds it. Every line is named by its place in bytes and its content; a
+    range of RANGE bytes by the number of its lines and two sums over their names; the file by its size and the names of its
+    ranges in order. So a changed, moved or re-ended line changes the digest, the way the file was split does not.
+    A file without any byte has a digest too.
     """
+    sizes = spark.createDataFrame([(name, paths.size(spark, paths.join(root, name))) for name in files], "file string, size bigint")
     path = F.col("_metadata.file_path")
-    lines = spark.read.text(list(files)).select(
-        (F.regexp_extract(path, name, 1) if name else path).alias("path"), F.md5(F.col("value").cast("binary")).alias("md5")
+    lines = (
+        spark.read.option("lineSep", "\n").text([paths.join(root, name) for name in files])
+        .select(
+            below(spark, root, path).alias("file"), F.col("_metadata.file_block_start").alias("split"),
+            F.monotonically_increasing_id().alias("number"), (F.octet_length("value") + 1).alias("bytes"),
+            F.unhex(F.md5(F.col("value").cast("binary"))).alias("content"),
+        )
     )
+    before = Window.partitionBy("file", "split").orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    splits = lines.groupBy("file", "split").agg(F.sum("bytes").alias("bytes"))
+    splits = splits.select("file", "split", F.coalesce(F.sum("bytes").over(earlier), F.lit(0)).alias("start"))
+    inside = lines.withColumn("place", F.coalesce(F.sum("bytes").over(before), F.lit(0)))
+    placed = inside.join(splits, ["file", "split"]).withColumn("place", F.col("place") + F.col("start"))
+    named = placed.select("file", F.expr(f"place div {RANGE}").alias("range"), F.md5(F.concat_ws(":", "place", F.hex("content"))).alias("name"))
 
     def total(start: int) -> Column:
-        return F.sum(F.conv(F.substring("md5", start, 15), 16, 10).cast("decimal(28,0)"))
+        return F.sum(F.conv(F.substring("name", start, 15), 16, 10).cast("decimal(28,0)"))
+
+    ranges = named.groupBy("file", "range").agg(F.count("*").alias("n"), total(1).alias("low"), total(17).alias("high"))
+    leaf = F.struct("range", F.sha2(F.concat_ws(":", "range", "n", "low", "high"), 256).alias("name"))
+    # A name for each RANGE bytes of a file meets here.
+    trees = ranges.groupBy("file").agg(F.array_sort(F.collect_list(leaf))["name"].alias("leaves"))
+    found = sizes.join(trees, "file", "left")
+    return found.select("file", F.sha2(F.concat_ws(":", F.col("size"), F.array_join("leaves", ":")), 256).alias("digest"))
+
 
-    sums = lines.groupBy("path").agg(F.count("*").alias("n"), total(1).alias("low"), total(17).alias("high"))
-    return sums.select("path", F.sha2(F.concat_ws(":", "n", "low", "high"), 256).alias("digest"))
+def below(spark: SparkSession, root: str, path: Column) -> Column:
+    """A file's path, as Spark names it, relative to a root."""
+    plain = F.url_decode(F.regexp_replace(F.regexp_replace(path, r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", ""), r"\+", "%2B"))
+    return F.substring(plain, F.lit(len(paths.absolute(spark, root).rstrip("/")) + 2), F.length(plain))
 
 
 def set_checksum(entries: DataFrame, line: Column, *order: str, heading: str | None = None) -> str:

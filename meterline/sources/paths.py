@@ -27,5 +27,17 @@ def children(spark: SparkSession, folder: str, files: bool) -> list[str]:
     )
 
 
+def size(spark: SparkSession, file: str) -> int:
+    """Bytes of a file; 0 if there is none."""
+    system, path = _open(spark, file)
+    return system.getFileStatus(path).getLen() if system.exists(path) else 0
+
+
+def absolute(spark: SparkSession, folder: str) -> str:
+    """The folder's path from its root, without scheme and host."""
+    system, path = _open(spark, folder)
+    return system.makeQualified(path).toUri().getPath()
+
+
 def join(*parts: str) -> str:
     return "/".join(part.rstrip("/") for part in parts)

@@ -129,6 +129,15 @@ def test_gap_is_rejected_before_loading(spark, tmp_path):
     assert store.runs().first()["status"] == "FAILED"
 
 
+def test_files_without_a_byte_are_rejected(spark, loaded, tmp_path):
+    store, _ = loaded
+    day, root = DAYS[-1] + timedelta(1), tmp_path / "days"
+    write_days(spark, str(root), [day], [usage_row("U1", day, "video", "netflix", 5)])
+    (root / f"event_date={day}" / "part-zero.csv").write_bytes(b"")
+    with pytest.raises(csv_tables.SourceProblem, match="empty part file: .*part-zero.csv"):
+        loading.load_days(store, str(root), [day], secret=SECRET, processing=day + timedelta(1))
+
+
 def test_null_and_repeated_rows_are_rejected(spark):
     source = stage(spark, DAYS[:1])
     usage = source.content_usage
@@ -207,3 +216,14 @@ def test_full_load_from_csv(spark, tmp_path):
     assert isinstance(area.dw, Tables)
     with pytest.raises(csv_tables.SourceProblem):
         csv_tables.read_master(spark, str(tmp_path / "nowhere"))["users"]
+
+
+def test_ids_of_loaded_days_are_rejected(spark, loaded, tmp_path):
+    """An id that an older day holds may not come again; the same day's own ids may, in a correction."""
+    store, _ = loaded
+    day, root = DAYS[-1] + timedelta(1), str(tmp_path / "days")
+    old, new = usage(DAYS)[0], usage_row("U1", day, "video", "netflix", 5)
+    write_days(spark, root, [day], [new, (old[0], old[1], day, "web", "general_web", old[5])])
+    with pytest.raises(quality.QualityError, match="incremental_content_usage_known: 1"):
+        loading.load_days(store, root, [day], secret=SECRET, processing=day + timedelta(1))
+    assert store.watermark(loading.USAGE_PIPELINE) == DAYS[-1]

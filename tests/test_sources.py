@@ -1,3 +1,4 @@
+import hashlib
 from datetime import date
 from decimal import Decimal
 
@@ -59,22 +60,69 @@ def test_version_folders(spark, tmp_path):
     assert csv_tables.partition_days(spark, root) == [DAY]
 
 
-def test_manifest_and_checksum(spark, tmp_path):
-    import hashlib
+def digest_of(data: bytes, span: int) -> str:
+    ranges, place = {}, 0
+    lines = data.split(b"\n")
+    for line in lines[:-1] if data.endswith(b"\n") else lines if data else []:
+        name = hashlib.md5(f"{place}:{hashlib.md5(line).hexdigest().upper()}".encode()).hexdigest()
+        n, low, high = ranges.get(place // span, (0, 0, 0))
+        ranges[place // span] = n + 1, low + int(name[:15], 16), high + int(name[16:31], 16)
+        place += len(line) + 1
+    leaves = [hashlib.sha256(":".join(map(str, (k, *ranges[k]))).encode()).hexdigest() for k in sorted(ranges)]
+    return hashlib.sha256(":".join([str(len(data)), ":".join(leaves)] if leaves else [str(len(data))]).encode()).hexdigest()
+
 
+def test_manifest_and_checksum(spark, tmp_path):
     text = HEADER + "\n" + row() + row(key="b")
     put(tmp_path, f"event_date={DAY}", text)
     files = csv_tables.usage_files(spark, str(tmp_path), [DAY])
     manifest = csv_tables.source_manifest(spark, str(tmp_path), files)
     found = manifest.first()
-    sums = [hashlib.md5(line.encode()).hexdigest() for line in text.splitlines()]
-    low, high = (sum(int(x[k : k + 15], 16) for x in sums) for k in (0, 16))
-    digest = hashlib.sha256(f"{len(sums)}:{low}:{high}".encode()).hexdigest()
+    digest = digest_of(text.encode(), csv_tables.RANGE)
     assert (found["digest"], found["row_count"], found["object_version"]) == (digest, 2, "")
     line = f"INCREMENTAL\n{DAY}|{files[0]}||{digest}"
     assert csv_tables.usage_checksum(manifest, "INCREMENTAL") == hashlib.sha256(line.encode()).hexdigest()
 
 
+@pytest.mark.parametrize("split", [64, 1000, 1 << 27])
+def test_digests_do_not_depend_on_splits(spark, tmp_path, monkeypatch, split):
+    """Every byte and its place counts: order, line ends, a missing last line end, an empty file."""
+    monkeypatch.setattr(csv_tables, "RANGE", 500)
+    lines = [f"{k},é{'x' * (k % 40)}" for k in range(200)]
+    texts = {
+        "a b/one.csv": "\n".join(lines) + "\n", "swapped+1.csv": "\n".join([*lines[:5], lines[6], lines[5], *lines[7:]]) + "\n",
+        "crlf.csv": "\r\n".join(lines) + "\r\n", "open.csv": "\n".join(lines), "none.csv": "", "blank.csv": "\n\n",
+    }
+    for name, text in texts.items():
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_bytes(text.encode())
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = [spark.conf.get(key) for key in keys]
+    try:
+        for key in keys:
+            spark.conf.set(key, split)
+        found = {r.file: r.digest for r in csv_tables.file_digests(spark, str(tmp_path), list(texts)).collect()}
+    finally:
+        for key, value in zip(keys, before):
+            spark.conf.set(key, value)
+    assert found == {name: digest_of(text.encode(), 500) for name, text in texts.items()}
+    assert len(set(found.values())) == len(texts)
+
+
+def test_empty_files_are_listed(spark, tmp_path):
+    put(tmp_path, f"event_date={DAY}", HEADER + "\n" + row())
+    (tmp_path / f"event_date={DAY}" / "part-1.csv").write_bytes(b"")
+    files = csv_tables.usage_files(spark, str(tmp_path), [DAY])
+    assert sorted(r["row_count"] for r in csv_tables.source_manifest(spark, str(tmp_path), files).collect()) == [0, 1]
+    folder = tmp_path / "tables" / "users.csv"
+    folder.mkdir(parents=True)
+    (folder / "part-0.csv").write_text("a\n1\n")
+    one = csv_tables.table_hashes(spark, str(tmp_path / "tables"), ["users"]).collect()
+    (folder / "part-1.csv").write_bytes(b"")
+    two = csv_tables.table_hashes(spark, str(tmp_path / "tables"), ["users"]).collect()
+    assert len(one) == len(two) == 1 and one[0]["digest"] != two[0]["digest"]
+
+
 def test_day_rules():
     d = date
     assert refresh.eligible_days([d(2024, 1, 3), d(2024, 1, 1), d(2024, 1, 5)], d(2024, 1, 1), d(2024, 1, 5)) == [d(2024, 1, 3)]
