@@ -19,6 +19,9 @@ from meterline.functions.measures import CUSTOMER_MB, EXACT_MB, SEGMENT_MB, acti
 from meterline.operators.frames import day_frame, literal_frame
 from meterline.plans.tables import Tables
 
+#: Prefix of a fact's stored form, and its column that counts what is behind each row: a row whose counter is 0 has ended.
+COUNTED, COUNTER = "counted.", "_rows"
+
 
 def day(value: str) -> Column:
     return F.lit(value).cast("date")
@@ -54,18 +57,12 @@ def _dim_family(families: DataFrame, key: str) -> DataFrame:
 def segment(customer_usage: DataFrame, customers: DataFrame, key: str) -> DataFrame:
     """Usage by plan, age band and category from rows that are unique per customer and key."""
     attributes = customers.select("analysis_user_key", "plan_id", "age_band")
-    total = F.sum("usage_mb").cast(EXACT_MB)
-    users = F.count("*")
-    average = total / F.nullif(users, F.lit(0)).cast("decimal(10,0)")
-    return (
+    totals = (
         customer_usage.join(attributes, "analysis_user_key")
         .groupBy(key, "plan_id", "age_band", "content_category")
-        .agg(
-            total.cast(SEGMENT_MB).alias("total_usage_mb"),
-            users.cast("int").alias("usage_user_count"),
-            average.cast(SEGMENT_MB).alias("average_usage_mb"),
-        )
+        .agg(F.sum("usage_mb").cast(EXACT_MB).alias("total"), F.count("*").alias("users"))
     )
+    return averaged_segment(totals, key)
 
 
 def current_services(user_services: DataFrame, customer: str, reference_date: str) -> DataFrame:
@@ -114,7 +111,7 @@ def operations_mart(dw: Tables, *, reference_date: str) -> Tables:
         return dw.content_usage.groupBy(
             "analysis_user_key", month_key(F.col("usage_date")).alias("month_key"),
             "content_category",
-        ).agg(F.sum("data_usage_mb").cast(CUSTOMER_MB).alias("total_usage_mb"))
+        ).agg(F.sum("data_usage_mb").cast(CUSTOMER_MB).alias("total_usage_mb"), F.count("*").alias(COUNTER))
 
     def monthly_segment() -> DataFrame:
         usage = mart.customer_monthly_category_usage.withColumnRenamed("total_usage_mb", "usage_mb")
@@ -150,7 +147,7 @@ def operations_mart(dw: Tables, *, reference_date: str) -> Tables:
         daily_usage_segment=daily_segment,
         monthly_usage_segment=monthly_segment,
         customer_daily_usage=customer_daily,
-        customer_monthly_category_usage=customer_monthly_category,
+        **counted_fact("customer_monthly_category_usage", customer_monthly_category, lambda: mart),
         subscriber_current=subscribers,
         family_current=family_current,
         customer_service_current=lambda: current_services(
@@ -163,6 +160,29 @@ def operations_mart(dw: Tables, *, reference_date: str) -> Tables:
     return mart
 
 
+def counted_fact(name: str, build, mart) -> dict:
+    """Entries of a monthly fact: with the number of days or detail rows behind each row, as loads need it, and without."""
+    counted = COUNTED + name
+    return {counted: build, name: lambda: mart()[counted].drop(COUNTER)}
+
+
+def averaged_month(totals: DataFrame) -> DataFrame:
+    """Customer months from `total` and the number of days."""
+    return totals.select(
+        "user_id", "month_key", F.col("total").cast(CUSTOMER_MB).alias("total_usage_mb"),
+        (F.col("total") / F.col(COUNTER).cast("decimal(10,0)")).cast(CUSTOMER_MB).alias("average_daily_usage_mb"), COUNTER,
+    )
+
+
+def averaged_segment(totals: DataFrame, key: str) -> DataFrame:
+    """Segments from `total` and `users`."""
+    average = F.col("total") / F.nullif(F.col("users"), F.lit(0)).cast("decimal(10,0)")
+    return totals.select(
+        key, "plan_id", "age_band", "content_category", F.col("total").cast(SEGMENT_MB).alias("total_usage_mb"),
+        F.col("users").cast("int").alias("usage_user_count"), average.cast(SEGMENT_MB).alias("average_usage_mb"),
+    )
+
+
 def month_to_date(daily: DataFrame) -> DataFrame:
     """Running usage of each customer within a month; a window holds at most 31 rows."""
     running = (
@@ -207,20 +227,18 @@ def personalization_mart(
 
     def customer_monthly() -> DataFrame:
         # One row per day already: the number of days is a row count.
-        total = F.sum("total_usage_mb").cast(EXACT_MB)
         month = (F.floor(F.col("date_key") / 100) * 100 + 1).cast("int")
-        return mart.customer_daily_usage.groupBy("user_id", month.alias("month_key")).agg(
-            total.cast(CUSTOMER_MB).alias("total_usage_mb"),
-            (total / F.count("*").cast("decimal(10,0)"))
-            .cast(CUSTOMER_MB)
-            .alias("average_daily_usage_mb"),
+        return averaged_month(
+            mart.customer_daily_usage.groupBy("user_id", month.alias("month_key")).agg(
+                F.sum("total_usage_mb").cast(EXACT_MB).alias("total"), F.count("*").alias(COUNTER)
+            )
         )
 
     def customer_monthly_content() -> DataFrame:
         return dw.content_usage.groupBy(
             "user_id", month_key(F.col("usage_date")).alias("month_key"), "content_category",
             "content_detail",
-        ).agg(F.sum("data_usage_mb").cast(CUSTOMER_MB).alias("total_usage_mb"))
+        ).agg(F.sum("data_usage_mb").cast(CUSTOMER_MB).alias("total_usage_mb"), F.count("*").alias(COUNTER))
 
     def content_daily() -> DataFrame:
         # The detail rows are not copied: this is a projection of the warehouse table.
@@ -241,8 +259,8 @@ def personalization_mart(
         dim_customer=dim_customer,
         bridge_service_content=bridge,
         customer_daily_usage=customer_daily,
-        customer_monthly_usage=customer_monthly,
-        customer_monthly_content_usage=customer_monthly_content,
+        **counted_fact("customer_monthly_usage", customer_monthly, lambda: mart),
+        **counted_fact("customer_monthly_content_usage", customer_monthly_content, lambda: mart),
         customer_content_daily_usage=content_daily,
         customer_service_current=lambda: current_services(
             dw.user_services, "user_id", reference_date
