@@ -20,6 +20,7 @@ from meterline.plans import discount_policy, features, operations_reports, perso
 from meterline.plans import quality, refresh
 from meterline.plans.area import Area, operations_area, personalization_area
 from meterline.plans.loading import MART_WAVES
+from meterline.plans.marts import COUNTED, COUNTER
 from meterline.plans.tables import Tables
 from meterline.session import configure
 
@@ -68,7 +69,7 @@ def build_marts(areas: list[Area], root: str) -> None:
 
 
 def _store_all(tables: Tables, names: list[str], root: str) -> None:
-    frames = {name: tables[name] for name in names}
+    frames = {name: tables[COUNTED + name if COUNTED + name in tables else name] for name in names}
 
     def write(name: str) -> DataFrame:
         key = "month_key" if "month_key" in frames[name].columns else None
@@ -76,6 +77,9 @@ def _store_all(tables: Tables, names: list[str], root: str) -> None:
 
     with ThreadPoolExecutor(max_workers=8) as pool:
         for name, frame in zip(names, pool.map(write, names)):
+            if COUNTED + name in tables:
+                tables.settle(COUNTED + name, frame)
+                frame = frame.drop(COUNTER)
             tables.settle(name, frame)
 
 
@@ -122,9 +126,12 @@ def main() -> None:
 
     def month_rebuild() -> None:
         for area in (ops, pers):
-            facts = refresh.rebuilt_facts(area.name, area.dw, window, REFERENCE)
-            for rows in facts.values():
-                consume(rows)
+            # As in a load: each fact is written, and what follows is built on that.
+            folder = f"{root}/rebuild{next(runs)}/{area.name}"
+            refresh.changed_facts(
+                area.name, area.mart, area.dw.content_usage, area.dw, window, REFERENCE,
+                lambda fact, rows, folder=folder: stored(rows, f"{folder}/{fact}"),
+            )
 
     times["month_rebuild"] = timed(month_rebuild)
     others = {

@@ -95,6 +95,14 @@ def _(c):
     return _area(c, "operations").mart.monthly_usage_segment
 
 
+@check("i12_g05_loaded_month_bins", """
+select month_key, k//1024000 as bin, count(*) as n, cast(sum(k) as double)/1000 as mb
+from (select user_id, month_key, sum(k) as k from l_usage group by all) x group by all""")
+def _(c):
+    """The summary that medians and top shares are located by, as batches and the correction leave it."""
+    return _area(c, "operations").mart.month_usage_bins
+
+
 @check("i12_loaded_daily_segment", segment_sql("l_usage", "date_key"))
 def _(c):
     return _area(c, "operations").mart.daily_usage_segment

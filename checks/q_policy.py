@@ -303,19 +303,19 @@ with t as ({TRAITS}),
 
 
 @check("r01_plan_fit", score_sql() + """
-select user_id, round(score,6) as fit_score from (select *, row_number() over (partition by user_id
-  order by score desc, plan_id) as place from s) where place<=3""")
+select user_id, plan_id, place as fit_rank, round(score,6) as fit_score from (select *, row_number() over (partition by user_id
+  order by round(score,9) desc, plan_id) as place from s) where place<=3""")
 def _(c):
     return features.plan_fit(c.stage, _traits(c), top=3).select(
-        "user_id", F.round("fit_score", 6).alias("fit_score")
+        "user_id", "plan_id", "fit_rank", F.round("fit_score", 6).alias("fit_score")
     )
 
 
 @check("r01_best_plan", score_sql() + """
-select user_id, round(max(score),6) as fit_score from s group by 1""")
+select user_id, first(plan_id order by round(score,9) desc, plan_id) as plan_id, round(max(score),6) as fit_score from s group by 1""")
 def _(c):
     return features.plan_fit(c.stage, _traits(c), top=1).select(
-        "user_id", F.round("fit_score", 6).alias("fit_score")
+        "user_id", "plan_id", F.round("fit_score", 6).alias("fit_score")
     )
 
 

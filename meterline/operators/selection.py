@@ -18,6 +18,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from meterline.functions.measures import EXACT_MB
+from meterline.operators.frames import literal_frame
 
 BIN_MB = 1024
 
@@ -25,18 +26,30 @@ BIN_MB = 1024
 def value_counts(df: DataFrame, group: str, value: str) -> DataFrame:
     """(group, value, n, bin) of each row; n is 1, since usage at three decimals is next to unique."""
     rows = df.select(group, F.col(value).alias("value"), F.lit(1).cast("bigint").alias("n"))
-    return rows.withColumn("bin", F.floor(F.col("value") / BIN_MB).cast("bigint"))
+    return rows.withColumn("bin", bin_of(F.col("value")))
+
+
+def bin_of(value: Column) -> Column:
+    return F.floor(value / BIN_MB).cast("bigint")
 
 
 def _mb(count: Column, value: Column) -> Column:
     return (count.cast("decimal(15,0)") * value.cast("decimal(22,3)")).cast("decimal(38,3)")
 
 
-def ranked_bins(counts: DataFrame, group: str) -> DataFrame:
-    """(group, bin) with rows and usage of the bin, of the bins below it and of the group."""
-    bins = counts.groupBy(group, "bin").agg(
+def summed_bins(counts: DataFrame, group: str) -> DataFrame:
+    """(group, bin, n, mb): rows and usage of each bin. Bins of parts of a group add up to those of the whole."""
+    return counts.groupBy(group, "bin").agg(
         F.sum("n").alias("n"), F.sum(_mb(F.col("n"), F.col("value"))).alias("mb")
     )
+
+
+def ranked_bins(counts: DataFrame, group: str) -> DataFrame:
+    return ranked(summed_bins(counts, group), group)
+
+
+def ranked(bins: DataFrame, group: str) -> DataFrame:
+    """(group, bin) with rows and usage of the bin, of the bins below it and of the group."""
     whole = W.partitionBy(group)
     upto = whole.orderBy("bin").rowsBetween(W.unboundedPreceding, W.currentRow)
     return bins.select(
@@ -57,11 +70,13 @@ def wanted(target: str, rank: Column) -> Column:
 
 
 def values_at_ranks(
-    counts: DataFrame, bins: DataFrame, group: str, ranks: Sequence[Column]
+    counts: DataFrame, bins: DataFrame, group: str, ranks: Sequence[Column], kept: bool = False
 ) -> DataFrame:
     """(group, target) with the value at each wanted rank.
 
-    `n_le` and `mb_le` are the rows and the usage up to and including all rows of that value.
+    `n_le` and `mb_le` are the rows and the usage up to and including all rows of that value. With `kept` bins, which are
+    read and not counted, the wanted bins are looked up first (a row per group and rank), so that the scan
+    of the rows can leave out what lies in others.
     """
     inside_bin = F.filter(
         F.array(*ranks),
@@ -71,6 +86,10 @@ def values_at_ranks(
         F.col(group).alias("_group"), F.col("bin").alias("_bin"), "n_before", "mb_before", "customers", "total_mb",
         F.inline(inside_bin).alias("target", "rank"),
     )
+    if kept:
+        rows = located.collect()
+        located = literal_frame(counts.sparkSession, [tuple(row) for row in rows], located.schema.simpleString()[7:-1].replace(":", " "))
+        counts = counts.where(F.col("bin").isin(sorted({row["_bin"] for row in rows})))
     within = W.partitionBy(group, "bin", "target").orderBy("value")
     # Null-safe on both keys: a missing group is a group too, and without a not-null filter on one
     # side both uses of the counts are the same exchange.
@@ -92,12 +111,12 @@ def values_at_ranks(
     )
 
 
-def medians(counts: DataFrame, bins: DataFrame, group: str) -> DataFrame:
+def medians(counts: DataFrame, bins: DataFrame, group: str, kept: bool = False) -> DataFrame:
     """(group, customers, total_mb, median); an even count takes the mean of the two middle values."""
     half = F.floor(F.col("customers") / 2)
     lower = F.when(F.col("customers") % 2 == 0, half).otherwise(half + 1)
     middle = values_at_ranks(
-        counts, bins, group, [wanted("low", lower), wanted("high", half + 1)]
+        counts, bins, group, [wanted("low", lower), wanted("high", half + 1)], kept
     )
     return middle.groupBy(group).agg(
         F.max("customers").alias("customers"),
@@ -113,7 +132,7 @@ def top_count(percent: int) -> Column:
 
 
 def top_shares(
-    counts: DataFrame, bins: DataFrame, group: str, percents: dict[str, int]
+    counts: DataFrame, bins: DataFrame, group: str, percents: dict[str, int], kept: bool = False
 ) -> DataFrame:
     """(group, target, top_customers, top_mb, customers, total_mb) of the highest rows by percentage.
 
@@ -122,6 +141,7 @@ def top_shares(
     cut = values_at_ranks(
         counts, bins, group,
         [wanted(name, F.col("customers") - top_count(p) + 1) for name, p in percents.items()],
+        kept,
     )
     top = F.col("customers") - F.col("rank") + 1
     above = F.col("customers") - F.col("n_le")

@@ -16,7 +16,7 @@ from meterline.plans.warehouse import operations_warehouse, personalization_ware
 
 _MONTHLY = [
     "monthly_usage_segment", "customer_monthly_category_usage", "customer_monthly_usage",
-    "customer_monthly_content_usage",
+    "customer_monthly_content_usage", "customer_month_totals", "month_usage_bins",
 ]
 
 

@@ -303,7 +303,10 @@ def plan_fit(
         """The best `top` of an array of (negated score, plan)."""
         return F.slice(F.array_sort(scored), 1, top)
 
-    scored = F.transform("_plans", lambda plan: F.struct((-score(plan)).alias("worse"), plan["plan_id"].alias("plan_id")))
+    # Scores that agree to nine digits are equal: the smaller plan_id comes first, whatever the order of additions.
+    scored = F.transform(
+        "_plans", lambda plan: F.struct((-F.round(score(plan), 9)).alias("worse"), plan["plan_id"].alias("plan_id"))
+    )
     of_block = (
         users.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), n_blocks - 1)))
         .join(blocks, "_block")

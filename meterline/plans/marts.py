@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from meterline.fixed_values import AGE_BANDS, SERVICE_DETAILS
 from meterline.functions.calendar import calendar_columns, date_key, month_key, month_start
 from meterline.functions.measures import CUSTOMER_MB, EXACT_MB, SEGMENT_MB, active_on
+from meterline.operators import selection
 from meterline.operators.frames import day_frame, literal_frame
 from meterline.plans.tables import Tables
 
@@ -117,6 +118,9 @@ def operations_mart(dw: Tables, *, reference_date: str) -> Tables:
         usage = mart.customer_monthly_category_usage.withColumnRenamed("total_usage_mb", "usage_mb")
         return segment(usage, mart.dim_customer, "month_key")
 
+    def customer_month_totals() -> DataFrame:
+        return month_totals(mart.customer_monthly_category_usage)
+
     def subscribers() -> DataFrame:
         return mart.dim_customer.where(
             F.col("subscription_start_date") <= day(reference_date)
@@ -148,6 +152,8 @@ def operations_mart(dw: Tables, *, reference_date: str) -> Tables:
         monthly_usage_segment=monthly_segment,
         customer_daily_usage=customer_daily,
         **counted_fact("customer_monthly_category_usage", customer_monthly_category, lambda: mart),
+        customer_month_totals=customer_month_totals,
+        month_usage_bins=lambda: month_bins(mart.customer_month_totals),
         subscriber_current=subscribers,
         family_current=family_current,
         customer_service_current=lambda: current_services(
@@ -160,6 +166,18 @@ def operations_mart(dw: Tables, *, reference_date: str) -> Tables:
     return mart
 
 
+def month_totals(category_months: DataFrame) -> DataFrame:
+    """Usage of each customer and month, and the bin of the order statistics that it lies in."""
+    totals = category_months.groupBy("month_key", "analysis_user_key").agg(F.sum("total_usage_mb").cast(EXACT_MB).alias("total_usage_mb"))
+    return totals.withColumn("bin", selection.bin_of(F.col("total_usage_mb")))
+
+
+def month_bins(totals: DataFrame) -> DataFrame:
+    """Customers and usage of each bin of a month: what medians and top shares are located by."""
+    counts = totals.select("month_key", F.col("total_usage_mb").alias("value"), F.lit(1).cast("bigint").alias("n"), "bin")
+    return selection.summed_bins(counts, "month_key")
+
+
 def counted_fact(name: str, build, mart) -> dict:
     """Entries of a monthly fact: with the number of days or detail rows behind each row, as loads need it, and without."""
     counted = COUNTED + name

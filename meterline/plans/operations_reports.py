@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from meterline.fixed_values import USAGE_BUCKETS
+from meterline.functions.calendar import day_of_key, month_key
 from meterline.functions.measures import (
     COUNT,
     EXACT_MB,
@@ -58,18 +59,34 @@ def _customer_months(area: Area, start: str, end_exclusive: str, preaggregated:
     )
 
 
+def _month_statistics(
+    area: Area, start: str, end_exclusive: str, preaggregated: bool
+) -> tuple[DataFrame, DataFrame, bool]:
+    """Values and ranked bins by calendar_month, and whether the bins are kept in the mart."""
+    month = "calendar_month"
+    if preaggregated and "month_usage_bins" in area.mart:
+        key = F.col("month_key")
+        chosen = (key >= month_key(day(start))) & (key < month_key(day(end_exclusive)))
+        first = day_of_key(key).alias(month)
+        bins = area.mart.month_usage_bins.where(chosen).select(first, "bin", "n", "mb")
+        totals = area.mart.customer_month_totals.where(chosen)
+        values = totals.select(first, F.col("total_usage_mb").alias("value"), F.lit(1).cast("bigint").alias("n"), "bin")
+        return values, selection.ranked(bins, month), True
+    values = selection.value_counts(_customer_months(area, start, end_exclusive, preaggregated), month, "total_usage_mb")
+    return values, selection.ranked_bins(values, month), False
+
+
 def monthly_usage_statistics(
     area: Area, start: str, end_exclusive: str, preaggregated: bool = True
 ) -> DataFrame:
     """Customers with usage, mean and exact median GB per month; months without usage are kept."""
-    usage = _customer_months(area, start, end_exclusive, preaggregated)
     month = "calendar_month"
-    counts = selection.value_counts(usage, month, "total_usage_mb")
-    statistics = selection.medians(counts, selection.ranked_bins(counts, month), month)
+    values, bins, kept = _month_statistics(area, start, end_exclusive, preaggregated)
+    statistics = selection.medians(values, bins, month, kept)
     customers = F.col("customers").cast(COUNT)
     mean = F.col("total_mb") / (customers * F.lit(1024).cast("decimal(4,0)"))
     return (
-        fill_grid(month_frame(usage.sparkSession, start, end_exclusive), statistics, month)
+        fill_grid(month_frame(values.sparkSession, start, end_exclusive), statistics, month)
         .select(
             month,
             F.coalesce("customers", F.lit(0)).alias("recorded_customer_count"),
@@ -168,9 +185,7 @@ def usage_distribution(
     Bucket bounds are whole GB, so the GB bins of the order statistics already separate them.
     """
     month = "calendar_month"
-    usage = _customer_months(area, start, end_exclusive, preaggregated)
-    counts = selection.value_counts(usage, month, "total_usage_mb")
-    bins = selection.ranked_bins(counts, month)
+    values, bins, kept = _month_statistics(area, start, end_exclusive, preaggregated)
     buckets = bins.groupBy(month, usage_bucket(F.col("bin")).alias("group_label")).agg(
         F.sum("n").alias("group_customers"),
         F.sum("mb").cast(EXACT_MB).alias("group_mb"),
@@ -178,7 +193,7 @@ def usage_distribution(
         F.max("total_mb").alias("total_mb"),
     )
     labels = {top_label(percent): percent for percent in TOP_PERCENTS}
-    top = selection.top_shares(counts, bins, month, labels).select(
+    top = selection.top_shares(values, bins, month, labels, kept).select(
         month,
         F.col("target").alias("group_label"),
         F.col("top_customers").alias("group_customers"),
@@ -203,7 +218,7 @@ def usage_distribution(
         )
         for percent in TOP_PERCENTS
     ]
-    grid = with_groups(month_frame(usage.sparkSession, start, end_exclusive), groups)
+    grid = with_groups(month_frame(values.sparkSession, start, end_exclusive), groups)
     customers = F.coalesce("group_customers", F.lit(0))
     mb = F.coalesce("group_mb", F.lit(0).cast(EXACT_MB))
     joined = fill_grid(grid, found, month, "group_label").withColumns(

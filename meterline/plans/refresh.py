@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import calendar
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 from zoneinfo import ZoneInfo
@@ -16,8 +16,8 @@ from meterline.functions.measures import CUSTOMER_MB, EXACT_MB
 from meterline.operators.relations import add_missing, replace_range
 from meterline.plans.area import Area
 from meterline.plans.marts import (
-    COUNTED, COUNTER, averaged_month, averaged_segment, dim_date, month_to_date, operations_mart,
-    personalization_mart,
+    COUNTED, COUNTER, averaged_month, averaged_segment, dim_date, month_bins, month_to_date,
+    month_totals, operations_mart, personalization_mart,
 )
 from meterline.plans.tables import Tables
 
@@ -135,7 +135,9 @@ DAILY_FACTS = {
     "personalization": ["customer_daily_usage"],
 }
 MONTHLY_FACTS = {
-    "operations": ["monthly_usage_segment", "customer_monthly_category_usage"],
+    "operations": [
+        "monthly_usage_segment", "customer_monthly_category_usage", "customer_month_totals", "month_usage_bins",
+    ],
     "personalization": ["customer_monthly_usage", "customer_monthly_content_usage"],
 }
 GROWING_DIMENSIONS = {
@@ -235,11 +237,15 @@ def running_after(daily: DataFrame, old: DataFrame, new: DataFrame, window: Wind
     return rows.unionByName(later)
 
 
-def changed_facts(name: str, mart: Tables, old: DataFrame, dw: Tables, window: Window, reference_date: str) -> dict[str, DataFrame]:
+def changed_facts(
+    name: str, mart: Tables, old: DataFrame, dw: Tables, window: Window, reference_date: str,
+    keep: Callable[[str, DataFrame], DataFrame] = lambda fact, rows: rows,
+) -> dict[str, DataFrame]:
     """New rows of the facts for the window's days and months, by signed differences of its days.
 
     `mart` is the mart before, with counted facts; `old` the detail before, `dw` the warehouse after. Of the detail only the
-    window's days are read; months are taken from the stored facts, whatever they were summed from.
+    window's days are read; months are taken from the stored facts, whatever they were summed from. `keep` is given
+    each fact and its rows once and returns them as they are to be read on: a load writes them, and builds the next on that.
     """
     before, now = _inside(old, window), _inside(dw.content_usage, window)
     in_months = F.col("month_key").between(*month_range(window))
@@ -252,21 +258,26 @@ def changed_facts(name: str, mart: Tables, old: DataFrame, dw: Tables, window: W
         today.settle("dim_customer", mart.dim_customer)
         keys = ["analysis_user_key", "month_key", "content_category"]
         fact, moves = COUNTED + "customer_monthly_category_usage", signed(before, now, keys)
-        return {
-            "daily_usage_segment": today.daily_usage_segment,
-            "customer_daily_usage": today.customer_daily_usage,
-            fact: monthly_totals(month(fact), moves, keys),
-            "monthly_usage_segment": segments_after(month("monthly_usage_segment"), month(fact), moves, mart.dim_customer),
+        segments = segments_after(month("monthly_usage_segment"), month(fact), moves, mart.dim_customer)
+        found = {
+            "daily_usage_segment": keep("daily_usage_segment", today.daily_usage_segment),
+            "customer_daily_usage": keep("customer_daily_usage", today.customer_daily_usage),
+            fact: keep(fact, monthly_totals(month(fact), moves, keys)),
+            "monthly_usage_segment": keep("monthly_usage_segment", segments),
         }
+        found["customer_month_totals"] = keep("customer_month_totals", month_totals(found[fact]))
+        found["month_usage_bins"] = keep("month_usage_bins", month_bins(found["customer_month_totals"]))
+        return found
     keys = ["user_id", "month_key", "content_category", "content_detail"]
     content, months = COUNTED + "customer_monthly_content_usage", COUNTED + "customer_monthly_usage"
     old_days, new_days = customer_days(before), customer_days(now)
     totals = after(month(months), signed(old_days, new_days, ["user_id", "month_key"]), ["user_id", "month_key"])
-    return {
+    found = {
         "customer_daily_usage": running_after(mart.customer_daily_usage, old_days, new_days, window),
         content: monthly_totals(month(content), signed(before, now, keys), keys),
         months: averaged_month(totals.where(F.col(COUNTER) > 0)),
     }
+    return {fact: keep(fact, rows) for fact, rows in found.items()}
 
 
 def fact_range(fact: str, name: str, window: Window) -> tuple[int, int]:
