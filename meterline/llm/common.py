@@ -67,12 +67,14 @@ def mapped(
 def appended(docs: DataFrame, add: Callable[[pa.Array], dict[str, pa.Array]], schema: str) -> DataFrame:
     """docs with columns (named by schema) that add makes from the texts, a null text being an empty one."""
 
+    own = fresh_name(docs, "text")
+
     def extend(batches):
         for batch in batches:
             text = batch.column("text")
-            rows = batch.append_column("_text", text.fill_null("") if text.null_count else text)
-            for part in slices([rows], "_text"):
-                new = add(part.column("_text"))
+            rows = batch.append_column(own, text.fill_null("") if text.null_count else text)
+            for part in slices([rows], own):
+                new = add(part.column(own))
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[:-1], *new.values()], [*batch.schema.names, *new]
                 )
@@ -81,6 +83,14 @@ def appended(docs: DataFrame, add: Callable[[pa.Array], dict[str, pa.Array]], sc
     return docs.mapInArrow(extend, f"{fields}, {schema}")
 
 
+def fresh_name(docs: DataFrame, base: str) -> str:
+    """A column name that docs doesn't have, in any case of letters."""
+    taken = {name.lower() for name in docs.columns}
+    while base in taken:
+        base = f"_{base}"
+    return base
+
+
 def slices(
     batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = BLOCK_BYTES
 ) -> Iterator[pa.RecordBatch]:

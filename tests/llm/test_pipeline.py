@@ -59,3 +59,23 @@ def test_empty(spark, folder):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, path)
         assert docs.count() == 0
+
+
+def test_rows_of_one_id_and_clashing_names(spark, folder):
+    """Unlike texts of one id stay, repeats and near copies go, working names of the stages clash with nothing."""
+    path, texts = folder
+    names = ["score", "told", "sure", "row", "_text", "_row", "group", "id", "component_id"]
+    a, b, c = (texts[i] for i in (0, 1, 2))
+    rows = [(9, a), (9, b), (9, b), (3, b + " more"), (None, c), (None, c), (None, None), (None, None), (5, None), (5, ""), (6, "")]
+    more = [(i, t, "en", "s", 0, *(f"v{k}" for k in range(len(names)))) for i, t in rows]
+    docs = spark.createDataFrame(more, COLUMNS + "".join(f", {name} string" for name in names))
+    got = corpus_pipeline.one_of_each(spark, docs, path)
+    assert got.columns == docs.columns and {tuple(r[5:]) for r in got.collect()} == {tuple(f"v{k}" for k in range(len(names)))}
+    kept = sorted(((r.doc_id, r.text or "") for r in got.collect()), key=repr)
+    assert kept == sorted([(9, a), (3, b + " more"), (None, c), (None, ""), (None, ""), (5, ""), (6, "")], key=repr)
+    for name, stage in corpus_pipeline.STAGES[:2] + corpus_pipeline.STAGES[3:4]:
+        out = stage(spark, docs, path)
+        assert out.columns == docs.columns, name
+        assert all(tuple(r[5:]) == tuple(f"v{k}" for k in range(len(names))) for r in out.collect())
+    assert {r.doc_id for r in corpus_pipeline.known_language(spark, docs, path).collect()} == {9, 3, None}
+    assert corpus_pipeline.packed(spark, docs, path).filter("start = 0").count() == len(rows)
