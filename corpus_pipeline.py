@@ -52,16 +52,24 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     id one row stays, and all that have no id stay. Very long texts are compared whole, an empty table stays empty.
     Columns may have any names.
     """
+    repeated = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 or doc_id is null")
+    if repeated.isEmpty():  # an id names its row
+        kept = settle(near_duplicates(docs).filter("kept").select("doc_id"), "kept")
+        return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
     row = fresh_name(docs, "row")
     # Written once: rows keep their numbers, whichever task reads them again.
     rows = settle(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    return rows.join(settle(first_rows(rows, row), "kept"), row, "left_semi").select(*docs.columns)
+
+
+def first_rows(rows: DataFrame, row: str) -> DataFrame:
+    """The numbers (row) of the rows that stay of each group."""
     groups = near_duplicates(rows.select(F.col(row).alias("doc_id"), "text"))
     ids = rows.select(F.col(row).alias("row"), F.col("doc_id").alias("id"))
     found = groups.select(F.col("doc_id").alias("row"), "component_id", (F.col("n_shingles") > 0).alias("words")).join(ids, "row")
     group = F.when(F.col("words") | F.col("id").isNull(), F.col("component_id"))
     first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "row"))["row"].alias(row)
-    kept = found.groupBy(group.alias("group"), F.when(~F.col("words"), F.col("id")).alias("own")).agg(first)
-    return rows.join(settle(kept.select(row), "kept"), row, "left_semi").select(*docs.columns)
+    return found.groupBy(group.alias("group"), F.when(~F.col("words"), F.col("id")).alias("own")).agg(first).select(row)
 
 
 def without_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
