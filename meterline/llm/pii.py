@@ -5,7 +5,8 @@ identifier. From each anchor a local parser looks left and right for the bounds
 account and validates it. Only characters next to an anchor are looked at again.
 
 Spans of the kinds email, ip, card and phone are those that their patterns find from left to right without overlap;
-url, account and secret come on top.
+url, account and secret come on top. Cues are read in any case. A cue of an account must not follow a letter, and what it
+announces must have the form, length and check digits of its kind.
 """
 
 from __future__ import annotations
@@ -27,13 +28,27 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 CARD_RUN = re.compile(r"[0-9\x20-]+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 ADDRESS = re.compile(r"[^\s<>\"'`{}|\\^\[\]]+")
-ACCOUNT = re.compile(r"(?:\x20?(?:no|nr|number|id))?\.?\x20?[:=#]?\x20?([A-Z]{0,4}[0-9][0-9A-Z-]{4,32})(?![0-9A-Za-z])")
+LEAD = re.compile(r"(?:\x20?(?:no|nr|number|id|code))?\.?\x20?[:=#]?\x20?", re.I)
+IBAN = re.compile(r"[A-Za-z]{2}[0-9]{2}(?:[\x20-]?[0-9A-Za-z]){11,30}", re.A)
+ACCOUNT = re.compile(r"[A-Z]{0,4}[0-9](?:-?[0-9A-Z]){4,32}(?![0-9A-Za-z])")
+SSN = re.compile(r"(?!000|666|9)[0-9]{3}([\x20-]?)(?!00)[0-9]{2}\1(?!0000)[0-9]{4}(?![0-9A-Za-z])")
+PASSPORT = re.compile(r"[A-Za-z]{0,2}[0-9]{6,9}(?![0-9A-Za-z])")
+DATES = re.compile(r"(?:19|20)[0-9]{2}-(?:(?:19|20)[0-9]{2}|[01][0-9](?:-[0-3][0-9])?)")
 SECRET = re.compile(r"[\"']?\x20{0,2}[:=]\x20{0,2}[\"']?([A-Za-z0-9_/+.-]{16,})")
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU",
+    31: "MT SC", 32: "LC",
+}
 SCHEMES = ["http://", "https://", "ftp://", "www."]
 ACCOUNT_CUES = ["iban", "account", "acct", "passport", "ssn"]
 SECRET_CUES = ["token", "api_key", "apikey", "secret", "password", "passwd", "access_key"]
 BASE = ["email", "ip", "card", "phone"]
 KINDS = [*BASE, "url", "account", "secret"]
+LENGTH_OF = {country: n for n, countries in IBAN_LENGTHS.items() for country in countries.split()}
+#: ASCII letters only, for texts whose letters change their number when made small.
+SMALL = {ord(x): ord(x) + 32 for x in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
 SPANS = "array<struct<kind:string,start:bigint,`end`:bigint>>"
 
 
@@ -45,7 +60,7 @@ def automaton():
         anchors = ahocorasick.Automaton()
         words = {"@": "at", "+": "plus", **dict.fromkeys("0123456789", "digit")}
         for kind, cues in (("scheme", SCHEMES), ("account", ACCOUNT_CUES), ("secret", SECRET_CUES)):
-            words |= {form: kind for cue in cues for form in (cue, cue.upper(), cue.capitalize())}
+            words |= dict.fromkeys(cues, kind)
         for word, kind in words.items():
             anchors.add_word(word, (kind, len(word)))
         anchors.make_automaton()
@@ -71,6 +86,55 @@ def is_phone(text: str) -> bool:
     return 9 <= sum(x.isdigit() for x in text) <= 15
 
 
+def small(text: str) -> str:
+    """text in small letters, each character at its own place."""
+    low = text.lower()
+    return low if len(low) == len(text) else text.translate(SMALL)
+
+
+def iban_end(text: str, at: int) -> int:
+    """Where the account number of international form that starts at this place ends, else -1.
+
+    It has the length of its country, grouped or not, and a remainder of 1 by 97.
+    """
+    m = IBAN.match(text, at)
+    need = LENGTH_OF.get(text[at : at + 2].upper(), 0)
+    if not m or not need:
+        return -1
+    end, held = at, []
+    while end < m.end() and len(held) < need:
+        if text[end].isalnum():
+            held.append(text[end].upper())
+        end += 1
+    if len(held) < need or text[end : end + 1].isalnum():
+        return -1
+    number = "".join(str(int(x, 36)) for x in held[4:] + held[:4])
+    return end if int(number) % 97 == 1 else -1
+
+
+def account_span(text: str, cue: str, at: int) -> tuple[int, int] | None:
+    """Bounds of a valid identifier announced by a cue that ends at this place.
+
+    By cue: an international account number, a social security number, a passport number (6 to 9 digits), or any
+    account number of 5 to 20 digits that is no date and no range of years.
+    """
+    at = LEAD.match(text, at).end()
+    if cue == "ssn":
+        m = SSN.match(text, at)
+    elif cue == "passport":
+        m = PASSPORT.match(text, at)
+    else:
+        end = iban_end(text, at)
+        if end > 0 or cue == "iban":
+            return (at, end) if end > 0 else None
+        m = ACCOUNT.match(text, at)
+        if m and (not 5 <= sum(x.isdigit() for x in m[0]) <= 20 or DATES.fullmatch(m[0])):
+            m = None
+        if m and m[0][:2] in LENGTH_OF and m[0][2:4].isdigit() and len(m[0]) == LENGTH_OF[m[0][:2]]:
+            m = None
+    return m and m.span()
+
+
 def find(text: str) -> list[tuple[str, int, int]]:
     """Kind, start and end (in code points) of all spans, in the order of KINDS, then from left to right."""
     spans: dict[str, list[tuple[int, int]]] = {kind: [] for kind in KINDS}
@@ -81,7 +145,7 @@ def find(text: str) -> list[tuple[str, int, int]]:
             done[kind] = run.match(text, at).end()
             spans[kind] += [m.span() for m in pattern.finditer(text, at, done[kind]) if valid(m[0])]
 
-    for last, (kind, size) in automaton().iter(text):
+    for last, (kind, size) in automaton().iter(small(text)):
         at = last + 1 - size
         if kind == "digit":
             runs("ip", at, IP_RUN, IP, is_ip)
@@ -104,10 +168,14 @@ def find(text: str) -> list[tuple[str, int, int]]:
                 if end > last + 1:
                     spans["url"].append((at, end))
                     done["url"] = end
-        elif at >= done[kind] and (m := (ACCOUNT if kind == "account" else SECRET).match(text, last + 1)):
-            if kind == "secret" or sum(x.isdigit() for x in m[1]) >= 5:
-                spans[kind].append(m.span(1))
-                done[kind] = m.end()
+        elif kind == "account":
+            if at >= done[kind] and not text[at - 1 : at].isalpha():
+                if span := account_span(text, text[at : last + 1].lower(), last + 1):
+                    spans[kind].append(span)
+                    done[kind] = span[1]
+        elif at >= done[kind] and (m := SECRET.match(text, last + 1)):
+            spans[kind].append(m.span(1))
+            done[kind] = m.end()
     return [(kind, *span) for kind in KINDS for span in spans[kind]]
 
 
