@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from checks.registry import REFERENCE, check, layer, rnd
 from meterline.operators.lookup import matching_rules, only_amount, with_rules
 from meterline.plans import discount_policy as policy
-from meterline.plans import features
+from meterline.plans import features, rollover
 
 GUARDIANS = "select user_id from users where age between 20 and 70"
 
@@ -335,7 +335,8 @@ def _(c):
     return features.daily_quota_stages(c.stage)
 
 
-@check("r03_rollover_allowances", """
+#: Months of users on rollover plans one after the other.
+ROLLOVER = """
 with b as (select u.user_id, cast(coalesce(p.data_limit_gb,0)*1024000 as bigint) as base
   from users u, plans p where p.plan_id=u.current_plan_id and p.is_rollover and not p.is_unlimited),
  k as (select user_id, m, cast(sum(k) as bigint) as used from day_usage group by 1,2),
@@ -346,13 +347,48 @@ with b as (select u.user_id, cast(coalesce(p.data_limit_gb,0)*1024000 as bigint)
   union all
   select f.user_id, f.base, cast(f.m+interval 1 month as date), f.last,
    least(greatest(f.base+f.carry-f.used,0),f.base), coalesce(k.used,0)
-  from f left join k on k.user_id=f.user_id and k.m=cast(f.m+interval 1 month as date) where f.m<f.last)
+  from f left join k on k.user_id=f.user_id and k.m=cast(f.m+interval 1 month as date) where f.m<f.last)"""
+ROLLOVER_MONTHS = ROLLOVER + """
 select user_id, m as usage_month, cast(carry as double)/1000 as carryover_mb,
- cast(base+carry as double)/1000 as allowance_mb, cast(used as double)/1000 as used_mb from f""")
+ cast(base+carry as double)/1000 as allowance_mb, cast(used as double)/1000 as used_mb from f"""
+#: Days from which on later loads of these checks take over.
+LATER_LOADS = ["1994-03-01", "1996-06-01"]
+
+
+def _parts_of_usage(c):
+    """The usage before, between and after the days of LATER_LOADS."""
+    day, usage = F.col("usage_date"), c.stage.content_usage
+    first, second = [F.lit(x).cast("date") for x in LATER_LOADS]
+    parts = [day < first, (day >= first) & (day < second), day >= second]
+    return [rollover.used_by_month(usage.where(part)) for part in parts]
+
+
+@check("r03_rollover_allowances", ROLLOVER_MONTHS)
 def _(c):
     return features.rollover_allowances(c.stage)
 
 
+@check("r03_rollover_continued", ROLLOVER_MONTHS)
+def _(c):
+    users = rollover.rollover_users(c.stage)
+    rows, states = None, None
+    for months in _parts_of_usage(c):
+        new = rollover.rollover_rows(users, months, states)
+        rows, states = new if rows is None else rows.unionByName(new), rollover.states_of(new, states)
+    return rows
+
+
+@check("r03_rollover_spans", ROLLOVER + """
+select f.user_id, first, f.last, cast(least(greatest(f.base+carry-used,0),f.base) as double)/1000 as carry_mb
+from f, e where e.user_id=f.user_id and f.m=f.last""")
+def _(c):
+    users = rollover.rollover_users(c.stage)
+    one, two, three = [rollover.span_maps(users, months) for months in _parts_of_usage(c)]
+    whole = rollover.joined_spans(one, rollover.joined_spans(two, three))
+    carry = rollover.carried_out(F.col("map"), F.lit(0).cast("decimal(26,3)"))
+    return whole.select("user_id", "first", "last", carry.alias("carry_mb"))
+
+
 @check("r04_age_benefits", """
 select b.user_id, case when offered then age_benefit_id end as current_age_benefit_id,
  case when offered then benefit_name end as current_age_benefit_name,

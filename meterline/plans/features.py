@@ -15,6 +15,7 @@ from meterline.operators.relations import first_per_group
 from meterline.plans.discount_policy import family_features, family_fees
 from meterline.plans.marts import month_to_date
 from meterline.plans.recipes import chosen_service_usage, daily_usage
+from meterline.plans.rollover import rollover_rows, rollover_users, used_by_month
 from meterline.plans.tables import Tables
 
 
@@ -157,54 +158,8 @@ def daily_quota_stages(
 
 
 def rollover_allowances(stage: Tables) -> DataFrame:
-    """Monthly allowance of users on limited rollover plans, with the unused part carried over.
-
-    A user's months fold in order: what is left of one month, at most the base allowance, adds to the
-    next. Months without usage between the first and the last are filled in. The array per user has one
-    entry per month.
-    """
-    plans = stage.plans.where(F.col("is_rollover") & ~F.col("is_unlimited")).select(
-        F.col("plan_id").alias("current_plan_id"),
-        (F.coalesce("data_limit_gb", F.lit(0)) * F.lit(1024)).cast(EXACT_MB).alias("base_mb"),
-    )
-    users = stage.users.select("user_id", "current_plan_id").join(plans, "current_plan_id")
-    months = stage.content_usage.groupBy(
-        "user_id", month_start(F.col("usage_date")).alias("month")
-    ).agg(F.sum("data_usage_mb").cast(EXACT_MB).alias("used_mb"))
-    per_user = months.groupBy("user_id").agg(
-        F.map_from_entries(F.collect_list(F.struct("month", "used_mb"))).alias("used"),
-        F.min("month").alias("first"),
-        F.max("month").alias("last"),
-    )
-    folded = users.join(per_user, "user_id").withColumn(
-        "filled", F.expr("sequence(first, last, interval 1 month)")
-    )
-    start = F.expr(
-        "named_struct('carry', cast(0 as decimal(26,3)), 'rows', cast(array() as "
-        "array<struct<month:date,carry:decimal(26,3),allowance:decimal(26,3),used:decimal(26,3)>>))"
-    )
-
-    def step(state: Column, month: Column) -> Column:
-        used = F.coalesce(F.try_element_at("used", month), F.lit(0).cast(EXACT_MB))
-        allowance = (F.col("base_mb") + state["carry"]).cast(EXACT_MB)
-        left = F.greatest((allowance - used).cast(EXACT_MB), F.lit(0).cast(EXACT_MB))
-        row = F.struct(
-            month.alias("month"), state["carry"].alias("carry"), allowance.alias("allowance"),
-            used.alias("used"),
-        )
-        return F.struct(
-            F.least(left, F.col("base_mb")).alias("carry"),
-            F.concat(state["rows"], F.array(row)).alias("rows"),
-        )
-
-    rows = F.aggregate("filled", start, step)["rows"]
-    return folded.select("user_id", F.explode(rows).alias("r")).select(
-        "user_id",
-        F.col("r.month").alias("usage_month"),
-        F.col("r.carry").alias("carryover_mb"),
-        F.col("r.allowance").alias("allowance_mb"),
-        F.col("r.used").alias("used_mb"),
-    )
+    """Monthly allowance of users on limited rollover plans, with the unused part carried over."""
+    return rollover_rows(rollover_users(stage), used_by_month(stage.content_usage))
 
 
 #: Plans that are scored together.
