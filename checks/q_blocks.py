@@ -9,7 +9,7 @@ from checks.q_layers import USER_KEY
 from checks.registry import BAND_SQL, REFERENCE, SECRET, check, key_sql, layer, rnd
 from meterline import fixed_values as fixed
 from meterline.functions import calendar, keys, measures
-from meterline.operators import frames, relations
+from meterline.operators import fingerprints, frames, relations
 from meterline.plans import profiling
 from meterline.plans.marts import day
 from meterline.plans.warehouse import public_master
@@ -211,6 +211,43 @@ def _(c):
     )
 
 
+BROKEN_USAGE = """
+with broken as (select content_usage_id, user_id, usage_date, content_category, content_detail,
+   cast(data_usage_mb+case when content_category='video' and usage_date between date '1995-03-10' and date '1995-03-12'
+    then 0.001 else 0 end as decimal(14,3)) as data_usage_mb
+  from content_usage where usage_date<>date '1997-07-04')"""
+
+
+def _broken_usage(c):
+    """Stored usage with a thousandth more on three days, and without one day."""
+    usage = c.stage.content_usage
+    more = (F.col("content_category") == "video") & F.col("usage_date").between("1995-03-10", "1995-03-12")
+    grown = (F.col("data_usage_mb") + F.when(more, F.lit("0.001").cast("decimal(14,3)")).otherwise(0)).cast("decimal(14,3)")
+    return usage.where(F.col("usage_date") != F.lit("1997-07-04").cast("date")).withColumn("data_usage_mb", grown)
+
+
+@check("u02_changed_usage", BROKEN_USAGE + """
+(select content_usage_id, user_id, usage_date, cast(data_usage_mb as double) as data_usage_mb from content_usage
+  except select content_usage_id, user_id, usage_date, cast(data_usage_mb as double) from broken)
+union all (select content_usage_id, user_id, usage_date, cast(data_usage_mb as double) from broken
+  except select content_usage_id, user_id, usage_date, cast(data_usage_mb as double) from content_usage)""")
+def _(c):
+    columns = ["content_usage_id", "user_id", "usage_date", "data_usage_mb"]
+    old, new = c.stage.content_usage.select(*columns), _broken_usage(c).select(*columns)
+    return fingerprints.changed_rows(old, new, ["content_usage_id"], part="usage_date")
+
+
+@check("j03_changed_usage_ids", BROKEN_USAGE + """
+select coalesce(a.content_usage_id,b.content_usage_id) as content_usage_id,
+ cast(a.data_usage_mb as double) as l_data_usage_mb, cast(b.data_usage_mb as double) as r_data_usage_mb
+from content_usage a full join broken b on a.content_usage_id=b.content_usage_id
+where a.data_usage_mb is distinct from b.data_usage_mb""")
+def _(c):
+    return fingerprints.changed_keys(
+        c.stage.content_usage, _broken_usage(c), "content_usage_id", ["data_usage_mb"]
+    ).select("content_usage_id", "l_data_usage_mb", "r_data_usage_mb")
+
+
 @check("u04_user_months", """
 select u.user_id, cast(m as date) as calendar_month
 from users u, unnest(generate_series(timestamp '1996-01-01', timestamp '1996-03-01', interval 1 month)) t(m)""")

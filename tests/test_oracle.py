@@ -17,7 +17,7 @@ SAMPLE = [
     "a05_usage_distribution_all", "a13_recent_usage", "b18_customer_daily_usage",
     "d05_current_discount_amounts", "i10_correction_customer_daily", "p02_fee_distribution",
     "q30_master_rules", "r03_rollover_allowances", "r03_rollover_continued", "r03_rollover_spans",
-    "v16_customer_selected_service",
+    "u02_changed_usage", "v16_customer_selected_service",
 ]
 NAMES = sorted(ORACLES) if os.environ.get("FULL_ORACLE") else SAMPLE
 
