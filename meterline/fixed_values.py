@@ -127,3 +127,7 @@ INTERNAL_USER_COLUMNS = [
     "estimated_monthly_bill",
     "potential_family_discount",
 ]
+
+# Monthly fees: from here on a line of a bundle counts as paying, and a plan as a high one.
+PAYING_LINE_FEE = 37000
+HIGH_PLAN_FEE = 80000

@@ -154,7 +154,7 @@ def low_usage_high_fee(
     area: Area,
     *,
     below_gb=15,
-    min_fee=80000,
+    min_fee=fixed.HIGH_PLAN_FEE,
     min_observed_days: int = WINDOW_DAYS,
     top: int | None = 10,
 ) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from meterline.fixed_values import CHOICE_FAMILIES, QUOTA_THRESHOLDS
+from meterline.fixed_values import CHOICE_FAMILIES, HIGH_PLAN_FEE, QUOTA_THRESHOLDS
 from meterline.functions.calendar import month_start
 from meterline.functions.measures import EXACT_MB
 from meterline.operators.relations import first_per_group
@@ -320,7 +320,7 @@ def case_flags(stage: Tables, *, low_share: float = 0.05) -> DataFrame:
                 (gb > 80) & ~F.col("effective_data_unlimited") & (F.col("effective_data_gb") <= 30),
                 "case_a",
             ),
-            flag((gb < 15) & (F.col("monthly_fee") >= 80000), "case_b"),
+            flag((gb < 15) & (F.col("monthly_fee") >= HIGH_PLAN_FEE), "case_b"),
             flag(F.col("eligible_for_family_bundle"), "case_c"),
             flag((video_share >= 0.25) & (gb >= 30) & ~choice, "case_d"),
             flag(choice & F.col("underused"), "case_e"),

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterline.fixed_values import CHOICE_FAMILIES
+from meterline.fixed_values import CHOICE_FAMILIES, HIGH_PLAN_FEE
 from meterline.functions.measures import EXACT_MB, decade, mb_to_gb, ratio, share_pct
 from meterline.operators import selection
 from meterline.operators.relations import crosstab, value_distribution
@@ -154,7 +154,7 @@ def _user_figures(stage: Tables) -> DataFrame:
 
 def group_means(stage: Tables, group: str) -> DataFrame:
     """Mean monthly GB of the users of a group that have usage, and share on a high fee."""
-    high = F.count_if(F.col("monthly_fee") >= 80000).cast("decimal(18,0)")
+    high = F.count_if(F.col("monthly_fee") >= HIGH_PLAN_FEE).cast("decimal(18,0)")
     gb = F.col("monthly_estimated_data_gb")
     mean = ratio(F.sum(gb).cast("decimal(24,2)"), F.count(gb).cast("decimal(10,0)"))
     return _user_figures(stage).groupBy(F.col(group).alias("group_value")).agg(

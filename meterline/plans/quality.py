@@ -697,7 +697,7 @@ def bundle_rules(stage: Tables, guardians: DataFrame, reference_date: str) -> Da
         F.max(F.when(F.col("component_role") == "BASE_MOBILE", F.col("monthly_fee"))).alias("base_fee"),
         F.sum(F.when(counted_role, F.col("monthly_fee"))).alias("pool_fee"),
         F.count_if(counted_role).alias("counted_lines"),
-        F.count_if(counted_role & (F.col("monthly_fee") >= 37000)).alias("paying_lines"),
+        F.count_if(counted_role & (F.col("monthly_fee") >= fixed.PAYING_LINE_FEE)).alias("paying_lines"),
     )
     internet = components.where(F.col("component_role") == "BASE_INTERNET").groupBy(
         "family_id"

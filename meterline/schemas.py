@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql.types import StructType
 
+# Names, types and required columns of the tables, which must equal the published data model.
 _DDL = {
     "users": """
         user_id string, name string, age int, gender string,
