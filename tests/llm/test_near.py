@@ -143,7 +143,7 @@ def test_blocks_out_of_reach_are_left_out(spark):
     base = np.repeat(np.eye(8), 60, 0) + draw.normal(scale=0.05, size=(480, 8))
     rows = [(i, v.tolist()) for i, v in enumerate(base)]
     docs = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
-    points = near_vectors.stored(docs).select(F.col("vec_id").alias("id"), F.lit(1).cast("long").alias("m"), "dim", "vec")
+    points = near_vectors.stored(docs).select(F.col("vec_id").alias("id"), F.lit(1).cast("long").alias("m"), "dim", "vec", F.lit(True).alias("open"))
     held = near_vectors.blocks(points)
     n = held.count()
     assert near_vectors.pairs(held).count() < n * (n + 1) // 2
@@ -153,6 +153,40 @@ def test_blocks_out_of_reach_are_left_out(spark):
     assert {r.vec_id: r.n_links for r in near_vectors.near_vectors(docs).collect()} == dict(enumerate(want.tolist()))
 
 
+@pytest.mark.parametrize("kept", [False, True])
+def test_audits_that_fail_open_all_rows(spark, monkeypatch, kept):
+    """A search that starts from two orders misses threshold pairs; the audits see it, and all links come out all the same."""
+    draw, dim = np.random.default_rng(4), 32
+    base = draw.normal(size=(900, dim))
+    base /= np.linalg.norm(base, axis=1)[:, None]
+    away = draw.normal(size=(900, dim))
+    away -= (away * base).sum(1)[:, None] * base
+    away /= np.linalg.norm(away, axis=1)[:, None]
+    x = np.concatenate([base, 0.9505 * base + np.sqrt(1 - 0.9505**2) * away, base[0] + draw.normal(scale=0.005, size=(100, dim))])
+    s = (unit := x / np.linalg.norm(x, axis=1)[:, None]) @ unit.T
+    np.fill_diagonal(s, 0)
+    want = (s >= 0.95).sum(1)
+    for name, value in [("ORDERS", 1), ("GROUP", 8), ("ROUNDS", 1), ("SEARCHES", 40 if kept else 1)]:
+        monkeypatch.setattr(near_vectors, name, value)
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in near_vectors.near_vectors(rows).collect()}
+    right = np.mean([got[i] == n for i, n in enumerate(want.tolist())])
+    assert right >= 0.99 if kept else right == 1
+
+
+def test_rows_with_many_links_are_open(spark):
+    """A family wider than the lists is handed to the exact pass, a pair is not; the lists hold both links of a pair."""
+    draw = np.random.default_rng(6)
+    base = draw.normal(size=(300, 48))
+    x = np.concatenate([base, base[:100] + draw.normal(scale=0.05, size=(100, 48)), base[200] + draw.normal(scale=0.05, size=(150, 48))])
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    points = near_vectors.stored(rows).select(F.col("vec_id").alias("id"), F.lit(1).cast("long").alias("m"), "dim", "vec")
+    graph, fine = near_vectors.descended(points)
+    got = graph.filter("s >= 0.95 and u >= 0 and v >= 0").select("u", "v", "open").collect()
+    assert fine and {r.u for r in got if r.open} == {200, *range(400, 550)}
+    assert {(r.u, r.v) for r in got if not r.open} == {(i, 300 + i) for i in range(100)} | {(300 + i, i) for i in range(100)}
+
+
 def test_different_vectors_of_one_id(spark):
     """Each vector of an id has its own links and component, the smallest id in it."""
     a, near_a, b, near_b = [1.0, 0.0, 0.0], [1.0, 0.1, 0.0], [0.0, 0.0, 1.0], [0.0, 0.1, 1.0]
