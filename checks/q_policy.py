@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from checks.registry import REFERENCE, check, layer, rnd
-from meterline.operators.lookup import matching_rules, only_amount, with_rules
+from meterline.operators.lookup import with_amounts
 from meterline.plans import discount_policy as policy
 from meterline.plans import features, rollover
 
@@ -60,15 +60,11 @@ select l.user_id, cast({rule_amount("D002", "FIXED", "MOBILE_LINE", "f.internet_
 from lines l, families f where f.family_id=l.family_id and f.internet_product_group is not null""")
 def _(c):
     families = c.stage.families.where(F.col("internet_product_group").isNotNull())
-    lines = with_rules(
-        policy.family_lines(c.stage).join(families, "family_id"),
-        c.stage.internet_bundle_discount_rules, _fixed_line=policy.FIXED_LINE,
+    lines = with_amounts(
+        policy.family_lines(c.stage).join(families, "family_id"), c.stage.internet_bundle_discount_rules,
+        amount=(policy.FIXED_LINE, "monthly_fee", "mobile_line_fee"),
     )
-    matches = matching_rules(
-        "_fixed_line", F.col("internet_product_group"), F.col("internet_contract_months"),
-        line_fee=F.col("monthly_fee"),
-    )
-    return lines.select("user_id", only_amount(matches, "fixed line").alias("amount"))
+    return lines.select("user_id", "amount")
 
 
 @check("d02_method_savings", """

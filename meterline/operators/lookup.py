@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from meterline.operators.intervals import covering
+
 _MATCH_COLUMNS = [
     "internet_product_group",
     "contract_months",
@@ -85,3 +87,35 @@ def only_amount(matches: Column, label: str) -> Column:
     return F.when(F.size(matches) == 1, matches[0]["discount_amount"]).otherwise(
         F.raise_error(found).cast("decimal(12,2)")
     )
+
+
+def with_amounts(
+    df: DataFrame, rules: DataFrame, group: str = "internet_product_group", months: str = "internet_contract_months",
+    **kinds: tuple[tuple[str, str, str], str | None, str | None],
+) -> DataFrame:
+    """Add the amount of the single rule of each kind that fits a row; none or several matches fail the job.
+
+    A kind is (discount, method, rule type), the fee column of df and the bounds it has to lie in (`mobile_total_fee`
+    or `mobile_line_fee`), both None where fees do not matter. Rules are joined as disjoint fee pieces, those of the
+    row's group and those for `ANY` group each for themselves, so no row carries a list of rules.
+    """
+    for name, ((discount_id, method, rule_type), fee, bounds) in kinds.items():
+        chosen = rules.where(
+            (F.col("discount_id") == discount_id)
+            & (F.col("bundle_discount_method") == method)
+            & (F.col("rule_type") == rule_type)
+        )
+        any_group = F.col("internet_product_group") == "ANY"
+        on = {group: "internet_product_group", months: "contract_months"}
+        limits = [f"{bounds or 'mobile_total_fee'}_{end}" for end in ("min", "max")]
+        for part, of_part, keys in (
+            ("own", chosen.where(~any_group), on), ("any", chosen.where(any_group), {months: "contract_months"}),
+        ):
+            value = F.col(fee) if fee else None
+            df = covering(df, of_part, keys, value, *limits, "discount_amount", f"{name}_{part}")
+        count = F.col(f"{name}_own_n") + F.col(f"{name}_any_n")
+        found = F.concat(F.lit(f"{name.replace('_', ' ').strip()}: matching rules "), count.cast("string"))
+        amount = (F.col(f"{name}_own_total") + F.col(f"{name}_any_total")).cast("decimal(12,2)")
+        df = df.withColumn(name, F.when(count == 1, amount).otherwise(F.raise_error(found).cast("decimal(12,2)")))
+        df = df.drop(*[f"{name}_{part}_{c}" for part in ("own", "any") for c in ("n", "total")])
+    return df

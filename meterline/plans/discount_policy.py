@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from meterline.fixed_values import HIGHER_INTERNET_GROUP
 from meterline.functions.measures import active_on
-from meterline.operators.lookup import matching_rules, only_amount, with_rules
+from meterline.operators.lookup import matching_rules, only_amount, with_amounts, with_rules
 from meterline.plans.marts import day
 from meterline.plans.tables import Tables
 
@@ -135,32 +135,25 @@ def method_savings(stage: Tables) -> DataFrame:
         & F.col("internet_product_group").isNotNull()
         & F.col("internet_contract_months").isNotNull()
     ).select("family_id", "bundle_type", "internet_product_group", "internet_contract_months")
-    lines = with_rules(counted_lines(stage, families), rules, _fixed_line=FIXED_LINE)
-    summed = (
-        lines.withColumn("line_amount", _amount("_fixed_line", line_fee=F.col("monthly_fee")))
-        .groupBy("family_id", "internet_product_group", "internet_contract_months")
-        .agg(F.sum("monthly_fee").alias("mobile_total"), F.sum("line_amount").alias("fixed_mobile"))
-    )
-    total = F.col("mobile_total")
-    return with_rules(
+    lines = with_amounts(
+        counted_lines(stage, families), rules, fixed_line=(FIXED_LINE, "monthly_fee", "mobile_line_fee")
+    )
+    summed = lines.groupBy("family_id", "internet_product_group", "internet_contract_months").agg(
+        F.sum("monthly_fee").alias("mobile_total"), F.sum("fixed_line").alias("fixed_mobile")
+    )
+    return with_amounts(
         summed,
         rules,
-        _total_pool=TOTAL_POOL,
-        _total_internet=("D005", "TOTAL", "INTERNET_BASE"),
-        _total_extra=("D005", "TOTAL", "INTERNET_ADDITIONAL"),
-        _fixed_internet=("D005", "FIXED", "INTERNET_BASE"),
-        _fixed_extra=("D005", "FIXED", "INTERNET_ADDITIONAL"),
+        total_pool=(TOTAL_POOL, "mobile_total", "mobile_total_fee"),
+        total_internet=(("D005", "TOTAL", "INTERNET_BASE"), "mobile_total", "mobile_total_fee"),
+        total_extra=(("D005", "TOTAL", "INTERNET_ADDITIONAL"), None, None),
+        fixed_internet=(("D005", "FIXED", "INTERNET_BASE"), None, None),
+        fixed_extra=(("D005", "FIXED", "INTERNET_ADDITIONAL"), None, None),
     ).select(
         "family_id",
         "mobile_total",
-        (
-            _amount("_total_pool", mobile_total=total)
-            + _amount("_total_internet", mobile_total=total)
-            + _amount("_total_extra")
-        ).alias("total_saving"),
-        (
-            F.col("fixed_mobile") + _amount("_fixed_internet") + _amount("_fixed_extra")
-        ).alias("fixed_saving"),
+        (F.col("total_pool") + F.col("total_internet") + F.col("total_extra")).alias("total_saving"),
+        (F.col("fixed_mobile") + F.col("fixed_internet") + F.col("fixed_extra")).alias("fixed_saving"),
     )
 
 

@@ -8,8 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from meterline.functions import calendar, keys, measures
-from meterline.operators import frames, relations, selection
-from meterline.operators.lookup import matching_rules, only_amount, with_rules
+from meterline.operators import frames, intervals, relations, selection
+from meterline.operators.lookup import matching_rules, only_amount, with_amounts, with_rules
 
 
 @pytest.mark.parametrize("secret", ["k" * 32, "k" * 64, "long-" * 30, "비밀" * 16])
@@ -70,6 +70,35 @@ def test_rules_of_any_number(spark):
         assert rows.select(only_amount(found, "line")).first()[0] == i
 
 
+def test_ranges_against_brute_force(spark):
+    """Overlapping, open, reversed, one-point and repeated ranges; values on, between and beyond all bounds, and nulls."""
+    rng = random.Random(3)
+    bounds = [None, *range(0, 60, 3)]
+    ranges = [(rng.choice("abc"), rng.choice(bounds), rng.choice(bounds), i) for i in range(120)]
+    ranges += [("d", None, None, 500), ("e", 5, 5, 501), ("e", 5, 5, 502), (None, 1, 9, 503)]
+    values = [(k, v) for k in ["a", "b", "c", "d", "e", "f", None] for v in [None, -5, 5, 99, *range(0, 62)]]
+    held = spark.createDataFrame(ranges, "key string, low int, high int, amount long")
+    df = spark.createDataFrame([(i, *row) for i, row in enumerate(values)], "id int, k string, start int")
+    got = {r.id: (r.x_n, r.x_total) for r in intervals.covering(df, held, {"k": "key"}, F.col("start"), "low", "high", "amount", "x").collect()}
+    for i, (k, v) in enumerate(values):
+        hits = [a for key, lo, hi, a in ranges if None not in (k, v) and key == k and (lo is None or lo <= v) and (hi is None or v <= hi)]
+        assert got[i] == (len(hits), sum(hits)), (k, v)
+    assert len(got) == len(values)
+    none = intervals.covering(df, held.limit(0), {"k": "key"}, F.col("start"), "low", "high", "amount", "x")
+    assert none.agg(F.sum("x_n"), F.count("*")).first()[:] == (0, len(values))
+
+
+def test_amounts_of_many_rules_without_lists(spark):
+    rules = [(f"R{i}", "D002", "FIXED", "MOBILE_LINE", ["ANY", "SLIM"][i % 2], 12 + i % 3, None, None, 100 * i, 100 * i + 99, Decimal(i)) for i in range(20_000)]
+    request = spark.createDataFrame([(i, "SLIM" if i % 2 else "OTHER", 12 + i % 3, 100 * i + (99 if i % 5 else 0)) for i in range(0, 20_000, 7)], "i int, grp string, term int, fee int")
+    rows = with_amounts(request, spark.createDataFrame(rules, RULE_COLUMNS), "grp", "term", r=(("D002", "FIXED", "MOBILE_LINE"), "fee", "mobile_line_fee"))
+    assert "collect_list" not in rows._jdf.queryExecution().optimizedPlan().toString()
+    assert rows.agg(F.count("*"), F.count_if(F.col("r") == F.col("i"))).first()[:] == (2858, 2858)
+    bad = request.limit(1).withColumn("fee", F.lit(-1))
+    with pytest.raises(Exception, match="matching rules 0"):
+        with_amounts(bad, spark.createDataFrame(rules, RULE_COLUMNS), "grp", "term", r=(("D002", "FIXED", "MOBILE_LINE"), "fee", "mobile_line_fee")).collect()
+
+
 def test_order_statistics_against_brute_force(spark):
     # One group holds most rows, one value holds a third of them, one group has a single row.
     rng = random.Random(7)
