@@ -5,7 +5,7 @@ from datetime import datetime
 import pytest
 
 from checks import fixtures
-from meterline.session import configure
+from meterline.session import configure_tables
 
 DAY = datetime(2024, 1, 2, 3)
 
@@ -52,6 +52,6 @@ def test_only_numbers_are_shuffled_for_usage(spark, folder):
 
 
 def test_a_table_of_users_is_not_collected_for_joins(spark):
-    configure(spark)
+    configure_tables(spark)
     assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == "1MB"
     assert spark.conf.get("spark.sql.unionOutputPartitioning") == "false"
