@@ -1,5 +1,6 @@
 """Near-duplicate texts and vectors against comparing all pairs."""
 
+import importlib
 import random
 import re
 
@@ -43,6 +44,15 @@ def test_components(spark, shape):
     assert {r.id: r.component for r in got} == want and len(got) == len(want)
 
 
+def test_a_star_is_one_round(spark, monkeypatch):
+    module, names = importlib.import_module("meterline.llm.components"), []
+    settle = module.settle
+    monkeypatch.setattr(module, "settle", lambda df, name: names.append(name) or settle(df, name))
+    got = module.components(spark.range(1, 2001).selectExpr("1000 - id as a", "1000L as b"))
+    assert got.filter("component <> -1000").isEmpty() and got.count() == 2001
+    assert names.count("joins") == 1
+
+
 def test_texts(spark):
     draw = random.Random(5)
     words = [f"w{i}" for i in range(300)]
