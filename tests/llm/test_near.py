@@ -5,10 +5,12 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from meterline.llm import near_text, near_vectors
+from meterline.llm.common import BATCH_LIMIT, batches_of
 from meterline.llm.components import components
 
 
@@ -53,6 +55,23 @@ def test_a_star_is_one_round(spark, monkeypatch):
     assert names.count("joins") == 1
 
 
+def test_small_batches(spark, monkeypatch):
+    seen, settle, before = set(), near_text.settle, spark.conf.get(BATCH_LIMIT)
+    monkeypatch.setattr(near_text, "settle", lambda df, name: seen.add(spark.conf.get(BATCH_LIMIT)) or settle(df, name))
+    rows = [(i, f"a b c d e {i // 2}") for i in range(4)]
+    got = near_text.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert [r.component_id for r in got.orderBy("doc_id").collect()] == [0, 0, 2, 2]
+    assert seen == {near_text.BATCH} and spark.conf.get(BATCH_LIMIT) == before
+
+    def sizes(batches):
+        for batch in batches:
+            yield batch.select(["n"]).set_column(0, "n", pa.array([batch.nbytes] * len(batch), pa.int64()))
+
+    wide = spark.range(0, 200, 1, 1).select(F.col("id").alias("n"), F.repeat(F.lit("x"), 100_000).alias("text"))
+    with batches_of(spark, "1MB"):
+        assert wide.mapInArrow(sizes, "n long").agg(F.max("n")).first()[0] < 1_500_000
+
+
 def test_texts(spark):
     draw = random.Random(5)
     words = [f"w{i}" for i in range(300)]
