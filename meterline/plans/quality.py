@@ -15,7 +15,7 @@ from meterline import fixed_values as fixed
 from meterline.functions.calendar import date_key, month_key, month_start
 from meterline.functions.keys import key_pattern
 from meterline.functions.measures import EXACT_MB, active_on, changed
-from meterline.operators.frames import date_steps, literal_frame
+from meterline.operators.frames import date_steps, literal_frame, single_value
 from meterline.operators.lookup import matching_rules, with_rules
 from meterline.operators.membership import held_keys
 from meterline.operators.relations import eligible_usage, orphans, reconcile, symmetric_difference
@@ -76,15 +76,6 @@ def counts_agree(name: str, left: DataFrame, right: DataFrame) -> DataFrame:
     )
 
 
-def count_matches(name: str, rows: DataFrame, counted: DataFrame) -> DataFrame:
-    """One failing row if the row count differs from a sum of counts `n`."""
-    a = rows.agg(F.count("*")).scalar()
-    return counted.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).select(
-        F.lit(name).alias("rule_name"),
-        F.when(F.col("n") != a, 1).otherwise(0).cast("bigint").alias("failed_rows"),
-    )
-
-
 def union_rules(*rules: DataFrame) -> DataFrame:
     result = rules[0]
     for frame in rules[1:]:
@@ -254,46 +245,77 @@ def _bounds_lost(dw: Tables, stage: Tables) -> DataFrame:
     return reconcile(dw.age_benefits, stage.age_benefits, "age_benefit_id", ["min_age", "max_age"])
 
 
-def _per_day(usage: DataFrame, key: str) -> DataFrame:
-    """Rows and usage of a customer's day: what joins with customers need, at most one row per day."""
-    return usage.groupBy(key, "usage_date").agg(
+def _eligible(usage: DataFrame, users: DataFrame, reference_date: str | None = None) -> DataFrame:
+    """Eligible usage per customer and day, as rows `n` and usage `mb`.
+
+    Rows are dealt by customer before they are summed, so that the join finds the sums where they are.
+    """
+    per_day = usage.repartition("user_id").groupBy("user_id", "usage_date").agg(
         F.count("*").alias("n"), F.sum("data_usage_mb").alias("mb")
     )
+    return eligible_usage(per_day, users.select("user_id", "subscription_start_date"), reference_date)
 
 
-def _early_rule(name: str, dw: Tables, key: str) -> DataFrame:
-    starts = dw.users.select(key, "subscription_start_date")
-    early = _per_day(dw.content_usage, key).join(starts, key).where(
-        F.col("usage_date") < F.col("subscription_start_date")
-    )
-    return early.agg(
-        F.lit(name).alias("rule_name"), F.coalesce(F.sum("n"), F.lit(0)).alias("failed_rows")
-    )
-
+def _detail_rules(
+    dw: Tables, key: str, grain: Sequence[str], eligible: DataFrame, names: Mapping[str, str]
+) -> DataFrame:
+    """Rules on the stored detail in one pass over it; `names` gives the rules wanted and their names.
 
-def _eligible(usage: DataFrame, users: DataFrame, reference_date: str | None = None) -> DataFrame:
-    """Eligible usage per customer and day, as rows `n` and usage `mb`."""
-    starts = users.select("user_id", "subscription_start_date")
-    return eligible_usage(_per_day(usage, "user_id"), starts, reference_date)
+    `total` and `rows` fail once if usage or row count differ from those of `eligible`; `early` counts the rows before
+    a subscription start, once for each row of the customer in users; `grain` counts the keys that occur more than once.
+    The detail is dealt by customer once, for its sums and for the join with the starts.
+    """
+    start, date = "subscription_start_date", F.col("usage_date")
+    # A repeated customer has one row with the numbers of its starts: the join repeats no detail.
+    starts = (
+        dw.users.where(F.col(key).isNotNull()).select(key, start).repartition(key)
+        .groupBy(key, start).agg(F.count("*").alias("c"))
+        .groupBy(key).agg(F.collect_list(F.struct(start, "c")).alias("_starts"))
+    )
+    groups = dw.content_usage.repartition(key).groupBy(*grain).agg(
+        F.count("*").alias("n"), F.sum("data_usage_mb").alias("mb")
+    )
+    later = F.aggregate(
+        F.filter("_starts", lambda s: s[start] > date), F.lit(0).cast("bigint"), lambda found, s: found + s["c"]
+    )
+    nothing = F.lit(0)
+    counted = groups.join(starts, key, "left").agg(
+        F.coalesce(F.sum("mb"), nothing).cast("decimal(38,3)").alias("mb"),
+        F.coalesce(F.sum("n"), nothing).alias("n"),
+        F.coalesce(F.sum(F.col("n") * F.coalesce(later, nothing)), nothing).alias("early"),
+        F.count_if(F.col("n") > 1).alias("repeated"),
+    )
+    wanted = single_value(eligible, F.struct(
+        F.coalesce(F.sum("mb"), nothing).cast("decimal(38,3)").alias("mb"), F.coalesce(F.sum("n"), nothing).alias("n"),
+    ))
+    failed = {
+        "total": F.when(changed(F.col("mb"), wanted["mb"]), 1).otherwise(0).cast("bigint"),
+        "rows": F.when(F.col("n") != wanted["n"], 1).otherwise(0).cast("bigint"),
+        "early": F.col("early"),
+        "grain": F.col("repeated"),
+    }
+    return counted.select(F.inline(F.array(*[
+        F.struct(F.lit(name).alias("rule_name"), failed[measure].alias("failed_rows")) for measure, name in names.items()
+    ])))
 
 
 def operations_warehouse_rules(dw: Tables, stage: Tables, reference_date: str) -> DataFrame:
     return union_rules(
         rule("operations_dw_14_table_counts", table_count_differences(dw, stage)),
         rule("operations_dw_age_benefit_bounds_preserved", _bounds_lost(dw, stage)),
-        totals_agree(
-            "operations_dw_usage_total", dw.content_usage, "data_usage_mb",
-            _eligible(stage.content_usage, stage.users, reference_date), "mb",
+        _detail_rules(
+            dw, "analysis_user_key", ["analysis_user_key", "usage_date", "content_category"],
+            _eligible(stage.content_usage, stage.users, reference_date),
+            {
+                "total": "operations_dw_usage_total",
+                "early": "operations_dw_pre_subscription_usage",
+                "grain": "operations_dw_category_grain",
+            },
         ),
-        _early_rule("operations_dw_pre_subscription_usage", dw, "analysis_user_key"),
         row_rules(
             dw.users,
             {"operations_dw_key_format": ~F.col("analysis_user_key").rlike(key_pattern("user"))},
         ),
-        rule(
-            "operations_dw_category_grain",
-            duplicates(dw.content_usage, "analysis_user_key", "usage_date", "content_category"),
-        ),
     )
 
 
@@ -303,18 +325,18 @@ def _names_changed(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def personalization_warehouse_rules(dw: Tables, stage: Tables, reference_date: str) -> DataFrame:
-    eligible = _eligible(stage.content_usage, stage.users, reference_date)
     return union_rules(
         rule("personalization_dw_14_table_counts", table_count_differences(dw, stage)),
-        count_matches("personalization_dw_usage_rows", dw.content_usage, eligible),
         rule("personalization_dw_age_benefit_bounds_preserved", _bounds_lost(dw, stage)),
         rule("personalization_dw_name_preserved", _names_changed(dw.users, stage.users)),
-        _early_rule("personalization_dw_pre_subscription_usage", dw, "user_id"),
-        rule(
-            "personalization_dw_detail_grain",
-            duplicates(
-                dw.content_usage, "user_id", "usage_date", "content_category", "content_detail"
-            ),
+        _detail_rules(
+            dw, "user_id", ["user_id", "usage_date", "content_category", "content_detail"],
+            _eligible(stage.content_usage, stage.users, reference_date),
+            {
+                "rows": "personalization_dw_usage_rows",
+                "early": "personalization_dw_pre_subscription_usage",
+                "grain": "personalization_dw_detail_grain",
+            },
         ),
     )
 
@@ -384,21 +406,16 @@ def incremental_warehouse_rules(
     window = dw.replace(
         content_usage=dw.content_usage.where(F.col("usage_date").between(day(first), day(last)))
     )
-    eligible = _eligible(staged, users)
     grain = [key, "usage_date", "content_category"]
-    rules = [
-        totals_agree(
-            f"{area}_dw_incremental_total", window.content_usage, "data_usage_mb", eligible, "mb",
-        ),
-        _early_rule(f"{area}_dw_incremental_pre_subscription_usage", window, key),
-    ]
+    names = {
+        "total": f"{area}_dw_incremental_total",
+        "early": f"{area}_dw_incremental_pre_subscription_usage",
+        "grain": f"{area}_dw_incremental_grain",
+    }
     if area == "personalization":
         grain.append("content_detail")
-        rules.append(
-            count_matches("personalization_dw_incremental_rows", window.content_usage, eligible)
-        )
-    rules.append(rule(f"{area}_dw_incremental_grain", duplicates(window.content_usage, *grain)))
-    return union_rules(*rules)
+        names["rows"] = "personalization_dw_incremental_rows"
+    return _detail_rules(window, key, grain, _eligible(staged, users), names)
 
 
 def incremental_mart_rules(

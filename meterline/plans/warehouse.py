@@ -96,12 +96,12 @@ def operations_warehouse(
         )
 
     def content_usage() -> DataFrame:
-        # Summing before the join bounds what one customer brings into it to days x categories,
-        # and the pseudonym is derived once per customer instead of once per usage row.
+        # Usage is dealt by customer once, for the sums and for the join, which bounds what one customer brings
+        # into it to days x categories. The pseudonym is derived once per customer instead of once per usage row.
         usage = stage.content_usage
         if reference_date is not None:
             usage = usage.where(F.col("usage_date") < F.lit(reference_date).cast("date"))
-        summed = usage.groupBy("user_id", "usage_date", "content_category").agg(
+        summed = usage.repartition("user_id").groupBy("user_id", "usage_date", "content_category").agg(
             F.sum("data_usage_mb").cast(CUSTOMER_MB).alias("data_usage_mb")
         )
         owners = stage.users.select("user_id", "subscription_start_date", user_key)
