@@ -5,11 +5,14 @@ Every fixture reads its whole base table; attributes are assigned by arithmetic
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.discount_rows import DISCOUNT_ROWS
 from meterline.plans.tables import Tables
+from meterline.session import shared_folder
 
 BASE_TABLES = ["customer", "orders", "lineitem", "part", "supplier", "events"]
 
@@ -301,9 +304,17 @@ def _thousandths(column: str) -> Column:
     return (F.col(column).cast("decimal(14,3)") * 1000).cast("bigint").alias("k")
 
 
-def _summed(rows: DataFrame, kinds: list[tuple[str, str]]) -> DataFrame:
+def _written(df: DataFrame) -> DataFrame:
+    """The rows of a frame from a folder that they are written to now."""
+    folder = f"{shared_folder(df.sparkSession)}/usage-{uuid4().hex}"
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def _summed(rows: DataFrame, kinds: list[tuple[str, str]], written: bool = False) -> DataFrame:
     """Usage rows of (user_no, usage_date, kind, k); texts are made after the sums, so that only numbers are shuffled."""
     total = rows.groupBy("user_no", "usage_date", "kind").agg(F.sum("k").alias("k"))
+    total = _written(total) if written else total
     user = F.concat(F.lit("U"), F.lpad(F.col("user_no").cast("string"), 7, "0"))
     named = [F.element_at(F.array(*[F.lit(kind[i]) for kind in kinds]), F.col("kind") + 1) for i in (0, 1)]
     mb = (F.col("k").cast("decimal(20,0)") * F.lit("0.001").cast("decimal(3,3)")).cast("decimal(14,3)")
@@ -315,8 +326,8 @@ def _summed(rows: DataFrame, kinds: list[tuple[str, str]]) -> DataFrame:
     return found.select(name.alias("content_usage_id"), *found.columns)
 
 
-def content_usage(spark: SparkSession, folder: str) -> DataFrame:
-    """The rows of the fixture content_usage."""
+def content_usage(spark: SparkSession, folder: str, written: bool = False) -> DataFrame:
+    """The rows of the fixture content_usage; `written` stores their numbers for a query that reads them several times."""
     kind = F.expr("""case l_returnflag
         when 'A' then case l_linenumber%4 when 0 then 0 when 1 then 1 when 2 then 2 else 3 end
         when 'N' then case l_linenumber%3 when 0 then 4 when 1 then 5 else 6 end
@@ -326,7 +337,7 @@ def content_usage(spark: SparkSession, folder: str) -> DataFrame:
         _thousandths("l_extendedprice"),
     )
     orders = spark.read.parquet(f"{folder}/orders.parquet").select("o_orderkey", _shown_number("o_custkey"))
-    return _summed(lines.join(orders, "o_orderkey"), _LINE_KINDS)
+    return _summed(lines.join(orders, "o_orderkey"), _LINE_KINDS, written)
 
 
 def recent_usage(spark: SparkSession, folder: str) -> DataFrame:

@@ -2,10 +2,12 @@
 
 from pyspark.sql import functions as F
 
+from checks.fixtures import content_usage
 from checks.q_layers import USER_KEY
 from checks.q_policy import rule_amount
 from checks.registry import REFERENCE, check, layer, rnd
 from meterline.plans import features, profiling, quality
+from meterline.plans.area import personalization_area
 from meterline.plans.recipes import daily_usage
 from meterline.schemas import REQUIRED_COLUMNS, SOURCE_SCHEMAS, USAGE_GRAIN
 
@@ -201,7 +203,9 @@ def _(c):
     ("user_repeats", dup_sql("content_usage", "user_id")),
 ))
 def _(c):
-    raw, kept = c.stage.content_usage, c.pers.dw.content_usage
+    # Six uses of the same usage, each of other columns and days: its sums are stored once instead of made for each.
+    raw = content_usage(c.spark, c.folder, written=True)
+    kept = personalization_area(c.stage.replace(content_usage=raw), reference_date=REFERENCE).dw.content_usage
     starts = c.stage.users.select("user_id", "subscription_start_date")
     early = raw.join(starts, "user_id").where(F.col("usage_date") < F.col("subscription_start_date"))
     return quality.union_rules(

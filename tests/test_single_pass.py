@@ -5,6 +5,7 @@ from decimal import Decimal as D
 
 import pytest
 
+from checks import registry
 from checks.q_broken import _broken
 from meterline.operators.frames import literal_frame
 from meterline.plans import quality
@@ -63,3 +64,20 @@ def test_early_rows_count_for_each_row_of_a_repeated_customer(spark):
     assert found(rules) == {"total": 0, "rows": 1, "early": 2 * 3 + 1 * 2, "grain": 2}
     none = quality._detail_rules(Tables(users=users, content_usage=usage.limit(0)), "user_id", grain, eligible.limit(0), names)
     assert found(none) == {"total": 0, "rows": 0, "early": 0, "grain": 0}
+
+
+def test_raw_usage_is_summed_once_for_all_its_rules(spark, tmp_path):
+    tables = {
+        "lineitem": ([(1, 1, 10.5, "A", DAYS[0]), (1, 2, 1.5, "N", DAYS[1]), (2, 1, 2.0, "R", DAYS[0])],
+                     "l_orderkey bigint, l_linenumber int, l_extendedprice double, l_returnflag string, l_shipdate date"),
+        "orders": ([(1, 7), (2, 9)], "o_orderkey bigint, o_custkey bigint"),
+        "customer": ([(7, "a"), (8, "b")], "c_custkey bigint, c_name string"),
+        "part": ([(1, 1, "p")], "p_partkey bigint, p_size int, p_name string"),
+        "supplier": ([(1, "s")], "s_suppkey bigint, s_name string"),
+        "events": ([(1, DAYS[0], 7, "view", 1.0)], "event_id bigint, ts date, user_id bigint, event_type string, value double"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    rules = registry.QUERIES["q08_bounds_and_counts_against_raw_usage"](spark, str(tmp_path))
+    assert scans(rules, "lineitem") == 0
+    assert found(rules) == {"usage_rows": 1, "usage_total": 1, "early_usage": 0, "user_repeats": 1}
