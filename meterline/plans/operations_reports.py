@@ -62,7 +62,10 @@ def _customer_months(area: Area, start: str, end_exclusive: str, preaggregated:
 def _month_statistics(
     area: Area, start: str, end_exclusive: str, preaggregated: bool
 ) -> tuple[DataFrame, DataFrame, bool]:
-    """Values and ranked bins by calendar_month, and whether the bins are kept in the mart."""
+    """Values and ranked bins by calendar_month, and whether the bins are read from files of the mart.
+
+    Without files, bins and values are two uses of one shuffle in one query.
+    """
     month = "calendar_month"
     if preaggregated and "month_usage_bins" in area.mart:
         key = F.col("month_key")
@@ -71,7 +74,7 @@ def _month_statistics(
         bins = area.mart.month_usage_bins.where(chosen).select(first, "bin", "n", "mb")
         totals = area.mart.customer_month_totals.where(chosen)
         values = totals.select(first, F.col("total_usage_mb").alias("value"), F.lit(1).cast("bigint").alias("n"), "bin")
-        return values, selection.ranked(bins, month), True
+        return values, selection.ranked(bins, month), area.stored
     values = selection.value_counts(_customer_months(area, start, end_exclusive, preaggregated), month, "total_usage_mb")
     return values, selection.ranked_bins(values, month), False
 

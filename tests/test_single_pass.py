@@ -10,6 +10,7 @@ from checks.q_broken import _broken
 from meterline.operators.frames import literal_frame
 from meterline.plans import quality
 from meterline.plans.area import operations_area
+from meterline.plans.operations_reports import monthly_usage_statistics, usage_distribution
 from meterline.plans.tables import Tables
 from tests import small
 
@@ -66,6 +67,17 @@ def test_early_rows_count_for_each_row_of_a_repeated_customer(spark):
     assert found(none) == {"total": 0, "rows": 0, "early": 0, "grain": 0}
 
 
+def test_reports_on_marts_not_stored_run_no_job_before_their_query(spark, area):
+    spark.sparkContext.setJobGroup("no job", "no job")
+    try:
+        reports = [report(area, "2024-01-01", "2024-03-01") for report in (monthly_usage_statistics, usage_distribution)]
+    finally:
+        spark.sparkContext.setJobGroup("tests", "tests")
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("no job")
+    months = {r.calendar_month: r.recorded_customer_count for r in reports[0].collect()}
+    assert months == {date(2024, 1, 1): 2, date(2024, 2, 1): 2}
+
+
 def test_raw_usage_is_summed_once_for_all_its_rules(spark, tmp_path):
     tables = {
         "lineitem": ([(1, 1, 10.5, "A", DAYS[0]), (1, 2, 1.5, "N", DAYS[1]), (2, 1, 2.0, "R", DAYS[0])],
