@@ -150,7 +150,7 @@ def _(c):
     mart, views = area.mart, area.views
     fact, view = mart.customer_monthly_category_usage, views.v_customer_monthly_usage_preaggregated
     moved = F.when(F.floor(F.col("month_key") / 10000) % 2 == 1, F.col("month_key") + 1).otherwise(F.col("month_key")).cast("int")
-    twice = view.unionByName(view.where("month_key%10000=601")).withColumnRenamed("calendar_month", "month_start")
+    twice = _copied(view, F.expr("case when month_key%10000=601 then 2 else 1 end")).withColumnRenamed("calendar_month", "month_start")
     return quality.preaggregate_report(
         mart.replace(customer_monthly_category_usage=fact.withColumn("month_key", moved)),
         views.replace(v_customer_monthly_usage_preaggregated=twice),

@@ -78,6 +78,29 @@ def test_reports_on_marts_not_stored_run_no_job_before_their_query(spark, area):
     assert months == {date(2024, 1, 1): 2, date(2024, 2, 1): 2}
 
 
+def test_preaggregate_report_counts_null_keys_and_lost_months(spark):
+    def rows(*keys):
+        return literal_frame(spark, [(k, m, D(1)) for k, m in keys], "analysis_user_key string, month_key int, total_usage_mb decimal(18,3)")
+
+    fact = rows(("a", 20240101), ("a", 20240202), ("b", None), ("b", 20240301))
+    view = rows(("a", 20240101), ("a", 20240101), (None, None), (None, None), ("c", 20240401))
+    report = quality.preaggregate_report(
+        Tables(customer_monthly_category_usage=fact), Tables(v_customer_monthly_usage_preaggregated=view)
+    )
+    assert {r.rule_name: r.failed_rows for r in report.collect()} == {
+        "view_column_contract": 3, "customer_month_grain": 2, "monthly_usage_reconciliation": 6, "month_first_key": 1,
+    }
+    empty = quality.preaggregate_report(
+        Tables(customer_monthly_category_usage=fact.limit(0)), Tables(v_customer_monthly_usage_preaggregated=view.limit(0))
+    )
+    assert [r.failed_rows for r in empty.where("rule_name <> 'view_column_contract'").collect()] == [0, 0, 0]
+
+
+def test_preaggregate_report_reads_fact_and_view_once(area):
+    report = quality.preaggregate_report(area.mart, area.views)
+    assert scans(report) == 2 and {r.result for r in report.collect()} == {"PASS"}
+
+
 def test_raw_usage_is_summed_once_for_all_its_rules(spark, tmp_path):
     tables = {
         "lineitem": ([(1, 1, 10.5, "A", DAYS[0]), (1, 2, 1.5, "N", DAYS[1]), (2, 1, 2.0, "R", DAYS[0])],
