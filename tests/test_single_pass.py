@@ -101,6 +101,14 @@ def test_preaggregate_report_reads_fact_and_view_once(area):
     assert scans(report) == 2 and {r.result for r in report.collect()} == {"PASS"}
 
 
+def test_layer_totals_sum_each_layer_once(stage, area):
+    from meterline.plans.area import personalization_area
+
+    pers = personalization_area(stage, reference_date="2024-03-01")
+    totals = quality.layer_totals(area.dw, pers.dw, area.mart, pers.mart)
+    assert scans(totals) == 4 and {r.total_check for r in totals.collect()} == {"PASS"}
+
+
 def test_raw_usage_is_summed_once_for_all_its_rules(spark, tmp_path):
     tables = {
         "lineitem": ([(1, 1, 10.5, "A", DAYS[0]), (1, 2, 1.5, "N", DAYS[1]), (2, 1, 2.0, "R", DAYS[0])],
